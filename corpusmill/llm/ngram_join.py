@@ -15,9 +15,10 @@ cut along with it.
    summed for the pair; the sum decides.
 
 A large group of near copies is first compared with one document per n-gram (the one with the
-fewest n-grams of its own); only pairs that are then still in different components, and whose
-sizes and shared parts allow a link, are compared one by one. Components, and not the pairs, are
-the result, so this loses no link.
+fewest n-grams of its own). Only pairs that are then still in different components are compared one
+by one, if their sizes and shared parts allow a link; where both were compared with the same
+document, what they lack of it and have besides gives their exact overlap, without their sets.
+Components, and not the pairs, are the result, so this loses no link.
 
 Sets are told apart by 64-bit hashes. Documents with equal sets form one class from the start.
 """
@@ -194,20 +195,32 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.frombuffer(b, np.int64)), pa.array(np.frombuffer(c, np.int64))], names=["id", "node", "n"])
 
 
-def _linked(pairs: DataFrame, sets: DataFrame, least: int, whole: int) -> DataFrame:
-    """Of ``pairs(a, b)``, those that link: overlaps are counted in each fragment and summed per pair."""
+def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """``pairs(a, b)`` with both sizes and the overlap, counted in each fragment and summed per pair."""
     parts = F.explode(F.transform(F.sequence(F.lit(0), F.lit(OVERLAP_PARTS - 1)), lambda p: F.struct(p.alias("part"), F.filter("grams", lambda g: F.pmod(g, F.lit(OVERLAP_PARTS)) == p).alias("own"))))
     cut = sets.select("node", "n", parts.alias("p")).select("node", "n", "p.part", "p.own")
     left = cut.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "part", F.col("own").alias("own_a"))
     right = cut.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "part", F.col("own").alias("own_b"))
     each = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("own_a", "own_b")).alias("both"))
-    total = each.groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
-    return total.where(F.col("both") * whole >= least * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+    return each.groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
 
 
-def _allowed(least: int, whole: int):
-    """Whether sizes and shared parts leave room for the overlap that a link needs."""
-    room = F.least(F.col("s_a"), F.col("s_b"))
+def _against_lead(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The same, with what ``a`` lacks of ``b`` and what it has besides."""
+    own = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("g_a"))
+    lead = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("g_b"))
+    in_part = lambda c, p: F.filter(c, lambda g: F.pmod(g, F.lit(OVERLAP_PARTS)) == p)
+    counts = F.transform(F.sequence(F.lit(0), F.lit(OVERLAP_PARTS - 1)), lambda p: F.size(F.array_intersect(in_part("g_a", p), in_part("g_b", p))))
+    both = F.aggregate(counts, F.lit(0), lambda x, y: x + y).cast("long")
+    return pairs.join(own, "a").join(lead, "b").select("a", "b", "n_a", "n_b", F.size("g_b").alias("s_b"), both.alias("both"), F.array_except("g_b", "g_a").alias("lost"), F.array_except("g_a", "g_b").alias("added"))
+
+
+def _linked(scored: DataFrame, least: int, whole: int) -> DataFrame:
+    return scored.where(F.col("both") * whole >= least * (F.col("n_a") + F.col("n_b") - F.col("both"))).select("a", "b")
+
+
+def _allowed(room, least: int, whole: int):
+    """Whether an overlap of at most ``room`` is enough for a link."""
     return room * (whole + least) >= least * (F.col("n_a") + F.col("n_b"))
 
 
@@ -232,18 +245,28 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     tokens = materialise(sets.select("node", "n", F.size("grams").alias("s"), F.explode(F.slice("grams", 1, F.col("probe"))).alias("gram")), "tokens")
     lead = tokens.groupBy("gram").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("own"), "node", "n", "s")).alias("lead"), F.count("*").alias("held")).where("held > 1")
     near = tokens.select("gram", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a")).join(lead.select("gram", F.col("lead.node").alias("b"), F.col("lead.n").alias("n_b"), F.col("lead.s").alias("s_b")), "gram")
-    votes = near.where((F.col("a") != F.col("b")) & _allowed(least, whole)).groupBy("a", "b").count()
+    shared = F.least("s_a", "s_b")
+    votes = near.where((F.col("a") != F.col("b")) & _allowed(shared, least, whole)).groupBy("a", "b").count()
     first = votes.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    links = materialise(_linked(first, sets, least, whole), "links")
+    scored = materialise(_against_lead(first, sets), "scored")
+    links = _linked(scored, least, whole)
 
+    # Two documents compared with the same one differ from it in little, and those differences give their overlap.
     known = connected(links)
+    against = scored.select(F.col("a").alias("node"), F.col("b").alias("lead"), F.col("s_b").alias("s_lead"), "lost", "added")
     mine = tokens.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    split = mine.groupBy("gram").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gram")
-    open_ = materialise(mine.join(split, "gram"), "open")
-    left = open_.select("gram", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a"), F.col("component").alias("c_a"))
-    right = open_.select("gram", F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("s").alias("s_b"), F.col("component").alias("c_b"))
-    rest = left.join(right, "gram").where((F.col("a") < F.col("b")) & (F.col("c_a") != F.col("c_b")) & _allowed(least, whole)).select("a", "b").distinct()
-    links = materialise(links.unionByName(_linked(rest, sets, least, whole)), "links")
+    heads = mine.groupBy("gram").agg(F.min(F.struct(F.col("n") - F.col("s"), "node", "component")).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gram", F.col("head.component").alias("main"))
+    open_ = materialise(mine.join(heads, "gram").join(against, "node", "left"), "open")
+    side = lambda x: open_.select("gram", "main", *[F.col(c).alias(f"{k}_{x}") for c, k in (("node", "id"), ("n", "n"), ("s", "s"), ("component", "c"), ("lead", "lead"), ("s_lead", "t"), ("lost", "lost"), ("added", "added"))])
+    left, right = side("a").where("c_a <> main"), side("b").drop("main", "t_b")
+    fresh = ~F.col("lead_a").eqNullSafe(F.col("id_b")) & ~F.col("lead_b").eqNullSafe(F.col("id_a"))
+    once = (F.col("c_b") == F.col("main")) | (F.col("id_a") < F.col("id_b"))
+    same = F.coalesce(F.col("lead_a") == F.col("lead_b"), F.lit(False))
+    exact = F.col("t_a") - F.size(F.array_union("lost_a", "lost_b")) + F.size(F.array_intersect("added_a", "added_b"))
+    may = (F.col("c_a") != F.col("c_b")) & once & fresh & _allowed(shared, least, whole)
+    rest = left.join(right, "gram").where(F.when(may, F.when(same, _allowed(exact, least, whole)).otherwise(True)).otherwise(False))
+    rest = materialise(rest.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), same.alias("sure")).distinct(), "rest")
+    links = materialise(links.unionByName(rest.where("sure").select("a", "b")).unionByName(_linked(_overlaps(rest.where("not sure").select("a", "b"), sets), least, whole)), "links")
 
     found = connected(links)
     named = found.join(classes.select("node", "least_id"), "node")
