@@ -1,4 +1,392 @@
-"""The registered queries and the SQL to hold them against."""
+"""The registered queries over the provided tables and the SQL to hold them against.
 
-QUERIES = {}
-ORACLE_SQL = {}
+Texts are Latin here, so the script is a parameter. Assistant turns of ``conversations`` stand in
+for generated texts; ``conv_id % 4`` gives their task. ``pages`` stand in for what has a URL.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from .config import BOLD_TITLE, INTRODUCTIONS, OPENERS, PROMPTS, REFUSALS, STATUSES, TEMPLATES, TOKEN, VERDICTS, Config
+from .functions import text as tx
+from .operators import dedup, rows
+from .plans import curate
+from .storage import stored
+
+CONFIG = Config(script="Latin", target_lang="en", lid_threshold=0.5, source_config="documents")
+
+
+def _read(spark: SparkSession, sf: str, name: str) -> DataFrame:
+    return spark.read.parquet(f"{sf}/{name}.parquet")
+
+
+def _spread(df: DataFrame) -> DataFrame:
+    """Work on long texts over all cores although the file is one row group."""
+    return df.repartition(2 * df.sparkSession.sparkContext.defaultParallelism)
+
+
+def _docs(spark, sf):
+    return _spread(_read(spark, sf, "documents").select("doc_id", "text", "source", "n_chars"))
+
+
+def _turns(spark, sf):
+    """Generated texts: id, prompt, text."""
+    prompt = F.element_at(F.array(*map(F.lit, PROMPTS)), (F.col("conv_id") % 4 + 1).cast("int"))
+    return _spread(_read(spark, sf, "conversations").where("role = 'assistant'").select((F.col("conv_id") * 1000 + F.col("turn")).alias("ord"), "conv_id", "turn", prompt.alias("prompt"), F.coalesce("text", F.lit("")).alias("text")))
+
+
+def _judged(spark, sf):
+    config = CONFIG
+    turns = _turns(spark, sf).withColumn("source_id", F.col("ord").cast("string")).withColumn("source_data", F.lit("conversations")).withColumn("model", F.lit(config.vllm_model_id))
+    return turns, config
+
+
+def verdict_profile(spark, sf):
+    return rows.verdict_profile(_docs(spark, sf).select("n_chars", tx.verdict(F.col("text"), "Latin").alias("verdict")), "n_chars")
+
+
+def scan_documents(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.length("text").alias("n"), tx.verdict(F.col("text"), "Latin").alias("verdict"))
+
+
+def profile_limited(spark, sf):
+    return rows.verdict_profile(_docs(spark, sf).select("doc_id", "text", "n_chars").orderBy("doc_id").limit(100).select("n_chars", tx.verdict(F.col("text"), "Latin").alias("verdict")), "n_chars")
+
+
+def truncate_docs(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5(tx.truncated(F.col("text"), 600).cast("binary")).alias("head_md5"), F.length(tx.truncated(F.col("text"), 600)).alias("n"))
+
+
+def prompt_render(spark, sf):
+    docs = rows.fanout(_docs(spark, sf).select("doc_id", tx.truncated(F.col("text"), 12000).alias("doc")))
+    return docs.select("doc_id", "prompt", F.md5(rows.rendered(F.col("doc"), F.col("prompt")).cast("binary")).alias("request_md5"))
+
+
+def normalize_ws(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5(tx.collapsed(F.col("text")).cast("binary")).alias("text_md5"))
+
+
+def _slices(df: DataFrame, most: int = 500) -> DataFrame:
+    """``chunk``: the whole of a short text, or three slices whose places follow from its length."""
+
+    @F.pandas_udf("array<int>")
+    def places(n):
+        import random
+
+        import pandas as pd
+
+        def own(k):
+            r = random.Random(int(k))
+            return [r.randint(0, int(k) - most) for _ in range(3)] if k > most else [0]
+
+        return pd.Series([own(k) for k in n])
+
+    starts = df.select(F.length("text").alias("len")).distinct().withColumn("starts", places("len"))
+    size = F.length("text")
+    cut = df.withColumn("len", size).join(starts, "len")
+    return cut.withColumn("chunks", F.transform("starts", lambda s: F.when(F.col("len") > most, F.substring(F.col("text"), s + 1, F.lit(most))).otherwise(F.col("text"))))
+
+
+def lid_slices(spark, sf):
+    return _slices(_docs(spark, sf).select("doc_id", "text")).select("doc_id", "len", "starts", F.transform("chunks", lambda c: F.length(c)).alias("sizes"))
+
+
+def lang_score(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.round(tx.language_score(F.col("text"), "en"), 9).alias("score"))
+
+
+def lang_gate(spark, sf):
+    cut = _slices(_docs(spark, sf).select("doc_id", "text"))
+    scores = cut.select("doc_id", F.transform("chunks", lambda c: tx.language_score(c, "en")).alias("scores"))
+    return scores.select("doc_id", F.forall("scores", lambda s: s >= 0.5).alias("passes"), F.round(F.aggregate("scores", F.lit(0.0), lambda a, b: a + b) / F.size("scores"), 9).alias("confidence"))
+
+
+def strip_preamble(spark, sf):
+    return _turns(spark, sf).select("ord", F.md5(tx.stripped(F.col("text")).cast("binary")).alias("text_md5"))
+
+
+def refusal_flag(spark, sf):
+    return _turns(spark, sf).select("ord", tx.is_refusal(F.col("text")).alias("refusal"))
+
+
+def tokens(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.size(tx.tokens(F.col("text"))).alias("n"), F.md5(F.array_join(tx.tokens(F.col("text")), " ").cast("binary")).alias("tokens_md5"))
+
+
+def shingles(spark, sf):
+    return _docs(spark, sf).select("doc_id", tx.shingles(tx.tokens(F.col("text"))).alias("s")).select("doc_id", F.size("s").alias("n"), F.md5(F.array_join(F.array_sort("s"), "|").cast("binary")).alias("shingles_md5"))
+
+
+def _signed(spark, sf):
+    return dedup.signatures(_docs(spark, sf).select(F.col("doc_id").alias("ord"), "text"))
+
+
+def minhash_sig(spark, sf):
+    return _signed(spark, sf).select(F.col("ord").alias("doc_id"), F.md5(F.array_join("sig", ",").cast("binary")).alias("sig_md5"))
+
+
+def lsh_bands(spark, sf):
+    return dedup.bands(_signed(spark, sf), ["ord"]).select(F.col("ord").alias("doc_id"), "band", "band_key")
+
+
+def near_dup_pairs(spark, sf):
+    signed = stored(_signed(spark, sf).select("ord", "sig"), "sig")
+    return dedup.collisions(dedup.bands(signed, ["ord"]), [])
+
+
+def near_dedup(spark, sf):
+    df = _docs(spark, sf).select(F.lit("all").alias("prompt"), F.col("doc_id").alias("ord"), "text")
+    return dedup.near_dedup(df, ["prompt"]).select("ord", "kept")
+
+
+def near_dedup_incremental(spark, sf):
+    df = _docs(spark, sf).select(F.lit("all").alias("prompt"), F.col("doc_id").alias("ord"), "text", "source")
+    old = df.where("source = 'src0'")
+    kept = dedup.near_dedup(old.drop("source"), ["prompt"]).where("kept")
+    known = old.join(kept.select("ord"), "ord", "left_semi").select("prompt", "text")
+    return dedup.near_dedup(df.where("source <> 'src0'").drop("source"), ["prompt"], known=known).select("ord", "kept")
+
+
+def dup_audit(spark, sf):
+    return near_dedup(spark, sf).agg(F.count("*").alias("total"), F.count_if(~F.col("kept")).alias("dup"), F.count_if("kept").alias("uniq"), F.coalesce(F.round(F.count_if(~F.col("kept")) * 100.0 / F.count("*"), 6), F.lit(0.0)).alias("pct"))
+
+
+def size_str(spark, sf):
+    n = F.col("doc_id") * F.col("doc_id") * F.col("n_chars")
+    return _read(spark, sf, "documents").select("doc_id", tx.size_text(n).alias("size"))
+
+
+def text_head(spark, sf):
+    return _docs(spark, sf).select("doc_id", F.md5(tx.text_head(F.col("text")).cast("binary")).alias("head_md5"))
+
+
+def length_gate(spark, sf):
+    return _turns(spark, sf).select("ord", F.length("text").between(150, 8000).alias("ok"))
+
+
+def _format(name):
+    def query(spark, sf):
+        test = {"faq": tx.is_faq, "math": tx.is_math, "table": tx.is_table, "tutorial": tx.is_tutorial}[name]
+        return _docs(spark, sf).select("doc_id", test(F.col("text")).alias("ok"))
+
+    return query
+
+
+def format_gate(spark, sf):
+    return _turns(spark, sf).select("ord", "prompt", tx.format_ok(F.col("text"), F.col("prompt")).alias("ok"))
+
+
+def filter_chain(spark, sf):
+    turns, config = _judged(spark, sf)
+    return curate.outcomes(turns, config).select("ord", "prompt", "status")
+
+
+def failed_records(spark, sf):
+    turns, config = _judged(spark, sf)
+    return curate.outcomes(turns, config).where("status <> ''").select("ord", "prompt", F.md5(F.col("text").cast("binary")).alias("text_md5"), "language_confidence", F.col("status").alias("failure_reason"))
+
+
+def filter_stats(spark, sf):
+    turns, config = _judged(spark, sf)
+    return rows.filter_stats(curate.outcomes(turns, config))
+
+
+def confidence_stats(spark, sf):
+    score = tx.language_score(F.col("text"), "en")
+    return _docs(spark, sf).select(score.alias("c")).where("c >= 0.5").agg(F.round(F.min("c"), 9).alias("lo"), F.round(F.avg("c"), 9).alias("mean"), F.round(F.max("c"), 9).alias("hi"))
+
+
+def prompt_fanout(spark, sf):
+    return rows.fanout(_read(spark, sf, "documents").select("doc_id"))
+
+
+def _pages(spark, sf):
+    return _read(spark, sf, "pages").select(F.col("page_id").alias("ord"), F.regexp_replace("url", r"[?#].*$", "").alias("source_id"))
+
+
+def _seen(spark, sf):
+    pages = _pages(spark, sf)
+    return pages.where("ord % 3 = 0").select(F.lit("faq").alias("prompt"), "source_id").unionByName(pages.where("ord % 5 = 0").select(F.lit("math").alias("prompt"), "source_id"))
+
+
+def resume_ids(spark, sf):
+    return _seen(spark, sf).where("source_id is not null").distinct()
+
+
+def resume_anti_join(spark, sf):
+    return rows.unseen(rows.fanout(_pages(spark, sf)), resume_ids(spark, sf)).select("ord", "prompt", "source_id")
+
+
+def first_per_source(spark, sf):
+    return rows.first_per_source(rows.fanout(_pages(spark, sf))).select("ord", "prompt", "source_id")
+
+
+def max_docs(spark, sf):
+    return rows.limited(resume_anti_join(spark, sf), 40).select("ord", "prompt")
+
+
+def seen_counts(spark, sf):
+    every = spark.createDataFrame([(p,) for p in PROMPTS], "prompt string")
+    return every.join(resume_ids(spark, sf).groupBy("prompt").agg(F.count("*").alias("n")), "prompt", "left").select("prompt", F.coalesce("n", F.lit(0)).alias("n"))
+
+
+def skip_counts(spark, sf):
+    pairs = rows.fanout(_pages(spark, sf))
+    return pairs.join(resume_ids(spark, sf).withColumn("hit", F.lit(1)), ["prompt", "source_id"], "left").groupBy("prompt").agg(F.count("hit").alias("skipped"))
+
+
+def by_source(spark, sf):
+    return _read(spark, sf, "documents").groupBy("source").agg(F.count("*").alias("len")).orderBy(F.desc("len"), "source")
+
+
+def spot_check(spark, sf):
+    return rows.sampled(_turns(spark, sf).select("ord", "prompt", F.col("ord").alias("source_id"))).select("ord", "prompt")
+
+
+def rephrase_stub(spark, sf):
+    pairs = rows.fanout(_docs(spark, sf).select(F.col("doc_id").alias("ord"), F.col("doc_id").cast("string").alias("source_id"), "text"))
+    return curate.rephrased(pairs, CONFIG).select("ord", "prompt", F.md5(F.col("text").cast("binary")).alias("text_md5"), "model", "source_data")
+
+
+def route_buckets(spark, sf):
+    x = F.col("event_id") / 977.0 - 0.05
+    return _read(spark, sf, "events").select("event_id", *[tx.bucket(x, n).alias(f"of_{n}") for n in (1, 2, 3, 4, 7)])
+
+
+def shard_assign(spark, sf):
+    return rows.shard_numbers(_read(spark, sf, "documents").select(F.col("source").alias("prompt"), F.col("doc_id").alias("ord")), 8, ["prompt"], chunk=256).select("prompt", "ord", "shard")
+
+
+def merge_shards(spark, sf):
+    kept, _ = _judged(spark, sf)
+    return kept.groupBy("prompt", "source_data").agg(F.count("*").alias("n_rows"), F.sum(F.octet_length("text")).alias("bytes"))
+
+
+def publish_plan(spark, sf):
+    shards = shard_assign(spark, sf).select("prompt", "shard").distinct()
+    name = F.format_string("part-%05d.parquet", F.col("shard"))
+    return shards.select(F.concat_ws("/", F.lit("kept"), "prompt", name).alias("local"), F.concat_ws("/", "prompt", name).alias("remote"))
+
+
+QUERIES = {f.__name__: f for f in (
+    verdict_profile, scan_documents, profile_limited, truncate_docs, prompt_render, normalize_ws, lid_slices, lang_score, lang_gate, strip_preamble, refusal_flag, tokens, shingles,
+    minhash_sig, lsh_bands, near_dup_pairs, near_dedup, near_dedup_incremental, dup_audit, size_str, text_head, length_gate, format_gate, filter_chain, failed_records, filter_stats,
+    confidence_stats, prompt_fanout, resume_ids, resume_anti_join, first_per_source, max_docs, seen_counts, skip_counts, by_source, spot_check, rephrase_stub, route_buckets, shard_assign, merge_shards, publish_plan,
+)} | {f"format_{n}": _format(n) for n in PROMPTS}
+
+# ---- SQL ---------------------------------------------------------------------------------------
+_n = lambda t, c: f"length(regexp_replace({t}, '[^{c}]', '', 'g'))"
+_VERDICT = (
+    "case when length(t) < 200 then 'too_short' when length(t) > 20000 then 'too_long' when {l} = 0 then 'no_letters' when {s} / {l} < 0.6::double then 'not_greek'"
+    " when list_sum(list_transform(regexp_extract_all(t, '(?i)https?://\\S+'), lambda x: length(x))) / length(t) > 0.05::double then 'too_many_urls'"
+    " when {u} / {l} > 0.4::double then 'too_much_upper' when {p} / length(t) > 0.25::double then 'too_much_punct' else 'kept' end"
+).format(l=_n("t", r"\p{L}"), s=_n("t", r"\p{Latin}"), u=_n("t", r"\p{Lu}"), p=_n("t", r"\p{P}"))
+_DOCS = "d as (select doc_id, coalesce(text, '') as t, source, n_chars from documents)"
+_PROMPT = "list_extract([" + ", ".join(f"'{p}'" for p in PROMPTS) + "], (conv_id % 4 + 1)::int)"
+_TURNS = f"d as (select conv_id * 1000 + turn as ord, {_PROMPT} as prompt, coalesce(text, '') as t from conversations where role = 'assistant')"
+_PROFILE = f"""v as (select n_chars, {_VERDICT} as verdict from d), e as (select unnest([{', '.join(f"'{v}'" for v in VERDICTS)}]) as verdict),
+ g as (select e.verdict, count(n_chars) as docs, coalesce(sum(n_chars), 0)::bigint as tokens from e left join v using (verdict) group by 1)
+ select verdict, docs, tokens, docs * 100.0::double / greatest(sum(docs) over (), 1) as docs_pct, tokens * 100.0::double / greatest(sum(tokens) over (), 1) as tokens_pct from g"""
+_TRUNC = lambda n: f"case when length(t) <= {n} then t when contains(left(t, {n}), chr(10)) then regexp_extract(left(t, {n}), '(?s)^(.*)\\n[^\\n]*$', 1) else left(t, {n}) end"
+_TOK = f"regexp_extract_all(lower(t), '{TOKEN}')"
+_SH = "case when len(k) = 0 then [] else list_distinct(list_transform(range(1, greatest(len(k) - 4, 1) + 1), lambda i: array_to_string(list_slice(k, i, i + 4), ' '))) end"
+_COLLAPSE = "trim(regexp_replace({t}, '[\\s\\x{0b}\\x{85}\\x{a0}\\x{2028}\\x{2029}\\x{3000}]+', ' ', 'g'))"
+_words = lambda own: "[" + ", ".join(f"'{w}'" for w in own) + "]"
+
+
+def _language(t: str, lang: str) -> str:
+    k = f"regexp_extract_all(lower({_COLLAPSE.replace('{t}', t)}), '{TOKEN}')"
+    hits = {c: f"len(list_filter({k}, lambda w: list_contains({_words(own)}, w)))" for c, own in sorted(tx.STOPWORDS.items())}
+    top = " and ".join(f"{hits[lang]} {'>' if c < lang else '>='} {h}" for c, h in hits.items() if c != lang)
+    return f"case when {top} and {hits[lang]} > 0 then {hits[lang]}::double / ({' + '.join(hits.values())}) else 0.0::double end"
+
+
+_STRIP = f"regexp_replace(t, '^(?:(?i:{OPENERS})|(?i:{INTRODUCTIONS})|{BOLD_TITLE}|\\s)*', '')"
+_REFUSES = f"regexp_matches({_STRIP}, '^(?i)\\s*{REFUSALS}')"
+_STRIPPED = f"case when {_REFUSES} then '' else {_STRIP} end"
+_FORMAT = {
+    "faq": "(length({t}) - length(replace(replace({t}, '?', ''), ';', '')) >= 3 and length({t}) - length(replace({t}, chr(10), '')) >= 4)",
+    "math": "(regexp_matches({t}, '\\p{{Nd}}') and regexp_matches({t}, '(?i)(λύση|βήμα)'))",
+    "table": "contains(array_to_string(list_transform(string_split_regex({t}, '\\r\\n|[\\n\\r\\x0b\\x0c\\x1c\\x1d\\x1e]'), lambda x: case when regexp_matches(x, '^\\s*\\|.*\\|\\s*$') then '1' else '0' end), ''), '111')",
+    "tutorial": "(length({t}) > 300 and (regexp_matches({t}, '(?m)^\\s*\\d+[.)]\\s+\\S') or len(regexp_extract_all({t}, '(?m)^\\s*[-*•]\\s+\\S')) >= 3))",
+}
+_GATE = lambda t: "case prompt " + " ".join(f"when '{p}' then {_FORMAT[p].format(t=t)}" for p in PROMPTS) + " else false end"
+_WORD = lambda x: f"('0x' || left(md5({x}), 8))::bigint"
+
+
+def _signature(source: str) -> str:
+    """``sig(ord, sig)`` of ``source(ord, t)``."""
+    return f"""tk as (select ord, {_TOK} as k from {source}), sh as (select ord, {_SH} as s from tk),
+ h as (select ord, unnest(s) as x from sh), hh as (select ord, {_WORD('x')} % 2147483647 as x from h),
+ pm as (select i, 1 + {_WORD("'a' || i")} % 2147483646 as a, {_WORD("'b' || i")} % 2147483647 as b from range(128) r(i)),
+ mn as (select ord, i, min((a * x + b) % 2147483647) as m from hh cross join pm group by 1, 2),
+ sg as (select ord, list(m order by i) as sig from mn group by 1),
+ sig as (select s.ord, coalesce(g.sig, list_transform(range(128), lambda i: 2147483647)) as sig from {source} s left join sg g using (ord))"""
+
+
+_BANDS = "bd as (select ord, unnest(range(9)) as band, sig from sig), bands as (select ord, band::int as band, md5(array_to_string(list_slice(sig, band * 13 + 1, band * 13 + 13), ',')) as band_key from bd)"
+_EDGES = "edges as (select distinct a.ord as early, b.ord as late from bands a join bands b using (band, band_key) where a.ord < b.ord)"
+
+
+def _kept(rounds: int = 6) -> str:
+    """``final(ord, kept)``: the rounds unrolled; an undecided row would show as null."""
+    out = ["s0 as (select ord, case when ord in (select late from edges) then null else true end as kept from sig)"]
+    for r in range(1, rounds + 1):
+        out.append(f"t{r} as (select late as ord, bool_or(coalesce(kept, false)) as yes, count(*) filter (kept is null) as open from edges join s{r - 1} on early = ord group by 1), s{r} as (select s.ord, coalesce(kept, case when yes then false when open = 0 then true end) as kept from s{r - 1} s left join t{r} using (ord))")
+    return ", ".join(out) + f", final as (select * from s{rounds})"
+
+
+_DEDUP = f"with d as (select doc_id as ord, coalesce(text, '') as t from documents), {_signature('d')}, {_BANDS}, {_EDGES}, {_kept()}"
+_JUDGED = f"j as (select ord, prompt, t, {_language('t', 'en')} as conf, {_STRIPPED} as st from d), l as (select *, case when conf < 0.5 then '{STATUSES[0]}' when not (length(st) between 150 and 8000) then '{STATUSES[1]}' when not ({_GATE('st')}) then '{STATUSES[2]}' else '' end as local from j)"
+_PAGES = "p as (select page_id as ord, regexp_replace(url, '[?#].*$', '') as source_id from pages)"
+_SEEN = "seen as (select distinct prompt, source_id from (select 'faq' as prompt, source_id from p where ord % 3 = 0 union all select 'math', source_id from p where ord % 5 = 0) where source_id is not null)"
+_FAN = "f as (select p.*, x.prompt from p cross join (select unnest([" + ", ".join(f"'{p}'" for p in PROMPTS) + "]) as prompt) x)"
+_bucket = lambda n: f"case when x < 0 or x > 1 then {n - 1} else list_min(list_filter(range({n}), lambda i: x <= (i + 1) / {n}.0::double)) end::int as of_{n}"
+_SHARDS = "s as (select source as prompt, doc_id as ord, (row_number() over (partition by source order by doc_id) - 1) // 8 as shard from documents)"
+_TEMPLATE = lambda p: "'" + TEMPLATES[p].replace("'", "''") + "'"
+
+ORACLE_SQL = {
+    "verdict_profile": f"with {_DOCS}, {_PROFILE}",
+    "scan_documents": f"with {_DOCS} select doc_id, length(t)::int as n, {_VERDICT} as verdict from d",
+    "profile_limited": f"with d as (select doc_id, coalesce(text, '') as t, n_chars from documents order by doc_id limit 100), {_PROFILE}",
+    "truncate_docs": f"with {_DOCS}, x as (select doc_id, {_TRUNC(600)} as h from d) select doc_id, md5(h) as head_md5, length(h)::int as n from x",
+    "prompt_render": f"with {_DOCS}, x as (select doc_id, {_TRUNC(12000)} as h from d) " + " union all ".join(f"select doc_id, '{p}' as prompt, md5(replace({_TEMPLATE(p)}, '{{doc}}', h)) as request_md5 from x" for p in PROMPTS),
+    "normalize_ws": f"with {_DOCS} select doc_id, md5({_COLLAPSE.replace('{t}', 't')}) as text_md5 from d",
+    "lang_score": f"with {_DOCS} select doc_id, round({_language('t', 'en')}, 9) as score from d",
+    "strip_preamble": f"with {_TURNS} select ord, md5({_STRIPPED}) as text_md5 from d",
+    "refusal_flag": f"with {_TURNS} select ord, {_REFUSES} as refusal from d",
+    "tokens": f"with {_DOCS} select doc_id, len({_TOK})::int as n, md5(array_to_string({_TOK}, ' ')) as tokens_md5 from d",
+    "shingles": f"with {_DOCS}, x as (select doc_id, {_TOK} as k from d), y as (select doc_id, {_SH} as s from x) select doc_id, len(s)::int as n, md5(array_to_string(list_sort(s), '|')) as shingles_md5 from y",
+    "minhash_sig": f"with d as (select doc_id as ord, coalesce(text, '') as t from documents), {_signature('d')} select ord as doc_id, md5(array_to_string(sig, ',')) as sig_md5 from sig",
+    "lsh_bands": f"with d as (select doc_id as ord, coalesce(text, '') as t from documents), {_signature('d')}, {_BANDS} select ord as doc_id, band, band_key from bands",
+    "near_dup_pairs": f"with d as (select doc_id as ord, coalesce(text, '') as t from documents), {_signature('d')}, {_BANDS}, {_EDGES} select early, late from edges",
+    "near_dedup": f"{_DEDUP} select ord, kept from final",
+    "dup_audit": f"{_DEDUP} select count(*) as total, count(*) filter (not kept) as dup, count(*) filter (kept) as uniq, coalesce(round(count(*) filter (not kept) * 100.0::double / count(*), 6), 0) as pct from final",
+    "size_str": "with x as (select doc_id, doc_id * doc_id * n_chars as n from documents) select doc_id, case when n < 1024 then printf('%.1fB', n::double) when n < 1048576 then printf('%.1fKB', n / 1024.0::double) when n < 1073741824 then printf('%.1fMB', n / 1048576.0::double) when n < 1099511627776 then printf('%.1fGB', n / 1073741824.0::double) else printf('%.1fTB', n / 1099511627776.0::double) end as size from x",
+    "text_head": f"with {_DOCS} select doc_id, md5(array_to_string(list_slice(string_split_regex(regexp_replace(t, '^\\s+|\\s+$', '', 'g'), '\\r\\n|[\\n\\r]'), 1, 6), chr(10))) as head_md5 from d",
+    "length_gate": f"with {_TURNS} select ord, length(t) between 150 and 8000 as ok from d",
+    "format_gate": f"with {_TURNS} select ord, prompt, {_GATE('t')} as ok from d",
+    "confidence_stats": f"with {_DOCS}, x as (select {_language('t', 'en')} as c from d) select round(min(c), 9) as lo, round(avg(c), 9) as mean, round(max(c), 9) as hi from x where c >= 0.5",
+    "prompt_fanout": "with p as (select doc_id from documents), " + _FAN + " select doc_id, prompt from f",
+    "resume_ids": f"with {_PAGES}, {_SEEN} select prompt, source_id from seen",
+    "resume_anti_join": f"with {_PAGES}, {_SEEN}, {_FAN} select ord, prompt, source_id from f where not exists (select 1 from seen s where s.prompt = f.prompt and s.source_id = f.source_id)",
+    "first_per_source": f"with {_PAGES}, {_FAN} select min(ord) as ord, prompt, source_id from f group by prompt, source_id",
+    "max_docs": f"with {_PAGES}, {_SEEN}, {_FAN}, o as (select ord, prompt from f where not exists (select 1 from seen s where s.prompt = f.prompt and s.source_id = f.source_id)) select ord, prompt from o where ord in (select distinct ord from o order by ord limit 40)",
+    "seen_counts": f"with {_PAGES}, {_SEEN}, e as (select unnest([{', '.join(repr(p) for p in PROMPTS)}]) as prompt) select e.prompt, count(source_id) as n from e left join seen using (prompt) group by 1",
+    "skip_counts": f"with {_PAGES}, {_SEEN}, {_FAN} select f.prompt, count(s.source_id) as skipped from f left join seen s on s.prompt = f.prompt and s.source_id = f.source_id group by 1",
+    "by_source": "select source, count(*) as len from documents group by 1",
+    "spot_check": f"with {_TURNS}, r as (select ord, prompt, row_number() over (partition by prompt order by md5('0' || ord), ord) as r, count(*) over (partition by prompt) as c from d) select ord, prompt from r where r <= greatest(c // 4, 1)",
+    "rephrase_stub": f"with {_DOCS}, x as (select doc_id, {_TRUNC(12000)} as h from d) " + " union all ".join(f"select doc_id as ord, '{p}' as prompt, md5(h) as text_md5, '{CONFIG.vllm_model_id}' as model, '{CONFIG.source_config}' as source_data from x" for p in PROMPTS),
+    "route_buckets": f"with e as (select event_id, event_id / 977.0::double - 0.05::double as x from events) select event_id, {', '.join(_bucket(n) for n in (1, 2, 3, 4, 7))} from e",
+    "shard_assign": f"with {_SHARDS} select prompt, ord, shard from s",
+    "merge_shards": f"with {_TURNS} select prompt, 'conversations' as source_data, count(*) as n_rows, sum(strlen(t))::bigint as bytes from d group by 1",
+    "publish_plan": f"with {_SHARDS} select distinct 'kept/' || prompt || '/' || printf('part-%05d.parquet', shard) as local, prompt || '/' || printf('part-%05d.parquet', shard) as remote from s",
+} | {f"format_{p}": f"with {_DOCS} select doc_id, {_FORMAT[p].format(t='t')} as ok from d" for p in PROMPTS}
+_CHAIN = f"with {_TURNS}, {_JUDGED}, k as (select ord, prompt, st as t from l where local = ''), {_signature('k')}, {_BANDS}, edges as (select distinct a.ord as early, b.ord as late from bands a join bands b using (band, band_key) join k ka on ka.ord = a.ord join k kb on kb.ord = b.ord where a.ord < b.ord and ka.prompt = kb.prompt), {_kept()}, o as (select l.*, case when local <> '' then local when kept then '' else '{STATUSES[3]}' end as status from l left join final using (ord))"
+ORACLE_SQL["filter_chain"] = f"{_CHAIN} select ord, prompt, status from o"
+ORACLE_SQL["failed_records"] = f"{_CHAIN} select ord, prompt, md5(t) as text_md5, null::float as language_confidence, status as failure_reason from o where status <> ''"
+_NAMES = ("dropped_lang", "dropped_length", "dropped_format", "dropped_dup")
+_COUNTS = ", ".join(f"count(*) filter (status = '{s}') as {n}" for s, n in zip((*STATUSES, ""), (*_NAMES, "kept"), strict=True))
+ORACLE_SQL["filter_stats"] = f"{_CHAIN}, c as (select count(*) as seen, {_COUNTS} from o) select *, {', '.join(f'{n} * 100.0::double / greatest(seen, 1) as {n}_pct' for n in (*_NAMES, 'kept'))} from c"
