@@ -100,6 +100,14 @@ def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int =
     return ToxicityModel(weights, float(w[-1]), prior)
 
 
+def _smallest(ids: DataFrame, count: int, wanted: int) -> DataFrame:
+    """The ``wanted`` ids of the smallest hashes. Ids above a hash with ample room for them aren't sorted, so that the last task's input doesn't grow with the table."""
+    rank, room = F.xxhash64("id"), wanted + wanted // 4 + 1000
+    if count > room:
+        ids = ids.where(rank < F.lit(-(2**63) + 2**64 * room // count))
+    return ids.orderBy(rank, "id").limit(wanted)
+
+
 def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", usable=None, max_positive: int = 6000, max_unlabelled: int = 12000) -> ToxicityModel:
     """Fit on at most ``max_positive`` confirmed rows and ``max_unlabelled`` others, those of the smallest id hashes.
 
@@ -107,12 +115,12 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     """
     usable = usable or (lambda c: F.lit(True))
     labels = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("y")).where(F.col("id").isNotNull() & F.col("y").isNotNull() & usable(F.col("id")))
-    total, toxic = labels.agg(F.count("*"), F.sum((F.col("y") == 1).cast("long"))).first()
+    total, toxic, confirmed = labels.agg(F.count("*"), F.sum((F.col("y") == 1).cast("long")), F.countDistinct(F.when(F.col("y") == 1, F.col("id")))).first()
     prior = min(max((toxic or 0) / total if total else 0.01, 1e-3), 0.999)
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    rank = F.xxhash64("id")
-    chosen = labels.where("y = 1").select("id").distinct().orderBy(rank, "id").limit(max_positive).withColumn("positive", F.lit(1))
-    drawn = texts.select("id").where(F.col("id").isNotNull() & usable(F.col("id"))).orderBy(rank, "id").limit(max_unlabelled).distinct().withColumn("positive", F.lit(0))
+    chosen = _smallest(labels.where("y = 1").select("id").distinct(), confirmed, max_positive).withColumn("positive", F.lit(1))
+    open_ = texts.select("id").where(F.col("id").isNotNull() & usable(F.col("id")))
+    drawn = _smallest(open_, open_.count(), max_unlabelled).distinct().withColumn("positive", F.lit(0))
     wanted = chosen.unionByName(drawn).groupBy("id").agg(F.max("positive").alias("p"), F.min("positive").alias("u"))
     rows = texts.join(F.broadcast(wanted), "id").select(F.col("p") * 2 + F.col("u"), "text").toDF("id", "text").mapInArrow(_distinct, "id int, features array<int>").toArrow()
     kind = np.asarray(rows["id"])
