@@ -1,10 +1,10 @@
 """Benchmark decontamination with suffix arrays over the training documents.
 
-Each Arrow batch of documents is one shard. Its suffix array is sparse: it has the suffixes whose
-first words (four, or the whole window if shorter) begin some test window; the others cannot match
-one. Suffixes are ordered by word numbers, eight words at a time and only among ties. Every test
-window start is then searched in it by bisection, all at once, which gives all places of the
-window; from there the match is followed to its full length.
+Documents are cut into shards of bounded size (a longer text is one of its own). A shard's suffix
+array is sparse: it has the suffixes whose first words (four, or the whole window if shorter) begin
+some test window; the others cannot match one. Suffixes are ordered by word numbers, eight words at
+a time and only among ties. Every test window start is then searched in it by bisection, all at
+once, which gives all places of the window; from there the match is followed to its full length.
 
 The test set is the stated query set. It is numbered in blocks of bounded size, each of which is a
 broadcast; a shard is searched with one block after the other, so the test set may be any size.
@@ -24,6 +24,8 @@ from . import words
 
 #: Words of the test set in one broadcast.
 BLOCK_WORDS = 1_000_000
+#: Words of the documents in one suffix array.
+SHARD_WORDS = 1 << 19
 HEAD = 4
 FOUND = "id long, n_words long, n_hit long, items array<string>, matches array<struct<item:string,item_word:long,doc_word:long,length:long>>"
 
@@ -141,15 +143,22 @@ class TestBlock:
         return place, which, length
 
 
-def _scan(batches: Iterator[pa.RecordBatch], blocks: list) -> Iterator[pa.RecordBatch]:
+def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
+    """Ids, word hashes and words a document of shards of about ``SHARD_WORDS`` words, whatever a batch holds."""
     for batch in batches:
-        hashes, size = [], []
+        first, hashes, size = 0, [], []
         for span in words.spans(batch.column(1)):
             hashes.append(span.hashes())
             size.append(np.diff(span.bounds))
-        n = batch.num_rows
-        size = np.concatenate([*size, np.zeros(0, np.int64)]).astype(np.int64)
-        hashes = np.concatenate([*hashes, np.zeros(0, np.uint64)])
+            last = span.first + span.docs
+            if last == batch.num_rows or sum(map(len, hashes)) >= SHARD_WORDS:
+                yield batch.column(0).slice(first, last - first), np.concatenate(hashes), np.concatenate(size).astype(np.int64)
+                first, hashes, size = last, [], []
+
+
+def _scan(batches: Iterator[pa.RecordBatch], blocks: list) -> Iterator[pa.RecordBatch]:
+    for ids, hashes, size in _shards(batches):
+        n = len(ids)
         start = np.cumsum(size + 1) - size - 1
         place = np.arange(len(hashes)) + np.repeat(np.arange(n), size)
         edge = np.zeros(int(size.sum()) + n + 17, np.int32)
@@ -173,7 +182,7 @@ def _scan(batches: Iterator[pa.RecordBatch], blocks: list) -> Iterator[pa.Record
         hit = np.concatenate([[0], np.cumsum(np.cumsum(edge) > 0)])
         n_hit = hit[start + size] - hit[start]
         yield pa.RecordBatch.from_arrays(
-            [batch.column(0), pa.array(size), pa.array(n_hit.astype(np.int64)), pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())),
+            [ids, pa.array(size), pa.array(n_hit.astype(np.int64)), pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())),
              pa.array([found.get(d, []) for d in range(n)], pa.list_(pa.struct([("item", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("length", pa.int64())])))],
             names=["id", "n_words", "n_hit", "items", "matches"],
         )

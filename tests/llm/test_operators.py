@@ -101,6 +101,20 @@ def test_suffix_matches(spark, edges, docs, sf):
         assert all(bool(r.matches) == bool(r.n_hit) for r in got)
 
 
+def test_suffix_shards_of_one_batch(monkeypatch):
+    import pyarrow as pa
+
+    rng = np.random.default_rng(5)
+    texts = [" ".join(f"w{i}" for i in rng.integers(0, 3, n)) for n in rng.integers(0, 200, 60)] + [None, ""]
+    block = type("Block", (), {"value": suffix_match.TestBlock(["a", "b"], texts[:2], 5)})
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
+    (whole,) = suffix_match._scan(iter([batch]), [block])
+    monkeypatch.setattr(suffix_match, "SHARD_WORDS", 300)
+    monkeypatch.setattr(suffix_match.words, "SPAN_BYTES", 256)
+    parts = list(suffix_match._scan(iter([batch]), [block]))
+    assert len(parts) > 3 and pa.Table.from_batches(parts).to_pylist() == whole.to_pylist()
+
+
 def test_longest_match_has_its_places(spark):
     docs = spark.createDataFrame([(1, "x y " + " ".join(f"t{i}" for i in range(20)) + " z")], "doc_id long, text string")
     items = spark.createDataFrame([(9, "q " + " ".join(f"t{i}" for i in range(20)))], "item_id long, text string")
