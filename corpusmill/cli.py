@@ -13,6 +13,7 @@ from .functions import text as tx
 from .operators import dedup, rows
 from .plans import curate
 from .sources import scan, sink
+from .sources.chat import ChatRephraser
 
 
 def parser() -> argparse.ArgumentParser:
@@ -24,6 +25,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--prompts")
     p.add_argument("--rehydration", action=argparse.BooleanOptionalAction, default=False)
     p.add_argument("--publish-to", default="./data/published")
+    p.add_argument("--generator", choices=("http", "echo"), default="http")
     p = sub.add_parser("spot-check")
     p.add_argument("--n", type=int, default=50)
     p = sub.add_parser("profile")
@@ -33,7 +35,10 @@ def parser() -> argparse.ArgumentParser:
     p = sub.add_parser("check-dups")
     p.add_argument("prompt", choices=PROMPTS)
     p.add_argument("--root")
+    p.add_argument("--threshold", type=float, default=0.8)
+    p.add_argument("--num-perm", type=int, default=128)
     p = sub.add_parser("read-shards")
+    p.add_argument("prompt", choices=PROMPTS, nargs="?")
     p.add_argument("--root")
     p.add_argument("--out")
     p.add_argument("--compression", default="zstd")
@@ -56,7 +61,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     spark = spark or SparkSession.builder.appName("corpusmill").getOrCreate()
     root = getattr(args, "root", None) or getattr(args, "input", None) or config.local_shard_dir
     if args.command == "run":
-        curate.run(spark, replace(config, local_shard_dir=root), max_docs=args.max_docs, prompts=chosen_prompts(args.prompts), dry_run=args.dry_run, rehydration=args.rehydration, publisher=sink.FolderPublisher(args.publish_to)).show(truncate=False)
+        curate.run(spark, replace(config, local_shard_dir=root), max_docs=args.max_docs, prompts=chosen_prompts(args.prompts), dry_run=args.dry_run, rehydration=args.rehydration, rephraser=ChatRephraser.of(config) if args.generator == "http" else curate.echo, publisher=sink.FolderPublisher(args.publish_to)).show(truncate=False)
     elif args.command == "spot-check":
         some = rows.sampled(scan.shards(spark, root))
         some.groupBy("prompt").agg(F.count("*"), F.min("language_confidence"), F.avg("language_confidence"), F.max("language_confidence")).show()
@@ -68,12 +73,14 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     elif args.command == "check-dups":
         kept = scan.shards(spark, root).where(F.col("prompt") == args.prompt)
         numbered = kept.select("prompt", "text", F.struct("source_data", "source_id").alias("ord"))
-        dedup.near_dedup(numbered, ["prompt"]).groupBy("prompt").agg(F.count("*").alias("total"), F.count_if(~F.col("kept")).alias("dup"), F.count_if("kept").alias("unique")).show()
+        dedup.near_dedup(numbered, ["prompt"], n=args.num_perm, banded=dedup.banding(args.threshold, args.num_perm)).groupBy("prompt").agg(F.count("*").alias("total"), F.count_if(~F.col("kept")).alias("dup"), F.count_if("kept").alias("unique")).show()
     elif args.command == "read-shards":
         kept = scan.shards(spark, root)
+        if args.prompt:
+            kept = kept.where(F.col("prompt") == args.prompt)
         kept.groupBy("source_data").agg(F.count("*").alias("len")).orderBy(F.desc("len"), "source_data").show()
         if args.out:
-            sink.merge_shards(spark, root, args.out, args.compression)
+            sink.merge_shards(kept, args.out, args.compression)
     elif args.command == "publish":
         plan = sink.publish(spark, root, sink.FolderPublisher(args.to), chosen_prompts(args.prompts), args.dest_prefix, args.dry_run)
         if plan is not None:

@@ -24,6 +24,18 @@ def constants(n: int = 128) -> tuple[list[int], list[int]]:
     return [1 + word(f"a{i}") % (PRIME - 1) for i in range(n)], [word(f"b{i}") % PRIME for i in range(n)]
 
 
+def banding(threshold: float, n: int = 128) -> tuple[int, int]:
+    """Bands and rows of at most ``n`` values with the least sum of false positives below and false negatives above ``threshold``."""
+    s = np.arange(0.0005, 1, 0.001)
+    low = s < threshold
+
+    def errors(b: int, r: int) -> float:
+        miss = (1 - s**r) ** b
+        return float((1 - miss[low]).sum() + miss[~low].sum())
+
+    return min(((b, r) for b in range(1, n + 1) for r in range(1, n // b + 1)), key=lambda x: errors(*x))
+
+
 def signatures(df: DataFrame, text_col: str = "text", n: int = 128) -> DataFrame:
     """``df`` with ``sig``: the least of each permutation over the shingles' hashes; the prime where there are none."""
     a, b = constants(n)
@@ -75,18 +87,18 @@ def first_kept(nodes: DataFrame, edges: DataFrame, scope: list[str], ord_col: st
     return state
 
 
-def near_dedup(df: DataFrame, scope: list[str], ord_col: str = "ord", text_col: str = "text", known: DataFrame | None = None) -> DataFrame:
+def near_dedup(df: DataFrame, scope: list[str], ord_col: str = "ord", text_col: str = "text", known: DataFrame | None = None, n: int = 128, banded: tuple[int, int] = (BANDS, ROWS)) -> DataFrame:
     """``(scope, ord, kept)`` for each row; ``known`` has kept texts of earlier runs, which come first and stay.
 
     Equal signatures are folded into their first document before the join, so copies make no pairs.
     """
-    signed = signatures(df.select(*scope, ord_col, text_col), text_col)
+    signed = signatures(df.select(*scope, ord_col, text_col), text_col, n)
     if known is not None:
-        old = signatures(known.select(*scope, text_col), text_col).select(*scope, "sig").distinct()
-        hit = bands(signed, [*scope, ord_col]).join(bands(old, scope).distinct(), [*scope, "band", "band_key"], "left_semi").select(*scope, ord_col).distinct()
+        old = signatures(known.select(*scope, text_col), text_col, n).select(*scope, "sig").distinct()
+        hit = bands(signed, [*scope, ord_col], *banded).join(bands(old, scope, *banded).distinct(), [*scope, "band", "band_key"], "left_semi").select(*scope, ord_col).distinct()
         signed = stored(signed.select(*scope, ord_col, "sig").join(hit.withColumn("old", F.lit(True)), [*scope, ord_col], "left"), "signed")
     else:
         signed = stored(signed.select(*scope, ord_col, "sig").withColumn("old", F.lit(None).cast("boolean")), "signed")
     firsts = signed.where("old is null").groupBy(*scope, "sig").agg(F.min(ord_col).alias(ord_col))
-    state = first_kept(firsts, collisions(bands(firsts, [*scope, ord_col]), scope, ord_col), scope, ord_col)
+    state = first_kept(firsts, collisions(bands(firsts, [*scope, ord_col], *banded), scope, ord_col), scope, ord_col)
     return signed.select(*scope, ord_col).join(state, [*scope, ord_col], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))

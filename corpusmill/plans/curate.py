@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from concurrent.futures import ThreadPoolExecutor
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -28,25 +29,28 @@ def endpoint(source_id: Column, prompt: Column, n: int) -> Column:
     return tx.bucket(x, n)
 
 
-def rephrased(pairs: DataFrame, config: Config, rephraser: Rephraser = echo) -> DataFrame:
+def rephrased(pairs: DataFrame, config: Config, rephraser: Rephraser = echo, in_flight: int = 1) -> DataFrame:
     """Adds the rewriter's ``text`` to ``(ord, source_id, prompt, text)``; failed calls leave out their pair.
 
-    Rows stream through Arrow batches; a partition is a window of calls.
+    Rows stream through Arrow batches; a task has at most ``in_flight`` calls open.
     """
     base, ports = config.vllm_base_url, config.vllm_ports
     urls = [f"{base}:{p}/v1" for p in ports]
     asked = pairs.withColumn("request", rows.rendered(tx.truncated(F.col("text"), config.max_input_chars), F.col("prompt"))).withColumn("endpoint", endpoint(F.col("source_id"), F.col("prompt"), len(urls)))
     out = asked.select("ord", "source_id", "prompt", "endpoint", "request")
 
+    def one(e: int, p: str, r: str) -> str | None:
+        try:
+            return rephraser(urls[int(e)], p, r)
+        except Exception:  # the pair is dropped, the run goes on
+            return None
+
     def call(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            texts = []
-            for e, p, r in zip(batch["endpoint"], batch["prompt"], batch["request"], strict=True):
-                try:
-                    texts.append(rephraser(urls[int(e)], p, r))
-                except Exception:  # the pair is dropped, the run goes on
-                    texts.append(None)
-            yield batch.drop(columns=["endpoint", "request"]).assign(text=texts)
+        with ThreadPoolExecutor(in_flight) as pool:
+            each = pool.map if in_flight > 1 else map
+            for batch in batches:
+                texts = list(each(one, batch["endpoint"], batch["prompt"], batch["request"]))
+                yield batch.drop(columns=["endpoint", "request"]).assign(text=texts)
 
     schema = out.drop("endpoint", "request").schema.add("text", "string")
     return out.mapInPandas(call, schema).where("text is not null").withColumn("model", F.lit(config.vllm_model_id)).withColumn("source_data", F.lit(config.source_config))
@@ -76,7 +80,10 @@ def outcomes(records: DataFrame, config: Config, known: DataFrame | None = None,
 
 
 def run(spark: SparkSession, config: Config, docs: DataFrame | None = None, max_docs: int | None = None, prompts: tuple[str, ...] = PROMPTS, dry_run: bool = True, rehydration: bool = False, rephraser: Rephraser = echo, publisher: sink.Publisher | None = None) -> DataFrame:
-    """One run over ``docs`` (default: the configured source); returns its statistics, one row."""
+    """One run over ``docs`` (default: the configured source); returns its statistics, one row.
+
+    ``config.concurrency`` calls are shared by the tasks that run at once.
+    """
     docs = scan.configured(spark, config) if docs is None else docs
     docs = docs.where(tx.verdict(F.col("text"), config.script) == "kept").select("ord", "source_id", "text").where("source_id is not null")
     pairs = rows.first_per_source(rows.fanout(docs, prompts))
@@ -87,7 +94,8 @@ def run(spark: SparkSession, config: Config, docs: DataFrame | None = None, max_
     known = scan.shards(spark, config.local_shard_dir) if rehydration else None
     if known is not None:
         known = known.where(F.col("source_data") == config.source_config).select("prompt", "text")
-    done = stored(outcomes(stored(rephrased(pairs, config, rephraser), "rephrased"), config, known), "outcomes")
+    in_flight = 1 if rephraser is echo else max(1, config.concurrency // spark.sparkContext.defaultParallelism)
+    done = stored(outcomes(stored(rephrased(pairs, config, rephraser, in_flight), "rephrased"), config, known), "outcomes")
     sink.write_shards(done, config.local_shard_dir, config.rows_per_flush)
     if publisher is not None and not dry_run:
         sink.publish(spark, config.local_shard_dir, publisher, prompts, dry_run=False)

@@ -20,8 +20,9 @@ def write_shards(df: DataFrame, root: str, rows: int = 8000) -> None:
         own.select(*cols).write.mode("append").option("compression", "zstd").option("maxRecordsPerFile", rows).partitionBy("prompt").parquet(f"{root}/{kind}")
 
 
-def merge_shards(spark: SparkSession, root: str, out: str, compression: str = "zstd") -> None:
-    spark.read.parquet(f"{root}/kept").coalesce(1).write.mode("overwrite").option("compression", compression).parquet(out)
+def merge_shards(kept: DataFrame, out: str, compression: str = "zstd") -> None:
+    """All rows as one file, which is what is asked for here."""
+    kept.coalesce(1).write.mode("overwrite").option("compression", compression).parquet(out)
 
 
 def publish_plan(spark: SparkSession, root: str, prompts: tuple[str, ...] = PROMPTS, prefix: str = "") -> DataFrame:

@@ -1,18 +1,22 @@
 """Column functions, duplicate removal and whole runs on hand-made rows; queries against DuckDB."""
 
 import glob
+import http.server
+import json
 import os
+import threading
 
 import duckdb
 import pytest
 from pyspark.sql import functions as F
 
-from corpusmill import queries
+from corpusmill import cli, queries
 from corpusmill.config import PROMPTS, Config, chosen_prompts
 from corpusmill.functions import text as tx
 from corpusmill.operators import dedup, rows
 from corpusmill.plans import curate
 from corpusmill.sources import scan, sink
+from corpusmill.sources.chat import ChatRephraser
 
 
 def values(spark, texts, column):
@@ -84,11 +88,45 @@ def test_runs_resume(spark, tmp_path):
     assert {r.remote.split("/")[0] for r in plan.collect()} == set(PROMPTS)
     sink.publish(spark, config.local_shard_dir, sink.FolderPublisher(f"{tmp_path}/hub"), dry_run=False)
     assert len(glob.glob(f"{tmp_path}/hub/*/*.parquet")) == plan.count()
-    sink.merge_shards(spark, config.local_shard_dir, f"{tmp_path}/one")
+    sink.merge_shards(scan.shards(spark, config.local_shard_dir), f"{tmp_path}/one")
     assert spark.read.parquet(f"{tmp_path}/one").count() == 20
     assert scan.seen_ids(spark, config.local_shard_dir, "other").count() == 0
 
 
+def test_banding_and_commands(spark, tmp_path, capsys):
+    assert dedup.banding(0.8) == (dedup.BANDS, dedup.ROWS)
+    text = "λύση " + " ".join(f"w{i}" for i in range(60))
+    done = spark.createDataFrame([(text, f"u{i}", "d", "math", "m", 0.9, "") for i in range(3)], "text string, source_id string, source_data string, prompt string, model string, language_confidence double, status string")
+    sink.write_shards(done, f"{tmp_path}/out")
+    cli.main(["check-dups", "math", "--root", f"{tmp_path}/out", "--threshold", "0.5", "--num-perm", "64"], spark)
+    assert "|  math|    3|  2|     1|" in capsys.readouterr().out
+    cli.main(["read-shards", "faq", "--root", f"{tmp_path}/out", "--out", f"{tmp_path}/faq"], spark)
+    cli.main(["read-shards", "--root", f"{tmp_path}/out", "--out", f"{tmp_path}/all"], spark)
+    assert spark.read.parquet(f"{tmp_path}/faq").count() == 0 and spark.read.parquet(f"{tmp_path}/all").count() == 3
+
+
+def test_chat_endpoint(spark):
+    class Handler(http.server.BaseHTTPRequestHandler):
+        def do_POST(self):  # noqa: N802
+            asked = json.loads(self.rfile.read(int(self.headers["Content-Length"])))
+            doc = asked["messages"][1]["content"].split("\n")[-1]
+            out = json.dumps({"choices": [{"message": {"content": f"{asked['model']}:{doc}:{len(asked['messages'])}"}}]}).encode()
+            self.send_response(500 if doc == "fail" else 200)
+            self.end_headers()
+            self.wfile.write(out)
+
+        def log_message(self, *args):
+            pass
+
+    server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
+    threading.Thread(target=server.serve_forever, daemon=True).start()
+    config = Config(vllm_base_url="http://127.0.0.1", vllm_ports=(server.server_port,), vllm_model_id="m")
+    pairs = spark.createDataFrame([(i, f"u{i}", "faq", t) for i, t in enumerate(["one", "fail", "two"])], "ord long, source_id string, prompt string, text string")
+    got = curate.rephrased(pairs, config, ChatRephraser.of(config), in_flight=4).collect()
+    server.shutdown()
+    assert {r.ord: r.text for r in got} == {0: "m:one:2", 2: "m:two:2"}
+
+
 def test_streaming(spark, tmp_path):
     from corpusmill.streaming import incremental
 
