@@ -45,22 +45,26 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         if gap:
             out.extend([("", article > 0)] * WINDOW)
 
-    at, size = 0, len(page)
+    # Beyond the last > there is no tag. A search that ends there meets one from every <, so its cost is linear.
+    at, size, last, headless = 0, len(page), page.rfind(">") + 1, False
     while at < size:
-        found = TOKEN.search(page, at)
+        found = TOKEN.search(page, at, last) if at < last else None
         if not found:
             if not skipped:
-                buffer.append(page[at:])
+                buffer.append(page[at:].partition("<!--")[0])
             break
         if not skipped:
             buffer.append(page[at : found.start()])
         at = found.end()
+        if found[0].startswith("<!--") and not found[0].endswith("-->"):
+            break
         name = (found[2] or found[5] or "").lower()
         if not name:
             continue
         ending, rest = bool(found[1] or found[4]), found[3] or found[6] or ""
         if name in RAW and not ending and not rest.rstrip().endswith("/"):
-            end = re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            end = None if headless and name == "head" else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
+            headless |= name == "head" and not end
             at = end.end() if end else (at if name == "head" else size)
             if name not in ("svg", "math"):
                 close()

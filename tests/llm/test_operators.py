@@ -4,6 +4,7 @@ import base64
 import collections
 import hashlib
 import re
+import time
 import zlib
 
 import numpy as np
@@ -250,6 +251,16 @@ def test_html_text():
     assert html_text.main_text("<p>unclosed <b>mark &eacute") == "unclosed mark é"
 
 
+def test_html_broken_markup_takes_linear_time():
+    start = time.monotonic()
+    for page in ("<a " * 20000, '<a b="c" ' * 20000, "</a " * 20000, "<a '" * 20000, "<!x" * 20000, "<head>x" * 20000, "<!-- x " * 20000):
+        for end in ("", ">"):
+            html_text.main_text(page + end)
+    assert time.monotonic() - start < 20
+    assert html_text.main_text("<p>kept</p>a < b<!-- never > closed <p>x</p>") == "kept\na < b"
+    assert html_text.main_text("<p>kept</p>1 < 2<!-- never closed") == "kept\n1 < 2"
+
+
 def test_html_query(spark, sf):
     got = queries.op9_html_text(spark, sf).collect()
     assert all(r.n_chars == len(r.text) and r.text for r in got)
