@@ -35,7 +35,7 @@ from pyspark.sql import types as T
 
 from . import words
 from .components import connected
-from .shared import materialise, shuffle_partitions
+from .shared import lean, lean_group, materialise, shuffle_partitions
 
 NO_ID = np.iinfo(np.int64).max
 LOW = np.uint64((1 << 48) - 1)
@@ -236,9 +236,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keep one row for each. Other columns are ignored. An empty table gives an empty result.
     """
     spark, fragments = docs.sparkSession, shuffle_partitions(docs.sparkSession)
-    cut = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: _cut(it, k, fragments), BLOBS)
-    blobs = materialise(cut.groupBy("key").applyInArrow(lambda t: _shared(t, fragments), BLOBS), "grams")
-    classes = materialise(blobs.where(F.col("kind") != MEMBERS).groupBy("key").applyInArrow(lambda t: _survivors(t, least, whole), SETS), "classes")
+    cut = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: lean(_cut(it, k, fragments)), BLOBS)
+    blobs = materialise(cut.groupBy("key").applyInArrow(lambda t: lean_group(lambda x: _shared(x, fragments), t), BLOBS), "grams")
+    classes = materialise(blobs.where(F.col("kind") != MEMBERS).groupBy("key").applyInArrow(lambda t: lean_group(lambda x: _survivors(x, least, whole), t), SETS), "classes")
     members = blobs.where(F.col("kind") == MEMBERS).select("a", "b", "c", "d").mapInArrow(_members, "id long, node long, n long")
 
     sets = classes.where("probe > 0")

@@ -19,6 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import lean_group
+
 GROUP_ROWS = 4096
 BINS = "id long, piece int, start long, length long, source string, cluster long, bin string, used long"
 
@@ -90,4 +92,4 @@ def pack(docs: DataFrame, capacity: int = 8192, length: Column | None = None, cl
     rows = docs.select(F.col(id_col).cast("long").alias("id"), length.cast("long").alias("length"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), cluster.cast("long").alias("cluster"))
     groups = max(1, -(-docs.select(F.col(id_col)).count() // group_rows))
     dealt = rows.withColumn("group", F.pmod(F.xxhash64("id", "length"), F.lit(groups)).cast("int"))
-    return dealt.groupBy("group").applyInArrow(lambda t: _pack(t, capacity), BINS).withColumnRenamed("id", id_col)
+    return dealt.groupBy("group").applyInArrow(lambda t: lean_group(lambda x: _pack(x, capacity), t), BINS).withColumnRenamed("id", id_col)

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import contextlib
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -34,3 +38,23 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def release() -> None:
+    """Give freed memory back to the system. Workers live on between tasks, and an executor has to find room for all of them."""
+    pa.default_memory_pool().release_unused()
+    with contextlib.suppress(AttributeError, OSError):  # not glibc
+        ctypes.CDLL(None).malloc_trim(0)
+
+
+def lean(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The same batches; memory is given back after the last."""
+    yield from batches
+    release()
+
+
+def lean_group(f: Callable[[pa.Table], pa.Table], table: pa.Table) -> pa.Table:
+    """``f(table)``; what it used meanwhile is given back."""
+    out = f(table)
+    release()
+    return out

@@ -21,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .shared import lean
 
 #: Words of the test set in one broadcast.
 BLOCK_WORDS = 1_000_000
@@ -220,5 +221,5 @@ def suffix_matches(docs: DataFrame, items: DataFrame, window: int = 10, id_col:
     columns are ignored.
     """
     blocks = test_blocks(items, item_id, item_text, window, block_words)
-    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: _scan(it, blocks), FOUND)
+    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: lean(_scan(it, blocks)), FOUND)
     return found.withColumnRenamed("id", id_col)

@@ -24,6 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
+from .shared import lean
 
 BINS = 1 << 20
 #: Bytes of a word's head; None is the whole word.
@@ -122,7 +123,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     open_ = texts.select("id").where(F.col("id").isNotNull() & usable(F.col("id")))
     drawn = _smallest(open_, open_.count(), max_unlabelled).distinct().withColumn("positive", F.lit(0))
     wanted = chosen.unionByName(drawn).groupBy("id").agg(F.max("positive").alias("p"), F.min("positive").alias("u"))
-    rows = texts.join(F.broadcast(wanted), "id").select(F.col("p") * 2 + F.col("u"), "text").toDF("id", "text").mapInArrow(_distinct, "id int, features array<int>").toArrow()
+    rows = texts.join(F.broadcast(wanted), "id").select(F.col("p") * 2 + F.col("u"), "text").toDF("id", "text").mapInArrow(lambda it: lean(_distinct(it)), "id int, features array<int>").toArrow()
     kind = np.asarray(rows["id"])
     lists = [np.asarray(x.values) for x in rows["features"]]
     lists = [np.asarray(x, np.int32) for x in lists]
@@ -147,7 +148,7 @@ def _scored(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
 def toxicity_scores(docs: DataFrame, model: ToxicityModel, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, score)`` for each row; a null or empty text has the score of no features. The model (4 MB) is broadcast."""
     shared = docs.sparkSession.sparkContext.broadcast(model)
-    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: _scored(it, shared), "id long, score double").withColumnRenamed("id", id_col)
+    return docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: lean(_scored(it, shared)), "id long, score double").withColumnRenamed("id", id_col)
 
 
 def _clean(batches: Iterator[pa.RecordBatch], shared, text: int, limit: float) -> Iterator[pa.RecordBatch]:
@@ -160,4 +161,4 @@ def _clean(batches: Iterator[pa.RecordBatch], shared, text: int, limit: float) -
 def without_toxic(docs: DataFrame, model: ToxicityModel, text_col: str = "text", limit: float = 0.5) -> DataFrame:
     """The rows of ``docs`` whose score is below ``limit``, with all their columns and without a join."""
     shared, text = docs.sparkSession.sparkContext.broadcast(model), docs.columns.index(text_col)
-    return docs.mapInArrow(lambda it: _clean(it, shared, text, limit), docs.schema)
+    return docs.mapInArrow(lambda it: lean(_clean(it, shared, text, limit)), docs.schema)
