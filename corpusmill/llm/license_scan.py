@@ -14,6 +14,8 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .url_filter import LOWER, UPPER
+
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
 #: label, notice, key phrases (their first word's position, their words)
 TEMPLATES: list[tuple[str, str, list[tuple[int, str]]]] = [
@@ -37,6 +39,7 @@ def _texts(items) -> str:
 def license_scan(docs: DataFrame, phrases: dict[str, str], templates=None, id_col: str = "doc_id", text_col: str = "text", least_idf: float = 1.0) -> DataFrame:
     """``(id_col, n_words, n_base, first_word, last_word, base_labels, labels, score, places)`` for each row.
 
+    Words are runs of digits, letters and anything beyond ASCII; only A-Z are lower-cased.
     ``phrases`` maps each base phrase (words in lower case) to its label; ``n_base`` counts all its
     places. ``labels`` adds the templates found by the index; both are distinct, sorted and
     comma-joined. ``places`` has each found template's label and first word; ``score`` is the best
@@ -47,7 +50,7 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], templates=None, id_co
     repeated rows are returned as often as they come; other columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates
-    rows = docs.select(F.col(id_col).alias("__id"), F.lower(F.coalesce(F.col(text_col).cast("string"), F.lit(""))).alias("__low"))
+    rows = docs.select(F.col(id_col).alias("__id"), F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).alias("__low"))
     split = rows.select("__id", F.regexp_extract_all("__low", F.lit(WORD), F.lit(0)).alias("words"))
     tokens = [t[1].split() for t in templates]
     vocabulary = sorted({w for t in tokens for w in t})

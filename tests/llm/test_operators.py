@@ -212,6 +212,13 @@ def test_license_scan(edges, docs):
     assert found[last] == "gpl-3" and found[last - 1] == "all-rights-reserved" and found[last - 2] == "apache-2,cc-by-nc,mit"
 
 
+def test_license_scan_folds_only_ascii(spark):
+    texts = ["\u212aopie libre \u00e9t\u00e9", "Kopie libre \u00c9T\u00c9", "x Kopie LIBRE \u00e9t\u00e9", "M\u0130T License, under the MIT License"]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r for r in license_scan(docs, {"kopie libre \u00e9t\u00e9": "libre", "under the mit license": "mit"}).collect()}
+    assert [got[i].base_labels for i in range(4)] == ["", "", "libre", "mit"] and got[2].first_word == 1 and got[3].first_word == 2
+
+
 def test_warc_round_trip(spark, sf):
     rows = [(3, "http://a/\r\nx", "<p>é</p>"), (1, None, "<p>é</p>"), (2, "u", None), (5, "u", ""), (7, "u", "x" * 200000), (9, "u", "z"), (9, "u", "z"), (None, "u", "z")]
     pages = spark.createDataFrame([(*r, "c") for r in rows], "page_id long, url string, html string, payload string")
