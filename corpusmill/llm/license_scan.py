@@ -45,9 +45,10 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], templates=None, id_co
     comma-joined. ``places`` has each found template's label and first word; ``score`` is the best
     share, weighed by rarity, of a found template's words that stand at their places.
 
-    Licence words of an idf below ``least_idf`` don't open a search; if all words of a notice are
-    that frequent, its rarest one does. Null and empty texts have no words or labels and score 0;
-    repeated rows are returned as often as they come; other columns are ignored.
+    Licence words of an idf below ``least_idf`` don't open a search, but for the rarest one of each
+    notice and of each key phrase, so that every place of the key phrases is searched however
+    frequent their words are. Null and empty texts have no words or labels and score 0; repeated
+    rows are returned as often as they come; other columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates
     rows = docs.select(F.col(id_col).alias("__id"), F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).alias("__low"))
@@ -58,7 +59,7 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], templates=None, id_co
     counts = {r["w"]: r["count"] for r in seen.collect()}
     n = counts.get("", 0)
     idf = {w: math.log((n + 1) / (counts.get(w, 0) + 1)) for w in vocabulary}
-    rare = {w for w in vocabulary if idf[w] >= least_idf} | {max(t, key=lambda w: (idf[w], w)) for t in tokens}
+    rare = {w for w in vocabulary if idf[w] >= least_idf} | {max(t, key=lambda w: (idf[w], w)) for t in [*tokens, *(k.split() for t in templates for _, k in t[2])]}
     ranked = sorted(rare, key=lambda w: (-idf[w], w))
 
     postings = "map(" + ", ".join(f"'{w}', array({', '.join(f'struct({t} as t, {p} as p)' for t, own in enumerate(tokens) for p, x in enumerate(own) if x == w)})" for w in ranked) + ")"

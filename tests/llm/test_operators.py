@@ -212,6 +212,20 @@ def test_license_scan(edges, docs):
     assert found[last] == "gpl-3" and found[last - 1] == "all-rights-reserved" and found[last - 2] == "apache-2,cc-by-nc,mit"
 
 
+def test_license_scan_finds_frequent_key_phrases(spark):
+    from corpusmill.llm.license_scan import TEMPLATES
+
+    bare = ["GNU General Public License, version 3", "x MIT License", "All rights reserved"]
+    texts = [bare[i % 3] for i in range(90)] + ["gnu General public"] * 60 + ["This work is licensed under the GNU General Public License version 3."] * 3
+    for hot in (texts, texts[:90], [bare[0]] * 40 + ["plain words"] * 60, [" ".join(bare)] * 5):
+        docs = spark.createDataFrame(list(enumerate(hot)), "doc_id long, text string")
+        got = {r.doc_id: r for r in license_scan(docs, {}).collect()}
+        for i, t in enumerate(hot):
+            w = " " + " ".join(ALNUM.findall(t.translate(ASCII))) + " "
+            want = sorted({label for label, _, keys in TEMPLATES if all(f" {k} " in w for _, k in keys)})
+            assert got[i].labels == ",".join(want) and len(got[i].places) == len(want) and (got[i].score > 0) == bool(want)
+
+
 def test_license_scan_folds_only_ascii(spark):
     texts = ["\u212aopie libre \u00e9t\u00e9", "Kopie libre \u00c9T\u00c9", "x Kopie LIBRE \u00e9t\u00e9", "M\u0130T License, under the MIT License"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
