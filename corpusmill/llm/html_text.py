@@ -3,14 +3,17 @@
 Markup is stripped so that every block element is one line; menus, footers, forms and the like
 leave gaps of empty lines where they stood. The text lengths are summed over a sliding window of
 lines. A region begins where the sum surges above the threshold, back to the gap before it, and
-ends where the sum dives to nothing; the regions' lines are the main text. Inside an ``article`` or
-``main`` element with text, only its own lines count.
+ends where the sum dives to nothing; the regions' lines are the main text. Where ``article`` and
+``main`` elements hold the bulk of the text, only their own lines count. An article in furniture
+(a comment, a teaser) is furniture, but a marked block around the page's ``main``, or around the one
+article with the bulk of its text, is layout and is read.
 """
 
 from __future__ import annotations
 
 import html
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 
 import pyarrow as pa
@@ -30,31 +33,17 @@ ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*
 SPACE = re.compile(r"\s+")
 
 
-def lines_of(page: str) -> list[tuple[str, bool]]:
-    """Each block's text and whether it stands in an article; an empty text is a gap."""
-    out: list[tuple[str, bool]] = []
-    buffer: list[str] = []
-    skipped: list[str] = []
-    article = 0
-
-    def close(gap: bool = False):
-        text = SPACE.sub(" ", html.unescape("".join(buffer))).strip()
-        buffer.clear()
-        if text:
-            out.append((text, article > 0))
-        if gap:
-            out.extend([("", article > 0)] * WINDOW)
-
+def tokens_of(page: str) -> list[tuple[str, str, bool, str]]:
+    """``(text before, name, whether it ends, attributes)`` of each tag; an empty name is a break or the page's end."""
+    out: list[tuple[str, str, bool, str]] = []
     # Beyond the last > there is no tag. A search that ends there meets one from every <, so its cost is linear.
-    at, size, last, headless = 0, len(page), page.rfind(">") + 1, False
+    at, size, last, headless, text = 0, len(page), page.rfind(">") + 1, False, ""
     while at < size:
         found = TOKEN.search(page, at, last) if at < last else None
         if not found:
-            if not skipped:
-                buffer.append(page[at:].partition("<!--")[0])
+            text += page[at:].partition("<!--")[0]
             break
-        if not skipped:
-            buffer.append(page[at : found.start()])
+        text += page[at : found.start()]
         at = found.end()
         if found[0].startswith("<!--") and not found[0].endswith("-->"):
             break
@@ -66,24 +55,79 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             end = None if headless and name == "head" else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             headless |= name == "head" and not end
             at = end.end() if end else (at if name == "head" else size)
-            if name not in ("svg", "math"):
-                close()
-            continue
-        if skipped:
-            if name == skipped[0] and not rest.rstrip().endswith("/"):
-                if ending:
-                    skipped.pop()
-                else:
-                    skipped.append(name)
-            elif name in ("article", "main") and not ending and skipped[0] not in ("article", "main"):
-                skipped.clear()  # what stood before was never closed
-                article += 1
-            continue
-        if not ending and name not in VOID:
-            marked = name in BLOCKS and any(MARKS.search(m[1] or m[2] or m[3] or "") for m in ATTRIBUTE.finditer(rest)) and name not in ("body", "article", "main")
-            if name in ASIDE or name == "header" and not article or marked:
+            if name in ("svg", "math"):
+                continue
+            name, rest = "", ""
+        out.append((text, name, ending, rest))
+        text = ""
+    out.append((text, "", False, ""))
+    return out
+
+
+def lines_of(page: str) -> list[tuple[str, bool]]:
+    """Each block's text and whether it stands in an article; an empty text is a gap."""
+    out: list[tuple[str, bool]] = []
+    buffer: list[str] = []
+    article = 0
+
+    def close(gap: bool = False):
+        text = SPACE.sub(" ", html.unescape("".join(buffer))).strip()
+        buffer.clear()
+        if text:
+            out.append((text, article > 0))
+        if gap:
+            out.extend([("", article > 0)] * WINDOW)
+
+    tokens = tokens_of(page)
+    ends: dict[int, int] = {}
+    opened: dict[str, list[int]] = {}
+    mains: list[int] = []
+    bodies: list[int] = []
+    mass = [0]
+    for i, (text, name, ending, rest) in enumerate(tokens):
+        mass.append(mass[-1] + len(text.strip()))
+        if name in BLOCKS or name in ASIDE:
+            if not ending and name in ("article", "main"):
+                mains.append(i)
+                if name == "main":
+                    bodies.append(i)
+            if ending and opened.get(name):
+                ends[opened[name].pop()] = i
+            elif not ending and not rest.rstrip().endswith("/"):
+                opened.setdefault(name, []).append(i)
+
+    # At most one article and those around it hold the bulk; one that is never closed ends where the next begins.
+    own = [(k, ends.get(k, after)) for k, after in zip(mains, [*mains[1:], len(tokens) - 1], strict=False)]
+    bulk = [(k, end) for k, end in own if 2 * (mass[end + 1] - mass[k + 1]) > mass[-1]]
+
+    def wraps(i: int, name: str) -> bool:
+        """Whether the block is the layout around a ``main``, or around the one article with the bulk of the page's text."""
+        if name in ASIDE and name != "form" or name == "header":
+            return False
+        end = ends.get(i, len(tokens) - 1)
+        if name != "article" and bisect_left(bodies, i) < bisect_left(bodies, end):
+            return True
+        return any(i <= k < end and 2 * (mass[min(own, end) + 1] - mass[k + 1]) > mass[-1] for k, own in reversed(bulk))
+
+    i = 0
+    while i < len(tokens):
+        text, name, ending, rest = tokens[i]
+        buffer.append(text)
+        if not name:
+            close()
+        elif not ending and name not in VOID and name != "main":
+            marked = name in BLOCKS and name != "body" and any(MARKS.search(m[1] or m[2] or m[3] or "") for m in ATTRIBUTE.finditer(rest))
+            if (name in ASIDE or name == "header" and not article or marked) and not wraps(i, name):
                 close(gap=True)
-                skipped.append(name)
+                if i in ends:
+                    i = ends[i] + 1
+                elif rest.rstrip().endswith("/"):
+                    i += 1
+                else:  # never closed: what follows is read again from the next article on
+                    after = bisect_left(mains, i + 1)
+                    i = mains[after] if after < len(mains) else len(tokens)
+                    if i < len(tokens):
+                        tokens[i] = ("", *tokens[i][1:])
                 continue
         if name in ("article", "main"):
             close(gap=True)
@@ -92,13 +136,14 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             close()
         elif name == "br":
             buffer.append(" ")
+        i += 1
     close()
     return out
 
 
 def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
     lines = lines_of(page)
-    if any(inside and text for text, inside in lines):
+    if 2 * sum(len(text) for text, inside in lines if inside) > sum(len(text) for text, _ in lines):
         lines = [(text if inside else "", inside) for text, inside in lines]
     length = [len(text) for text, _ in lines]
     block = [sum(length[i : i + window]) for i in range(len(length))]

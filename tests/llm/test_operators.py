@@ -272,6 +272,26 @@ def test_html_text():
     assert html_text.main_text("<p>unclosed <b>mark &eacute") == "unclosed mark é"
 
 
+def test_html_articles_in_furniture():
+    post = "A long post that goes on and on, word after word, for quite a while. " * 4
+    want = post.strip()
+    text = html_text.main_text
+    comments = "<div id='comments'><ol><li><article class='comment-body'>Nice post!</article><li><article class='comment-body'>" + "I agree. " * 20 + "</article></ol></div>"
+    teaser = "<aside class='related'><article>teaser</article></aside>"
+    for extra in (comments, teaser, comments + teaser, "<nav><article>x</article></nav>", "<article class='comment'>Nice!</article>"):
+        assert text(f"<div class='entry-content'>{post}</div>{extra}") == want
+        assert text(f"<article><p>{post}</p></article>{extra}") == want
+        assert text(f"<article><p>{post}</p>{extra}</article>") == want
+        assert text(f"{extra}<p>{post}</p>") == want
+    # Layout around the main text, and what was never closed.
+    assert text(f"<div class='content-sidebar-wrap'><main>{post}</main><aside>x</aside></div>") == want
+    assert text(f"<form><div class='has-sidebar'><article>{post}</article>{teaser}</div></form>") == want
+    assert text(f"<article class='post tag-share'>{post}</article>{teaser}") == want
+    assert text(f"<div class='ad'>Buy<article>{post}</article>") == want
+    # Elements named article that hold little of the text don't hide the rest.
+    assert text(f"<div>{post}</div><section><article>teaser</article></section>").startswith(want)
+
+
 def test_html_broken_markup_takes_linear_time():
     start = time.monotonic()
     for page in ("<a " * 20000, '<a b="c" ' * 20000, "</a " * 20000, "<a '" * 20000, "<!x" * 20000, "<head>x" * 20000, "<!-- x " * 20000):
