@@ -3,8 +3,9 @@
 Markup is stripped so that every block element is one line; menus, footers, forms and the like
 leave gaps of empty lines where they stood. The text lengths are summed over a sliding window of
 lines. A region begins where the sum surges above the threshold, back to the gap before it, and
-ends where the sum dives to nothing; the regions' lines are the main text. Where ``article`` and
-``main`` elements hold the bulk of the text, only their own lines count. An article in furniture
+ends where the sum dives to nothing; the regions' lines are the main text. ``article`` and ``main``
+elements bound regions with gaps and hint: where those in articles hold the bulk of what surges, the
+others are left out. An article in furniture
 (a comment, a teaser) is furniture, but a marked block around the page's ``main``, or around the one
 article with the bulk of its text, is layout and is read.
 """
@@ -15,6 +16,7 @@ import html
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -143,12 +145,10 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
 
 def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> str:
     lines = lines_of(page)
-    if 2 * sum(len(text) for text, inside in lines if inside) > sum(len(text) for text, _ in lines):
-        lines = [(text if inside else "", inside) for text, inside in lines]
     length = [len(text) for text, _ in lines]
     block = [sum(length[i : i + window]) for i in range(len(length))]
-    kept: list[str] = []
-    best: list[str] = []
+    part = list(accumulate(int(a[1] != b[1]) for a, b in zip(lines[:1] + lines, lines, strict=False)))
+    regions: list[tuple[list[str], bool, bool, int]] = []
     at = 0
     while at < len(lines):
         if not length[at]:
@@ -158,13 +158,19 @@ def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> st
         while end < len(lines) and block[end]:
             surge |= block[end] > threshold
             end += 1
-        own = [text for text, _ in lines[at:end] if text]
-        if surge or any(inside for _, inside in lines[at:end]):
-            kept += own
-        elif sum(map(len, own)) > sum(map(len, best)):
-            best = own
+        regions.append(([text for text, _ in lines[at:end] if text], surge, lines[at][1], part[at]))
         at = end
-    return "\n".join(kept or best)
+    size = lambda own: sum(len(text) for text in own)
+    if not any(surge for _, surge, _, _ in regions):
+        return "\n".join(max((own for own, _, _, _ in regions), key=size, default=[]))
+    # The tags are a hint: regions that surge in articles go alone if they hold the bulk of what surges, and a page's
+    # only article isn't lost where just other regions surge.
+    alone = len({k for _, _, inside, k in regions if inside}) == 1 and not any(surge and inside for _, surge, inside, _ in regions)
+    kept = [(own, inside) for own, surge, inside, _ in regions if surge or inside and alone]
+    inner = [own for own, inside in kept if inside]
+    if 2 * sum(map(size, inner)) > sum(size(own) for own, _ in kept):
+        return "\n".join(text for own in inner for text in own)
+    return "\n".join(text for own, _ in kept for text in own)
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -292,6 +292,18 @@ def test_html_articles_in_furniture():
     assert text(f"<div>{post}</div><section><article>teaser</article></section>").startswith(want)
 
 
+def test_html_regions_of_articles_surge():
+    post, other = "word after word " * 20, "something else " * 12
+    ad = "<div class='ad'>Buy</div>"
+    page = f"<article><p>{post}</p>{ad}<p>A tag</p>{ad}<p>B tag</p>{ad}<p>C tag</p>{ad}<p>D tag</p></article>"
+    assert "D tag" not in html_text.main_text(page) and html_text.main_text(page).startswith(post.strip())
+    assert html_text.main_text(page, threshold=3).endswith("D tag")
+    assert html_text.main_text(page, threshold=10**6) == post.strip()
+    # Between regions that surge, those in the article go alone where they hold the bulk.
+    assert html_text.main_text(f"<article>{post}</article><div>{other}</div>") == post.strip()
+    assert html_text.main_text(f"<article>A short note.</article><div>{other}</div>") == "A short note.\n" + other.strip()
+
+
 def test_html_broken_markup_takes_linear_time():
     start = time.monotonic()
     for page in ("<a " * 20000, '<a b="c" ' * 20000, "</a " * 20000, "<a '" * 20000, "<!x" * 20000, "<head>x" * 20000, "<!-- x " * 20000):
