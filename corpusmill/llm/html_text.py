@@ -3,7 +3,8 @@
 Markup is stripped so that every block element is one line; menus, footers, forms and the like
 leave gaps of empty lines where they stood. The text lengths are summed over a sliding window of
 lines. A region begins where the sum surges above the threshold, back to the gap before it, and
-ends where the sum dives to nothing; the regions' lines are the main text. ``article`` and ``main``
+ends where the sum dives to nothing; the regions' lines are the main text. Windows are also judged
+across the gaps, and what lies between regions that surge is kept. ``article`` and ``main``
 elements bound regions with gaps and hint: where those in articles hold the bulk of what surges, the
 others are left out. An article in furniture
 (a comment, a teaser) is furniture, but a marked block around the page's ``main``, or around the one
@@ -16,7 +17,7 @@ import html
 import re
 from bisect import bisect_left
 from collections.abc import Iterator
-from itertools import accumulate
+from itertools import accumulate, groupby
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -148,6 +149,13 @@ def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> st
     length = [len(text) for text, _ in lines]
     block = [sum(length[i : i + window]) for i in range(len(length))]
     part = list(accumulate(int(a[1] != b[1]) for a, b in zip(lines[:1] + lines, lines, strict=False)))
+    # What stood in a gap is gone, so lines on both sides of it are neighbours too, unless an article begins or ends there.
+    near: set[int] = set()
+    for _, own in groupby((i for i, n in enumerate(length) if n), key=part.__getitem__):
+        full = list(own)
+        for k in range(max(1, len(full) - window + 1)):
+            if sum(length[i] for i in full[k : k + window]) > threshold:
+                near.update(full[k : k + window])
     regions: list[tuple[list[str], bool, bool, int]] = []
     at = 0
     while at < len(lines):
@@ -156,10 +164,15 @@ def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> st
             continue
         end, surge = at, False
         while end < len(lines) and block[end]:
-            surge |= block[end] > threshold
+            surge |= block[end] > threshold or end in near
             end += 1
         regions.append(([text for text, _ in lines[at:end] if text], surge, lines[at][1], part[at]))
         at = end
+    last = {k: i for i, (_, surge, _, k) in enumerate(regions) if surge}
+    begun: set[int] = set()
+    for i, (own, surge, inside, k) in enumerate(regions):
+        begun |= {k} if surge else set()
+        regions[i] = (own, surge or k in begun and i < last[k], inside, k)
     size = lambda own: sum(len(text) for text in own)
     if not any(surge for _, surge, _, _ in regions):
         return "\n".join(max((own for own, _, _, _ in regions), key=size, default=[]))

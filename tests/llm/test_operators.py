@@ -304,6 +304,13 @@ def test_html_regions_of_articles_surge():
     assert html_text.main_text(f"<article>A short note.</article><div>{other}</div>") == "A short note.\n" + other.strip()
 
 
+def test_html_keeps_short_regions_by_the_main_text():
+    post, ad, share = "word after word " * 20, "<div class='ad'>Buy</div>", "<ul class='share'><li>Like</li></ul>"
+    for shell in ("{}", "<article>{}</article>", "<nav>Menu</nav><div>{}</div><footer>f</footer>"):
+        got = html_text.main_text(shell.format(f"<h1>Headline</h1>{share}<p>{post}</p>{ad}<p>Middle.</p>{ad}<p>{post}</p><form>x</form><p>One.</p>{ad}<p>Two.</p>{ad}<p>Three.</p>{ad}<p>Four.</p>{ad}<p>Five.</p>{ad}<p>{post}</p>{ad}<p>The end.</p>"))
+        assert got.split("\n") == ["Headline", post.strip(), "Middle.", post.strip(), "One.", "Two.", "Three.", "Four.", "Five.", post.strip(), "The end."]
+
+
 def test_html_broken_markup_takes_linear_time():
     start = time.monotonic()
     for page in ("<a " * 20000, '<a b="c" ' * 20000, "</a " * 20000, "<a '" * 20000, "<!x" * 20000, "<head>x" * 20000, "<!-- x " * 20000):
