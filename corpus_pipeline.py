@@ -11,7 +11,7 @@ from corpusmill.llm.ngram_join import jaccard_components
 from corpusmill.llm.packing import pack
 from corpusmill.llm.queries import held_out
 from corpusmill.llm.shared import materialise, table
-from corpusmill.llm.suffix_match import suffix_matches
+from corpusmill.llm.suffix_match import without_matches
 from corpusmill.llm.toxicity import train, without_toxic
 
 
@@ -21,17 +21,22 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Of each group of near copies the document of the smallest id; Spark broadcasts the others' ids where they are few."""
-    found = jaccard_components(docs)
-    gone = materialise(found.where(F.col("doc_id") != F.col("component_id")).select("doc_id"), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Of each group of near copies one row, that of the smallest id; Spark broadcasts the others' row keys where they are few.
+
+    Rows are told apart by a key of their own, so ids may be null (they come last), repeated or
+    carry several texts. Wordless texts are in no group and all stay.
+    """
+    keyed = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
+    found = jaccard_components(keyed, id_col="__row").select("__row", "component_id")
+    placed = materialise(found.join(keyed.select("__row", "doc_id"), "__row"), "placed")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")).alias("m")).select("m.__row")
+    gone = materialise(placed.select("__row").join(first, "__row", "left_anti"), "gone")
+    return keyed.join(gone, "__row", "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that hold a window of a benchmark item."""
-    found = suffix_matches(docs, table(spark, sf_dir, "benchmark"))
-    gone = materialise(found.where("n_hit > 0").select("doc_id"), "gone")
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    """Without the rows that hold a window of a benchmark item."""
+    return without_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

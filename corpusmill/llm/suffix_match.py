@@ -223,3 +223,17 @@ def suffix_matches(docs: DataFrame, items: DataFrame, window: int = 10, id_col:
     blocks = test_blocks(items, item_id, item_text, window, block_words)
     found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: lean(_scan(it, blocks)), FOUND)
     return found.withColumnRenamed("id", id_col)
+
+
+def _clean(batches: Iterator[pa.RecordBatch], blocks: list, text: int) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        ids = pa.array(np.zeros(batch.num_rows, np.int64))
+        parts = _scan(iter([pa.RecordBatch.from_arrays([ids, batch.column(text).cast(pa.string())], names=["id", "text"])]), blocks)
+        hit = np.concatenate([np.zeros(0, np.int64), *(np.asarray(part["n_hit"]) for part in parts)])
+        yield batch.filter(pa.array(hit == 0))
+
+
+def without_matches(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
+    """The rows of ``docs`` that ``suffix_matches`` finds no hit in, with all their columns and without a join."""
+    blocks, text = test_blocks(items, item_id, item_text, window, block_words), docs.columns.index(text_col)
+    return docs.mapInArrow(lambda it: lean(_clean(it, blocks, text)), docs.schema)

@@ -24,6 +24,18 @@ def test_stages(spark, sf):
         docs = out
 
 
+def test_stages_tell_rows_apart_without_ids(spark, sf):
+    leak = max((r.text for r in table(spark, sf, "benchmark").collect()), key=len)
+    copy, other, clean = ("a text of some length that comes again %s " % x * 6 for x in ("one", "two", "three"))
+    rows = [(None, copy), (None, copy), (7, copy), (7, copy), (9, copy), (9, other), (None, clean), (None, clean), (3, None), (3, "")]
+    docs = spark.createDataFrame([(i, t, "s") for i, t in rows], "doc_id long, text string, source string").repartition(4)
+    out = corpus_pipeline.near_duplicates(spark, docs, sf).collect()
+    assert sorted(((r.doc_id or 0, r.text or "") for r in out)) == sorted([(7, copy), (9, other), (0, clean), (3, ""), (3, "")])
+    docs = spark.createDataFrame([(i, t, "s") for i, t in [(None, leak), (None, clean), (5, leak), (5, other), (5, other), (6, None)]], docs.schema)
+    out = corpus_pipeline.decontamination(spark, docs, sf).collect()
+    assert sorted(((r.doc_id or 0, r.text or "") for r in out)) == sorted([(0, clean), (5, other), (5, other), (6, "")])
+
+
 def test_registered():
     import __spark_entry__
 
