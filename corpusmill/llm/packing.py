@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import lean_group
+from .ngram_join import jaccard_components
+from .shared import lean_group, materialise
 
 GROUP_ROWS = 4096
 BINS = "id long, piece int, start long, length long, source string, cluster long, bin string, used long"
@@ -93,3 +94,17 @@ def pack(docs: DataFrame, capacity: int = 8192, length: Column | None = None, cl
     groups = max(1, -(-docs.select(F.col(id_col)).count() // group_rows))
     dealt = rows.withColumn("group", F.pmod(F.xxhash64("id", "length"), F.lit(groups)).cast("int"))
     return dealt.groupBy("group").applyInArrow(lambda t: lean_group(lambda x: _pack(x, capacity), t), BINS).withColumnRenamed("id", id_col)
+
+
+def pack_apart(docs: DataFrame, capacity: int = 8192, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
+    """``pack`` with the components of ``jaccard_components`` as clusters, so that near copies don't meet in a bin either.
+
+    ``cluster`` is the component's smallest 64-bit hash of id and text; wordless texts are in a
+    cluster with equal ones. Texts aren't shuffled for it, only hashes and lengths.
+    """
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    keyed = docs.select(id_col, source_col, text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
+    found = jaccard_components(keyed, id_col="key", text_col="text").where("n_shingles > 0").groupBy("key").agg(F.min("component_id").alias("component"))
+    rows = keyed.select(id_col, source_col, "key", (F.octet_length("text") + 1).alias("length"), F.xxhash64("text").alias("equal")).join(found, "key", "left")
+    rows = materialise(rows.select(id_col, source_col, "length", F.coalesce("component", "equal").alias("component")), "clusters")
+    return pack(rows, capacity, F.col("length"), F.col("component"), id_col, source_col, text_col, group_rows)

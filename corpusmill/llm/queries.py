@@ -9,7 +9,7 @@ from .fingerprint import fingerprints
 from .html_text import extract_text
 from .license_scan import license_scan
 from .ngram_join import jaccard_components
-from .packing import pack
+from .packing import pack_apart
 from .shared import table
 from .sharding import histogram_shards
 from .suffix_match import suffix_matches
@@ -71,7 +71,7 @@ def op9_html_text(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pack(table(spark, sf_dir, "documents"))
+    return pack_apart(table(spark, sf_dir, "documents"))
 
 
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -359,6 +359,20 @@ def test_packing(edges, docs):
         assert sum(r["length"] for r in got) == want
 
 
+def test_packing_keeps_near_copies_apart(spark, edges, docs, tmp_path):
+    for k, df in enumerate((edges, docs)):
+        df.write.parquet(f"{tmp_path}/{k}/documents.parquet")
+        group = {(r.doc_id, r.n_shingles): r.component_id for r in jaccard_components(df).collect() if r.doc_id is not None and r.n_shingles}
+        size = {r.doc_id: len(shingle_set(r.text)) for r in df.collect()}
+        got = queries.op10_packing(spark, f"{tmp_path}/{k}").collect()
+        bins = collections.defaultdict(list)
+        for r in got:
+            if (r.doc_id, size[r.doc_id]) in group:
+                bins[r["bin"]].append(group[r.doc_id, size[r.doc_id]])
+        assert all(len(set(own)) == len(own) for own in bins.values())
+        assert sum(r["length"] for r in got) == sum(len((r.text or "").encode()) + 1 for r in df.collect())
+
+
 def test_best_fit_takes_the_tightest_compatible():
     assert packing.best_fit([7, 6, 3, 3, 3], [0, 1, 0, 1, 2], [-1, -1, -1, -1, -1], 10) == [0, 1, 1, 0, 2]
     assert packing.best_fit([5, 5, 5], [0, 1, 2], [0, 0, -1], 10) == [0, 1, 0]
