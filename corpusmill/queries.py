@@ -9,11 +9,12 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .config import BOLD_TITLE, INTRODUCTIONS, OPENERS, PROMPTS, REFUSALS, STATUSES, TEMPLATES, TOKEN, VERDICTS, Config
+from .config import BOLD_TITLE, INTRODUCTIONS, OPENERS, PROMPTS, RECORD, REFUSALS, STATUSES, TEMPLATES, TOKEN, VERDICTS, Config
 from .functions import text as tx
 from .operators import dedup, rows
 from .plans import curate
-from .storage import stored
+from .sources import scan, sink
+from .storage import scratch, stored
 
 CONFIG = Config(script="Latin", target_lang="en", lid_threshold=0.5, source_config="documents")
 
@@ -260,8 +261,11 @@ def shard_assign(spark, sf):
 
 
 def merge_shards(spark, sf):
-    kept, _ = _judged(spark, sf)
-    return kept.groupBy("prompt", "source_data").agg(F.count("*").alias("n_rows"), F.sum(F.octet_length("text")).alias("bytes"))
+    turns, _ = _judged(spark, sf)
+    root = scratch(spark, "shards")
+    sink.write_shards(turns.withColumn("status", F.lit("")).withColumn("language_confidence", F.lit(None).cast("float")), root)
+    sink.merge_shards(scan.shards(spark, root), f"{root}/merged")
+    return spark.read.schema(RECORD).parquet(f"{root}/merged").groupBy("prompt", "source_data").agg(F.count("*").alias("n_rows"), F.sum(F.octet_length("text")).alias("bytes"))
 
 
 def publish_plan(spark, sf):

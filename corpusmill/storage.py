@@ -5,16 +5,20 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 
-def stored(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written below spark.checkpoint.dir and read again."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession, tag: str) -> str:
+    """A new path below spark.checkpoint.dir."""
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusmill-"))
         root = spark.sparkContext.getCheckpointDir()
-    path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+
+
+def stored(df: DataFrame, tag: str) -> DataFrame:
+    """``df`` written below spark.checkpoint.dir and read again."""
+    path = scratch(df.sparkSession, tag)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -155,3 +155,12 @@ def test_shard_numbers(spark):
     df = spark.range(1000).select(F.col("id").alias("ord"), (F.col("id") % 3).alias("g"))
     counts = rows.shard_numbers(df, 10, ["g"], chunk=64).groupBy("g", "shard").count().collect()
     assert all(r["count"] == 10 or r.shard == 33 for r in counts)
+
+
+def test_merge_shards_reads_what_was_merged(spark, sf, monkeypatch):
+    merge = sink.merge_shards
+    count = lambda: sum(r.n_rows for r in queries.merge_shards(spark, sf).collect())
+    whole = count()
+    assert whole == spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").count()
+    monkeypatch.setattr(sink, "merge_shards", lambda kept, out, *rest: merge(kept.limit(whole - 1), out, *rest))
+    assert count() == whole - 1
