@@ -20,6 +20,8 @@ from . import words
 from .shared import shuffle_partitions
 
 SHARE = 1 / 8
+#: Sketches of fewer hashes are too coarse to compare by; such pairs are compared as whole sets.
+FEW = 64
 #: Hex digits that a retained hash has in the printed fingerprint.
 DIGITS = 12
 PAIRS = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
@@ -52,12 +54,27 @@ def merged(a: np.ndarray, b: np.ndarray, share: float = SHARE) -> np.ndarray:
 
 
 def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated share of the smaller sketch's document that the other holds; 1 for two empty ones."""
+    """Estimated share of the smaller sketch's document that the other holds; 1 for two empty ones.
+
+    A stand-in says nothing of a document whose retained hashes lie below the share; see ``nearness``.
+    """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
     return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
 
 
+def nearness(pairs: list[tuple[str, str]], sketched: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
+    """The containment of each pair of texts: estimated by their sketches or, where one has few hashes, exact."""
+    out = [containment(a, b) for a, b in sketched]
+    coarse = [i for i, (a, b) in enumerate(sketched) if min(len(a), len(b)) < FEW]
+    for at in range(0, len(coarse), 64):
+        own = coarse[at : at + 64]
+        whole = sketches(pa.array([x for i in own for x in pairs[i]], pa.string()), 1.0)
+        for k, i in enumerate(own):
+            out[i] = containment(whole[2 * k], whole[2 * k + 1])
+    return out
+
+
 def printed(sketch: np.ndarray) -> str:
     return sketch.astype(">u8").tobytes().hex() if DIGITS == 16 else "".join(f"{x:0{DIGITS}x}" for x in sketch.tolist())
 
@@ -80,7 +97,9 @@ def _compare(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Rec
                 n = len(texts[i])
                 edited.append(texts[i][: n - n // 3] + texts[i + 1][: n // 3])
             theirs = sketches(pa.array(edited, pa.string()), share)
-            rows = [(ids[i], len(texts[i]), hashlib.sha256(e.encode()).hexdigest(), printed(own[i]), printed(t), containment(own[i], t), containment(own[i], own[i + 1])) for i, e, t in zip(todo, edited, theirs, strict=True)]
+            near_edited = nearness([(texts[i], e) for i, e in zip(todo, edited, strict=True)], [(own[i], t) for i, t in zip(todo, theirs, strict=True)])
+            near_next = nearness([(texts[i], texts[i + 1]) for i in todo], [(own[i], own[i + 1]) for i in todo])
+            rows = [(ids[i], len(texts[i]), hashlib.sha256(e.encode()).hexdigest(), printed(own[i]), printed(t), a, b) for i, e, t, a, b in zip(todo, edited, theirs, near_edited, near_next, strict=True)]
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], names=[x.split()[0] for x in PAIRS.split(", ")])
 
 

@@ -150,6 +150,18 @@ def test_sketches_estimate_containment():
     assert set(merged(a, b).tolist()) == set(a.tolist())
 
 
+def test_short_texts_in_long_ones_are_near(spark):
+    words = [f"w{i}" for i in range(6000)]
+    rows = [x for k, n in enumerate(range(5, 51)) for x in ((2 * k + 1, " ".join(words[50 * k : 50 * k + n])), (2 * k, " ".join(words[: 5000 + k])))]
+    got = {r.doc_id: r for r in fingerprints(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    texts = dict(rows)
+    for i in range(1, len(rows), 2):
+        a, b = shingle_set(texts[i]), shingle_set(texts[i - 1])
+        e = shingle_set(texts[i][: len(texts[i]) - len(texts[i]) // 3] + texts[i - 1][: len(texts[i]) // 3])
+        assert got[i].near_next == len(a & b) / min(len(a), len(b)) == 1.0
+        assert got[i].near_edited == len(a & e) / min(len(a), len(e))
+
+
 def test_sharding(edges, docs):
     for df in both(edges, docs):
         got = histogram_shards(df, 8).select("doc_id", "text", "size", "shard", "slot").collect()
