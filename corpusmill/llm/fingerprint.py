@@ -9,43 +9,46 @@ wordless texts have an empty sketch; ``merged`` drops such a stand-in when it is
 from __future__ import annotations
 
 import hashlib
+import math
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .shared import shuffle_partitions
+from .shared import lean, shuffle_partitions
 
 SHARE = 1 / 8
 #: Sketches of fewer hashes are too coarse to compare by; such pairs are compared as whole sets.
 FEW = 64
-#: Hex digits that a retained hash has in the printed fingerprint.
-DIGITS = 12
+#: Bytes of text that are compared at a time.
+SLICE_BYTES = 1 << 20
 PAIRS = "id long, n_chars long, edited_sha256 string, fingerprint string, edited_fingerprint string, near_edited double, near_next double"
 
 
-def sketches(texts: pa.Array, share: float = SHARE, k: int = 5) -> list[np.ndarray]:
-    """Each text's retained shingle hashes, ascending; their first 48 bits."""
-    limit, out = np.uint64(int(share * 2**64) - 1), []
+def shingle_sets(texts: pa.Array, k: int = 5) -> list[np.ndarray]:
+    """Each text's distinct shingle hashes, ascending."""
+    out = []
     for span in words.spans(texts, words.SPACED):
-        values, bounds = words.shingles(span.hashes(), span.bounds, k)
-        doc = np.repeat(np.arange(span.docs), np.diff(bounds))
-        low = values <= limit
-        full = np.flatnonzero(np.diff(bounds))
-        least = np.minimum.reduceat(values, bounds[:-1][full]) if len(full) else values[:0]
-        v, d = np.concatenate([values[low], least]), np.concatenate([doc[low], full])
-        order = np.lexsort((v, d))
-        v, d = v[order] >> np.uint64(16), d[order]
-        new = np.ones(len(v), bool)
-        new[1:] = (v[1:] != v[:-1]) | (d[1:] != d[:-1])
-        v, d = v[new], d[new]
-        out += np.split(v, np.searchsorted(d, np.arange(1, span.docs)))
+        values, bounds = words.distinct_sorted(*words.shingles(span.hashes(), span.bounds, k))
+        out += np.split(values, bounds[1:-1])
     return out
 
 
+def retained(values: np.ndarray, share: float = SHARE) -> np.ndarray:
+    """The sketch of a set: its hashes below the share, or its smallest one; their first 48 bits."""
+    low = values[: np.searchsorted(values, np.uint64(int(share * 2**64) - 1), "right")]
+    return np.unique((low if len(low) else values[:1]) >> np.uint64(16))
+
+
+def sketches(texts: pa.Array, share: float = SHARE, k: int = 5) -> list[np.ndarray]:
+    """Each text's retained shingle hashes, ascending."""
+    return [retained(x, share) for x in shingle_sets(texts, k)]
+
+
 def merged(a: np.ndarray, b: np.ndarray, share: float = SHARE) -> np.ndarray:
     """The sketch of two documents' union."""
     both = np.union1d(a, b)
@@ -54,77 +57,109 @@ def merged(a: np.ndarray, b: np.ndarray, share: float = SHARE) -> np.ndarray:
 
 
 def containment(a: np.ndarray, b: np.ndarray) -> float:
-    """Estimated share of the smaller sketch's document that the other holds; 1 for two empty ones.
+    """Share of the smaller set that the other holds, estimated if these are sketches; 1 for two empty ones.
 
     A stand-in says nothing of a document whose retained hashes lie below the share; see ``nearness``.
     """
     if not len(a) or not len(b):
         return float(len(a) == len(b))
-    return len(np.intersect1d(a, b, assume_unique=True)) / min(len(a), len(b))
-
-
-def nearness(pairs: list[tuple[str, str]], sketched: list[tuple[np.ndarray, np.ndarray]]) -> list[float]:
-    """The containment of each pair of texts: estimated by their sketches or, where one has few hashes, exact."""
-    out = [containment(a, b) for a, b in sketched]
-    coarse = [i for i, (a, b) in enumerate(sketched) if min(len(a), len(b)) < FEW]
-    for at in range(0, len(coarse), 64):
-        own = coarse[at : at + 64]
-        whole = sketches(pa.array([x for i in own for x in pairs[i]], pa.string()), 1.0)
-        for k, i in enumerate(own):
-            out[i] = containment(whole[2 * k], whole[2 * k + 1])
-    return out
+    few, many = (a, b) if len(a) <= len(b) else (b, a)
+    at = np.minimum(np.searchsorted(many, few), len(many) - 1)
+    return float(np.count_nonzero(many[at] == few)) / len(few)
+
+
+def nearness(a: np.ndarray, b: np.ndarray, of_a: np.ndarray, of_b: np.ndarray) -> float:
+    """The containment of two documents by their sketches ``of_a`` and ``of_b`` or, where one of these has few hashes, by the whole sets."""
+    return containment(of_a, of_b) if min(len(of_a), len(of_b)) >= FEW else containment(a, b)
 
 
 def printed(sketch: np.ndarray) -> str:
-    return sketch.astype(">u8").tobytes().hex() if DIGITS == 16 else "".join(f"{x:0{DIGITS}x}" for x in sketch.tolist())
+    """The hashes' 48 bits in hex, one after the other."""
+    return sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex()
+
+
+def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
+    """Row ranges with at most ``SLICE_BYTES`` of text, or one row."""
+    end = np.cumsum(np.asarray(pc.binary_length(texts)).astype(np.int64))
+    first = 0
+    while first < len(end):
+        last = max(first + 1, int(np.searchsorted(end, (end[first - 1] if first else 0) + SLICE_BYTES, "right")))
+        yield first, last
+        first = last
 
 
 def _compare(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
-    """Rows come in order; each is compared with the one after it. Borrowed rows only follow others."""
+    """Rows come in order; each is compared with the one after it. Borrowed rows only follow others.
+
+    What a slice needs, and one row before it, is all that is held besides the batch.
+    """
     kept = None
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     for batch in batches:
-        for at in range(0, batch.num_rows, 2048):
-            part = batch.slice(at, 2048)
+        for first, last in _slices(batch.column(1)):
+            part = batch.slice(first, last - first)
             ids, texts, borrowed = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()
-            own = sketches(part.column(1), share)
+            sets = shingle_sets(part.column(1))
+            own = [retained(x, share) for x in sets]
             if kept is not None:
-                ids, texts, borrowed, own = [kept[0], *ids], [kept[1], *texts], [kept[2], *borrowed], [kept[3], *own]
-            kept = (ids[-1], texts[-1], borrowed[-1], own[-1])
+                ids, texts, borrowed, sets, own = ([x, *rest] for x, rest in zip(kept, (ids, texts, borrowed, sets, own), strict=True))
+            kept = (ids[-1], texts[-1], borrowed[-1], sets[-1], own[-1])
             todo = [i for i in range(len(ids) - 1) if not borrowed[i]]
-            edited = []
-            for i in todo:
-                n = len(texts[i])
-                edited.append(texts[i][: n - n // 3] + texts[i + 1][: n // 3])
-            theirs = sketches(pa.array(edited, pa.string()), share)
-            near_edited = nearness([(texts[i], e) for i, e in zip(todo, edited, strict=True)], [(own[i], t) for i, t in zip(todo, theirs, strict=True)])
-            near_next = nearness([(texts[i], texts[i + 1]) for i in todo], [(own[i], own[i + 1]) for i in todo])
-            rows = [(ids[i], len(texts[i]), hashlib.sha256(e.encode()).hexdigest(), printed(own[i]), printed(t), a, b) for i, e, t, a, b in zip(todo, edited, theirs, near_edited, near_next, strict=True)]
+            edited = [texts[i][: len(texts[i]) - len(texts[i]) // 3] + texts[i + 1][: len(texts[i]) // 3] for i in todo]
+            rows = []
+            for i, text, whole in zip(todo, edited, shingle_sets(pa.array(edited, pa.string())), strict=True):
+                sketch = retained(whole, share)
+                near = (nearness(sets[i], whole, own[i], sketch), nearness(sets[i], sets[i + 1], own[i], own[i + 1]))
+                rows.append((ids[i], len(texts[i]), hashlib.sha256(text.encode()).hexdigest(), printed(own[i]), printed(sketch), *near))
             yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True) if rows else [[]] * 7, kinds, strict=True)], names=[x.split()[0] for x in PAIRS.split(", ")])
 
 
+def _below(value, cuts: list[int]):
+    """How many of the ascending ``cuts`` lie below ``value``; a search in two steps, since tables of many ranges have many cuts."""
+    step = max(1, math.isqrt(len(cuts)))
+    rows = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    if not rows:
+        return F.lit(0)
+    literal = lambda own: F.expr(f"cast(split('{','.join(map(str, own))}', ',') as array<bigint>)")
+    row = F.size(F.filter(literal([own[-1] for own in rows]), lambda c: c < value))
+    within = F.expr("array(" + ", ".join(f"cast(split('{','.join(map(str, own))}', ',') as array<bigint>)" for own in rows) + ")")
+    return F.when(row == len(rows), len(cuts)).otherwise(row * step + F.size(F.filter(F.get(within, row), lambda c: c < value)))
+
+
 def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:
     """Fingerprints of each row's text and of its edited text, and how near they and the next row's are.
 
-    Rows are taken by descending id (null ids last, texts descending within an id), and after the
-    last comes the first; the edited text has the last third of the code points replaced by the
-    first as many of the next text. Null texts count as empty; repeated rows are returned as often
-    as they come; other columns are ignored; an empty table gives an empty result.
+    Rows are taken by descending id (null ids last, within an id by a descending hash of the text),
+    and after the last comes the first; the edited text has the last third of the code points
+    replaced by the first as many of the next text. Null texts count as empty; repeated rows are
+    returned as often as they come; other columns are ignored; an empty table gives an empty result.
 
-    Rows are dealt by ranges of the id, once. Each range also borrows the first row of the range
-    that follows, so that no task needs another one's rows.
+    Rows are dealt once, by ranges of (id, hash of the text, input partition): an id with many rows,
+    as null may be, is cut by the hash, and rows that are equal by where they come from. Each range
+    also borrows the first row of the range that follows, so that no task needs another one's rows.
     """
     spark, n = docs.sparkSession, 2 * shuffle_partitions(docs.sparkSession)
-    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"))
-    cuts = sorted(set(rows.agg(F.percentile_approx("id", [i / n for i in range(1, n)], 10 * n)).first()[0] or []))
-    place = F.size(F.filter(F.lit(cuts) if cuts else F.expr("cast(array() as array<bigint>)"), lambda c: c > F.col("id"))).alias("range")
-    heads = sorted((r, i) for r, i in rows.select("id", place).groupBy("range").agg(F.max("id")).collect())
+    text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
+    rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), text.alias("text"))
+    rows = rows.withColumn("mark", F.shiftleft(F.shiftrightunsigned(F.xxhash64("text"), 21), 20))
+    rows = rows.withColumn("place", F.col("mark") + F.pmod(F.spark_partition_id(), F.lit(1 << 20)))
+    quantiles = lambda c: F.percentile_approx(c, [i / n for i in range(1, n)], 10 * n)
+    every = rows.agg(quantiles("id")).first()[0] or []
+    cuts = sorted(set(every))
+    number = _below(F.col("id"), cuts) * n
+    # An id that fills whole quantiles is cut along its places.
+    hot = {i: m for i in cuts if (m := every.count(i)) > 1}
+    for i, places in rows.where(F.col("id").isin(list(hot))).groupBy("id").agg(quantiles("place")).collect() if hot else ():
+        number = F.when(F.col("id") == i, cuts.index(i) * n + _below(F.col("place"), sorted(set(places[:: max(1, n // hot[i])])))).otherwise(number)
+    placed = rows.withColumn("range", number.cast("long"))
+    heads = sorted(tuple(r) for r in placed.groupBy("range").agg(F.max("id")).collect())
     if not heads:
         return spark.createDataFrame([], PAIRS).withColumnRenamed("id", id_col)
-    follow = spark.createDataFrame([(heads[(k + 1) % len(heads)][1], r) for k, (r, _) in enumerate(heads)], "id long, range int")
-    wanted = rows.where(F.col("id").isin(sorted({i for _, i in heads}))).groupBy("id").agg(F.max("text").alias("text"))
-    borrowed = wanted.join(F.broadcast(follow), "id").select("id", "text", F.lit(1).alias("borrowed"), "range")
-    every = rows.select("id", "text", F.lit(0).alias("borrowed"), place).unionByName(borrowed)
-    dealt = every.repartition(shuffle_partitions(spark), "range").sortWithinPartitions("range", "borrowed", F.desc("id"), F.desc("text"))
-    found = dealt.select("id", "text", "borrowed").mapInArrow(lambda it: _compare(it, share), PAIRS)
+    # The range below a range follows it; after the lowest comes the highest.
+    follow = spark.createDataFrame([(*heads[k - 1], r) for k, (r, _) in enumerate(heads)], "range long, id long, after long")
+    first = placed.join(F.broadcast(follow), ["range", "id"]).groupBy("id", "after").agg(F.max(F.struct("mark", "text")).alias("m"))
+    borrowed = first.select("id", "m.text", "m.mark", F.lit(1).alias("borrowed"), F.col("after").alias("range"))
+    both = placed.select("id", "text", "mark", F.lit(0).alias("borrowed"), "range").unionByName(borrowed)
+    dealt = both.repartition(shuffle_partitions(spark), "range").sortWithinPartitions("range", "borrowed", F.desc("id"), F.desc("mark"), F.desc("text"))
+    found = dealt.select("id", "text", "borrowed").mapInArrow(lambda it: lean(_compare(it, share)), PAIRS)
     return found.select(F.nullif("id", F.lit(-(2**63))).alias(id_col), *[x.split()[0] for x in PAIRS.split(", ")][1:])

@@ -123,16 +123,66 @@ def test_longest_match_has_its_places(spark):
     assert [tuple(m) for m in row.matches] == [("9", 1, 2, 20)]
 
 
+def hash_by_hand(text, k=5):
+    """All distinct 64-bit shingle hashes, in plain integers."""
+    m = 2**64 - 1
+
+    def mix(x):
+        x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+        x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+        return x ^ x >> 31
+
+    own = []
+    for w in SPACED.findall(text.translate(ASCII)):
+        total, power = 0, 1
+        for b in w.encode():
+            total, power = total + (b + 1) * power & m, power * 0x9E3779B97F4A7C15 & m
+        own.append(mix(total + len(w.encode()) & m))
+    slots = [mix(j + 1) | 1 for j in range(k)]
+    return {mix((len(x) * 0x9E3779B97F4A7C15 + sum(a * b for a, b in zip(x, slots))) & m) for x in ([own[i : i + k] for i in range(max(1, len(own) - k + 1))] if own else [])}
+
+
+def sketch_by_hand(text):
+    own = hash_by_hand(text)
+    return {x >> 16 for x in own if x < 2**61} or {x >> 16 for x in sorted(own)[:1]}
+
+
+def print_by_hand(text):
+    return "".join(f"{x:012x}" for x in sorted(sketch_by_hand(text)))
+
+
+def near_by_hand(a, b):
+    x, y = sketch_by_hand(a), sketch_by_hand(b)
+    if min(len(x), len(y)) < 64:
+        x, y = hash_by_hand(a), hash_by_hand(b)
+    return len(x & y) / min(len(x), len(y)) if x and y else float(len(x) == len(y))
+
+
+def in_turn(df):
+    """(id, text, next text) by descending id, within an id by a hash of the text; null ids last."""
+    import xxhash
+
+    rows = [(-(2**63) if r.doc_id is None else r.doc_id, xxhash.xxh64_intdigest((r.text or "").encode(), 42) >> 21, r.text or "") for r in df.collect()]
+    rows.sort(reverse=True)
+    return [(None if i == -(2**63) else i, t, rows[(k + 1) % len(rows)][2]) for k, (i, _, t) in enumerate(rows)]
+
+
+def test_fingerprints_of_a_hot_id(spark):
+    rows = [(None if i % 3 else i, ("equal text" if i % 2 else f"text {i} " * 9)) for i in range(900)] + [(None, None)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    want = collections.Counter((i, hashlib.sha256((t[: len(t) - len(t) // 3] + after[: len(t) // 3]).encode()).hexdigest()) for i, t, after in in_turn(df))
+    assert collections.Counter((r.doc_id, r.edited_sha256) for r in fingerprints(df).collect()) == want
+
+
 def test_fingerprints(edges, docs):
     for df in both(edges, docs):
-        rows = sorted(((-(2**63) if r.doc_id is None else r.doc_id, r.text or "") for r in df.collect()), reverse=True)
         want = collections.Counter()
-        for k, (i, t) in enumerate(rows):
-            n = len(t)
-            edited = t[: n - n // 3] + rows[(k + 1) % len(rows)][1][: n // 3]
-            want[(None if i == -(2**63) else i, n, hashlib.sha256(edited.encode()).hexdigest())] += 1
+        for i, t, after in in_turn(df):
+            edited = t[: len(t) - len(t) // 3] + after[: len(t) // 3]
+            near = [near_by_hand(t, edited), near_by_hand(t, after)]
+            want[(i, len(t), hashlib.sha256(edited.encode()).hexdigest(), print_by_hand(t), print_by_hand(edited), *near)] += 1
         got = fingerprints(df).collect()
-        assert collections.Counter((r.doc_id, r.n_chars, r.edited_sha256) for r in got) == want
+        assert collections.Counter(tuple(r) for r in got) == want
         by_text = collections.defaultdict(set)
         texts = {r.doc_id: r.text for r in df.collect()}
         for r in got:
