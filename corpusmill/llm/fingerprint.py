@@ -14,12 +14,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .shared import lean, shuffle_partitions
+from .shared import lean, row_ranges, shuffle_partitions
 
 SHARE = 1 / 8
 #: Sketches of fewer hashes are too coarse to compare by; such pairs are compared as whole sets.
@@ -78,16 +77,6 @@ def printed(sketch: np.ndarray) -> str:
     return sketch.astype(">u8").view(np.uint8).reshape(-1, 8)[:, 2:].tobytes().hex()
 
 
-def _slices(texts: pa.Array) -> Iterator[tuple[int, int]]:
-    """Row ranges with at most ``SLICE_BYTES`` of text, or one row."""
-    end = np.cumsum(np.asarray(pc.binary_length(texts)).astype(np.int64))
-    first = 0
-    while first < len(end):
-        last = max(first + 1, int(np.searchsorted(end, (end[first - 1] if first else 0) + SLICE_BYTES, "right")))
-        yield first, last
-        first = last
-
-
 def _compare(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.RecordBatch]:
     """Rows come in order; each is compared with the one after it. Borrowed rows only follow others.
 
@@ -96,7 +85,7 @@ def _compare(batches: Iterator[pa.RecordBatch], share: float) -> Iterator[pa.Rec
     kept = None
     kinds = [pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64()]
     for batch in batches:
-        for first, last in _slices(batch.column(1)):
+        for first, last in row_ranges(batch.column(1), SLICE_BYTES):
             part = batch.slice(first, last - first)
             ids, texts, borrowed = part.column(0).to_pylist(), part.column(1).to_pylist(), part.column(2).to_pylist()
             sets = shingle_sets(part.column(1))

@@ -1,14 +1,19 @@
 """Main text of web pages by the line-block distribution.
 
-Markup is stripped so that every block element is one line; menus, footers, forms and the like
-leave gaps of empty lines where they stood. The text lengths are summed over a sliding window of
-lines. A region begins where the sum surges above the threshold, back to the gap before it, and
-ends where the sum dives to nothing; the regions' lines are the main text. Windows are also judged
-across the gaps, and what lies between regions that surge is kept. ``article`` and ``main``
-elements bound regions with gaps and hint: where those in articles hold the bulk of what surges, the
-others are left out. An article in furniture
-(a comment, a teaser) is furniture, but a marked block around the page's ``main``, or around the one
-article with the bulk of its text, is layout and is read.
+Markup is stripped so that every block element is one line, and the lines' text lengths are summed
+over a sliding window. A region begins where the sum surges above the threshold, back to the gap
+before it, and ends where the sum dives to nothing; the regions' lines are the main text. This
+decides on every page. Tags and class names only change the lengths that are summed:
+
+- Lines of menus, footers, forms and the like, and of blocks whose class or id says so, count as
+  empty lines, and as many as a window has, so the sum dives there. A mark around the page's
+  ``main``, or around the one article with the bulk of its text, is layout and is void; so is one
+  that may name layout, on a block with the bulk of the text that isn't marked otherwise.
+- ``article`` and ``main`` have gaps around them. Where the regions that surge in articles hold the
+  bulk of what surges, the lines of the others count as empty too.
+
+Windows are also judged across the gaps, since what stood there is gone, and what lies between
+regions that surge is kept.
 """
 
 from __future__ import annotations
@@ -23,14 +28,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import lean, row_ranges
+
 WINDOW = 3
 THRESHOLD = 86
 BLOCKS = frozenset("address article aside blockquote body caption center dd details dialog div dl dt fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hr li main nav ol option p pre section summary table tbody td tfoot th thead tr ul".split())
-RAW = frozenset("script style noscript template iframe object svg math textarea select title head".split())
+RAW = frozenset("script style noscript template iframe svg textarea select title head".split())
 ASIDE = frozenset("nav footer aside form dialog menu button".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 #: Words of a class or id that mark what isn't part of the article.
-MARKS = re.compile(r"(?:^|[\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|sidebar|side-bar|widget|menu|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|topbar|comments?|comment-list|disqus|replies|respond|share|sharing|social|related|recommended|pagination|pager)(?:$|[\s_-])", re.I)
+MARKS = re.compile(r"(?<![^\s_-])(?:ads?|advert\w*|sponsor\w*|promo\w*|banner|cookies?|consent|notice|popup|modal|newsletter|subscribe|sidebar|side-bar|widget|menu|nav\w*|breadcrumbs?|footer|masthead|site-header|page-header|topbar|comments?|comment-list|disqus|replies|respond|share|sharing|social|related|recommended|pagination|pager)(?![^\s_-])", re.I)
+#: Of these, what may also name layout around the article.
+LAYOUT = frozenset("sidebar side-bar widget share sharing social related recommended".split())
+#: Bytes of HTML whose texts are returned in one batch.
+SLICE_BYTES = 8 << 20
 TOKEN = re.compile(r"<!--.*?(?:-->|\Z)|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:\"[^\"<>]*\"|'[^'<>]*'|[^'\">])*+)>|<(/?)([a-zA-Z][^\s/>]*)([^>]*)>", re.S)
 ATTRIBUTE = re.compile(r"(?:^|\s)(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 SPACE = re.compile(r"\s+")
@@ -58,7 +69,7 @@ def tokens_of(page: str) -> list[tuple[str, str, bool, str]]:
             end = None if headless and name == "head" else re.compile(rf"</{re.escape(name)}\s*>", re.I).search(page, at)
             headless |= name == "head" and not end
             at = end.end() if end else (at if name == "head" else size)
-            if name in ("svg", "math"):
+            if name == "svg":
                 continue
             name, rest = "", ""
         out.append((text, name, ending, rest))
@@ -68,7 +79,7 @@ def tokens_of(page: str) -> list[tuple[str, str, bool, str]]:
 
 
 def lines_of(page: str) -> list[tuple[str, bool]]:
-    """Each block's text and whether it stands in an article; an empty text is a gap."""
+    """Each block's text and whether it stands in an article; lines that count as empty are empty texts."""
     out: list[tuple[str, bool]] = []
     buffer: list[str] = []
     article = 0
@@ -82,6 +93,11 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
             out.extend([("", article > 0)] * WINDOW)
 
     tokens = tokens_of(page)
+
+    def marks(i: int) -> list[str]:
+        rest = tokens[i][3]
+        return [x.lower() for m in ATTRIBUTE.finditer(rest) for x in MARKS.findall(m[1] or m[2] or m[3] or "")] if rest else []
+
     ends: dict[int, int] = {}
     opened: dict[str, list[int]] = {}
     mains: list[int] = []
@@ -103,13 +119,23 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
     own = [(k, ends.get(k, after)) for k, after in zip(mains, [*mains[1:], len(tokens) - 1], strict=False)]
     bulk = [(k, end) for k, end in own if 2 * (mass[end + 1] - mass[k + 1]) > mass[-1]]
 
+    # Text outside of what can only be furniture.
+    plain, until = [0], -1
+    for i, (text, name, ending, _) in enumerate(tokens):
+        plain.append(plain[-1] + (len(text.strip()) if i > until else 0))
+        if i >= until and not ending and (name in ASIDE or name == "header" or name in BLOCKS and not LAYOUT.issuperset(marks(i))):
+            until = ends.get(i, i)
+
     def wraps(i: int, name: str) -> bool:
-        """Whether the block is the layout around a ``main``, or around the one article with the bulk of the page's text."""
+        """Whether the block is layout: around a ``main``, around the one article with the bulk of the page's text, or itself that bulk."""
         if name in ASIDE and name != "form" or name == "header":
             return False
         end = ends.get(i, len(tokens) - 1)
         if name != "article" and bisect_left(bodies, i) < bisect_left(bodies, end):
             return True
+        held = not mains or bisect_left(mains, i) < bisect_left(mains, end)
+        if held and name not in ASIDE and i in ends and 2 * (plain[end + 1] - plain[i + 1]) > plain[-1] and LAYOUT.issuperset(marks(i)):
+            return True
         return any(i <= k < end and 2 * (mass[min(own, end) + 1] - mass[k + 1]) > mass[-1] for k, own in reversed(bulk))
 
     i = 0
@@ -119,7 +145,7 @@ def lines_of(page: str) -> list[tuple[str, bool]]:
         if not name:
             close()
         elif not ending and name not in VOID and name != "main":
-            marked = name in BLOCKS and name != "body" and any(MARKS.search(m[1] or m[2] or m[3] or "") for m in ATTRIBUTE.finditer(rest))
+            marked = name in BLOCKS and name != "body" and bool(marks(i))
             if (name in ASIDE or name == "header" and not article or marked) and not wraps(i, name):
                 close(gap=True)
                 if i in ends:
@@ -188,8 +214,10 @@ def main_text(page: str, window: int = WINDOW, threshold: int = THRESHOLD) -> st
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
-        texts = [main_text(x or "") for x in batch.column(2).to_pylist()]
-        yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
+        for first, last in row_ranges(batch.column(2), SLICE_BYTES):
+            part = batch.slice(first, last - first)
+            texts = [main_text(x or "") for x in part.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())], names=["id", "url", "text", "n_chars"])
 
 
 def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
@@ -200,4 +228,4 @@ def extract_text(pages: DataFrame, id_col: str = "page_id", url_col: str = "url"
     columns are ignored. Broken markup is read as far as it goes.
     """
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("url"), F.col(html_col).cast("string").alias("html"))
-    return rows.mapInArrow(_extract, "id long, url string, text string, n_chars long").toDF(id_col, url_col, "text", "n_chars")
+    return rows.mapInArrow(lambda it: lean(_extract(it)), "id long, url string, text string, n_chars long").toDF(id_col, url_col, "text", "n_chars")

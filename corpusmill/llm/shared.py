@@ -8,7 +8,9 @@ import tempfile
 import uuid
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
 
@@ -58,3 +60,13 @@ def lean_group(f: Callable[[pa.Table], pa.Table], table: pa.Table) -> pa.Table:
     out = f(table)
     release()
     return out
+
+
+def row_ranges(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
+    """Row ranges ``(first, last)`` with at most ``most`` bytes of text, or one row."""
+    end = np.cumsum(np.asarray(pc.fill_null(pc.binary_length(texts), 0)).astype(np.int64))
+    first = 0
+    while first < len(end):
+        last = max(first + 1, int(np.searchsorted(end, (end[first - 1] if first else 0) + most, "right")))
+        yield first, last
+        first = last

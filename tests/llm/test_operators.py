@@ -438,3 +438,47 @@ def test_packing_keeps_near_copies_apart(spark, edges, docs, tmp_path):
 def test_best_fit_takes_the_tightest_compatible():
     assert packing.best_fit([7, 6, 3, 3, 3], [0, 1, 0, 1, 2], [-1, -1, -1, -1, -1], 10) == [0, 1, 1, 0, 2]
     assert packing.best_fit([5, 5, 5], [0, 1, 2], [0, 0, -1], 10) == [0, 1, 0]
+
+
+def made_page(rng):
+    """A page of random parts and the text that it should give."""
+    sentence = lambda n: " ".join(f"{rng.choice(['word', 'more', 'less', 'A&amp;B', 'é', 'x&lt;y'])}{rng.integers(100)}" for _ in range(n))
+    clean = lambda t: t.replace("&amp;", "&").replace("&lt;", "<")
+    short = lambda: sentence(rng.integers(1, 9))
+    furniture = [
+        lambda: f"<nav><ul><li><a href='/'>{short()}</a></li><li>{short()}</li></ul></nav>", lambda: f"<div class='ad'>{sentence(rng.integers(3, 40))}</div>", lambda: f"<form><p>{short()}</p><input><button>{short()}</button></form>",
+        lambda: f"<div id='cookie-notice'><p>{sentence(20)}</p></div>", lambda: f"<aside><h3>{short()}</h3><p>{sentence(30)}</p></aside>", lambda: f"<script>var a='<p>{short()}</p>';</script>", lambda: f"<style>p{{}} {short()}</style>", lambda: f"<!-- <p>{short()}</p> -->",
+    ]
+    some = lambda n: [rng.choice(furniture)() for _ in range(rng.integers(0, n))]
+    article, want = [], []
+    for k in range(rng.integers(2, 12)):
+        text = sentence(rng.integers(40, 90)) if k == 0 else sentence(rng.integers(1, 90))
+        kind = rng.choice(["<p>{}</p>", "<p>{}", "<h2>{}</h2>", "<blockquote>{}</blockquote>", "<div>\n {}\t</div>", "<p><b>{}<br></p>", "<ul><li>{}</li></ul>"])
+        article.append(kind.format(text))
+        want.append(clean(text))
+        if rng.integers(5) == 0:
+            article += some(2)
+    comments = f"<section class='comments'><article><p>{sentence(60)}</p></article><p>{sentence(80)}</p></section>" if rng.integers(2) else ""
+    shell = rng.choice(["<article>{}</article>", "<main><article>{}</article></main>", "<div class='post'>{}</div>", "<div class='has-sidebar'><article>{}</article></div>"])
+    page = ["<!DOCTYPE html><html><head><title>T</title></head><body>", f"<header><h1>{short()}</h1></header>", *some(4), shell.format("".join(article)), comments, *some(3), f"<footer>&copy; {sentence(30)}</footer></body></html>"]
+    return "".join(page), "\n".join(want)
+
+
+def test_html_made_pages(spark):
+    rng = np.random.default_rng(11)
+    made = [made_page(rng) for _ in range(400)]
+    rows = [(i, f"u{i}", page, "x") for i, (page, _) in enumerate(made)] + [(0, "u0", made[0][0], "x"), (None, None, None, None), (None, "u", "", "x"), (7, None, "<p>" + "long " * 10**6, "x")]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string, text string").repartition(3)
+    want = collections.Counter([(i, f"u{i}", text, len(text)) for i, (_, text) in enumerate(made)] + [(0, "u0", made[0][1], len(made[0][1])), (None, None, "", 0), (None, "u", "", 0), (7, None, ("long " * 10**6).strip(), 5 * 10**6 - 1)])
+    got = collections.Counter(tuple(r) for r in html_text.extract_text(pages).collect())
+    assert got == want
+    assert html_text.extract_text(pages.limit(0)).collect() == []
+
+
+def test_html_marks_only_change_lengths():
+    post, other = "word after word " * 20, "something else " * 12
+    text = html_text.main_text
+    assert text(f"<div class='related widget'><p>{post}</p></div><p>{other}</p>") == f"{post.strip()}\n{other.strip()}"
+    assert text(f"<div class='related'><p>{other}</p></div><p>{post}</p>") == post.strip()
+    assert text(f"<div class='share ad'><p>{post}</p></div><p>{other}</p>") == other.strip()
+    assert text(f"<p>{post}<math><mi>x</mi></math> is <object>seen</object></p>") == f"{post}x is seen"
