@@ -135,20 +135,25 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     quantiles = lambda c: F.percentile_approx(c, [i / n for i in range(1, n)], 10 * n)
     every = rows.agg(quantiles("id")).first()[0] or []
     cuts = sorted(set(every))
-    number = _below(F.col("id"), cuts) * n
-    # An id that fills whole quantiles is cut along its places.
+    below = _below(F.col("id"), cuts)
+    number, task, tasks = below * n, below, len(cuts) + 1
+    # An id that fills whole quantiles is cut along its places. Ranges are numbered in order, and every range is a task.
     hot = {i: m for i in cuts if (m := every.count(i)) > 1}
     for i, places in rows.where(F.col("id").isin(list(hot))).groupBy("id").agg(quantiles("place")).collect() if hot else ():
-        number = F.when(F.col("id") == i, cuts.index(i) * n + _below(F.col("place"), sorted(set(places[:: max(1, n // hot[i])])))).otherwise(number)
-    placed = rows.withColumn("range", number.cast("long"))
-    heads = sorted(tuple(r) for r in placed.groupBy("range").agg(F.max("id")).collect())
+        inner = sorted(set(places[:: max(1, n // hot[i])]))
+        part = _below(F.col("place"), inner)
+        number = F.when(F.col("id") == i, cuts.index(i) * n + part).otherwise(number)
+        task = F.when((F.col("id") == i) & (part > 0), tasks - 1 + part).otherwise(task)
+        tasks += len(inner)
+    placed = rows.withColumns({"range": number.cast("long"), "task": task.cast("int")})
+    heads = sorted(tuple(r) for r in placed.groupBy("range", "task").agg(F.max("id").alias("id")).select("range", "id", "task").collect())
     if not heads:
         return spark.createDataFrame([], PAIRS).withColumnRenamed("id", id_col)
     # The range below a range follows it; after the lowest comes the highest.
-    follow = spark.createDataFrame([(*heads[k - 1], r) for k, (r, _) in enumerate(heads)], "range long, id long, after long")
+    follow = spark.createDataFrame([(*heads[k - 1][:2], t) for k, (_, _, t) in enumerate(heads)], "range long, id long, after int")
     first = placed.join(F.broadcast(follow), ["range", "id"]).groupBy("id", "after").agg(F.max(F.struct("mark", "text")).alias("m"))
-    borrowed = first.select("id", "m.text", "m.mark", F.lit(1).alias("borrowed"), F.col("after").alias("range"))
-    both = placed.select("id", "text", "mark", F.lit(0).alias("borrowed"), "range").unionByName(borrowed)
-    dealt = both.repartition(shuffle_partitions(spark), "range").sortWithinPartitions("range", "borrowed", F.desc("id"), F.desc("mark"), F.desc("text"))
+    borrowed = first.select("id", "m.text", "m.mark", F.lit(1).alias("borrowed"), F.col("after").alias("task"))
+    both = placed.select("id", "text", "mark", F.lit(0).alias("borrowed"), "task").unionByName(borrowed)
+    dealt = both.repartitionById(tasks, F.col("task")).sortWithinPartitions("borrowed", F.desc("id"), F.desc("mark"), F.desc("text"))
     found = dealt.select("id", "text", "borrowed").mapInArrow(lambda it: lean(_compare(it, share)), PAIRS)
     return found.select(F.nullif("id", F.lit(-(2**63))).alias(id_col), *[x.split()[0] for x in PAIRS.split(", ")][1:])
