@@ -14,12 +14,12 @@ from .shared import table
 from .sharding import histogram_shards
 from .suffix_match import suffix_matches
 from .toxicity import toxicity_scores, train
-from .url_filter import host_of, judge_urls
+from .url_filter import host_of, judge_urls, path_of
 from .warc import archived
 
 URL_RULES = [("com", "/", "allow"), ("example.com", "/en/", "block"), ("www.example.com", "/en/", "allow"), ("net", "/es/", "block"), ("net", "/fr/", "block")]
-#: Words in a host name that put it on the block list.
-LISTED_WORDS = r"(^|[.-])(casino|poker|bet|betting|pills|viagra|porn|xxx|loans|jackpot)([.-]|$)"
+#: Words in a host name that put all its pages on the block list.
+LISTED_WORDS = r"(^|[.-])(casino|poker|bets?|betting|pills|viagra|porn|xxx|adult|loans|jackpot|spam|ads)([.-]|$)"
 LICENSE_PHRASES = {"under the mit license": "mit", "apache license version 2": "apache-2", "cc by nc": "cc-by-nc"}
 
 
@@ -33,7 +33,8 @@ def op1_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages")
-    listed = pages.select(host_of(F.col("url")).alias("key")).where(F.col("key").rlike(LISTED_WORDS)).distinct()
+    url = F.col("url")
+    listed = pages.where(host_of(url).rlike(LISTED_WORDS)).select(F.concat(host_of(url), path_of(url)).alias("key"))
     return judge_urls(pages, listed, URL_RULES).select("page_id", "host", "path", "rule", "verdict")
 
 

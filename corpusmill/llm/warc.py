@@ -1,13 +1,16 @@
 """WARC archives as a PySpark data source.
 
 Writing: every task makes files of its own, each record a gzip member whose extra field ``sl`` has
-its two lengths; the driver's commit lists the files of the successful tasks in ``manifest.json``,
-so what failed or repeated tasks left is never read.
-
-Reading: the driver plans partitions of whole files of about equal bytes. A task inflates only the
-head of each member, tests the pushed-down predicates on the WARC headers, and skips the rest of an
-unwanted record (and of every record, if payloads aren't asked for) by its length. Archives from
-elsewhere, without ``sl``, are read member by member.
+its two lengths (a value of a Spark row has less than 2 GiB, so they fit). The driver's commit lists
+the files of the successful tasks, and places in them where a record begins, in a manifest of the
+job, so what failed or repeated tasks left is never read. A folder has all jobs that were appended;
+overwriting removes the manifests of earlier ones first, then their files.
+
+Reading: the driver plans partitions of about equal bytes; a long file is cut at the listed places.
+A task inflates only the head of each member, tests the pushed-down predicates on the WARC headers,
+and skips the rest of an unwanted record (and of every record, if payloads aren't asked for) by its
+length. In a folder without manifests every ``*.warc.gz`` is read; archives from elsewhere, without
+``sl``, are read member by member.
 """
 
 from __future__ import annotations
@@ -27,11 +30,16 @@ from pyspark.sql import functions as F
 from pyspark.sql.datasource import DataSource, DataSourceArrowWriter, DataSourceReader, EqualTo, In, InputPartition, WriterCommitMessage
 
 from .shared import materialise, scratch
+from .url_filter import encode
 
 COLUMNS = ("record_id", "record_type", "target_uri", "refers_to", "payload_digest")
 SCHEMA = ", ".join(f"{c} string" for c in COLUMNS) + ", payload_bytes long, payload binary"
 HEADERS = {"record_id": "warc-record-id", "record_type": "warc-type", "target_uri": "warc-target-uri", "refers_to": "warc-refers-to", "payload_digest": "warc-payload-digest"}
 FILE_BYTES = 256 << 20
+#: Bytes between the places at which a file can be cut, and of a read partition.
+MARK_BYTES, PARTITION_BYTES = 4 << 20, 16 << 20
+#: Owners of repeated payloads that are broadcast, at about 80 bytes each, and bits of the filter that stands for more of them.
+FEW_OWNERS, FILTER_BITS = 200_000, 1 << 25
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 
 
@@ -60,9 +68,8 @@ def headers_of(head: bytes) -> dict[str, str]:
     return {k.strip().lower(): v.strip() for k, _, v in (x.partition(":") for x in lines) if v}
 
 
-def records(file, size: int, wanted, payloads: bool) -> Iterator[tuple[dict, bytes]]:
-    """(headers, block) of the members that ``wanted(headers)`` takes; the block is empty unless asked for or short."""
-    at = 0
+def records(file, at: int, size: int, wanted, payloads: bool) -> Iterator[tuple[dict, bytes]]:
+    """(headers, block) of the members from ``at`` to ``size`` that ``wanted(headers)`` takes; the block is empty unless asked for or short."""
     while at < size:
         file.seek(at)
         start = file.read(min(4096, size - at))
@@ -96,15 +103,35 @@ def records(file, size: int, wanted, payloads: bool) -> Iterator[tuple[dict, byt
         at += whole
 
 
+def manifests(system: fs.FileSystem, path: str) -> list[str]:
+    found = system.get_file_info(fs.FileSelector(path, allow_not_found=True))
+    return sorted(f.path for f in found if f.base_name.startswith("manifest-") and f.base_name.endswith(".json"))
+
+
+def listed(system: fs.FileSystem, path: str) -> list[list]:
+    """``[name, size, places]`` of the files below ``path``."""
+    names = manifests(system, path)
+    if not names:
+        found = system.get_file_info(fs.FileSelector(path))
+        return sorted([f.base_name, f.size, [0]] for f in found if f.base_name.endswith(".warc.gz"))
+    out = []
+    for name in names:
+        with system.open_input_stream(name) as file:
+            out += json.loads(file.read())
+    return sorted(out)
+
+
 class Files(InputPartition):
-    def __init__(self, files: list[tuple[str, int]]):
+    """Parts of files: name, first byte and end, each at the edge of a record."""
+
+    def __init__(self, files: list[tuple[str, int, int]]):
         self.files = files
 
 
 class WarcReader(DataSourceReader):
     def __init__(self, options: dict):
         self.path, self.payload, self.verify = options["path"], options.get("payload", "true") == "true", options.get("verify", "false") == "true"
-        self.partition_bytes = int(options.get("partitionbytes", options.get("partitionBytes", 64 << 20)))
+        self.partition_bytes = int(options.get("partitionbytes", options.get("partitionBytes", PARTITION_BYTES)))
         self.filters: dict[str, set] = {}
 
     def pushFilters(self, filters):  # noqa: N802
@@ -118,15 +145,17 @@ class WarcReader(DataSourceReader):
 
     def partitions(self):
         system, path = fs.FileSystem.from_uri(self.path)
-        with system.open_input_stream(f"{path}/manifest.json") as file:
-            names = json.loads(file.read())
         out, own, total = [], [], 0
-        for name, size in sorted(names):
-            if own and total + size > self.partition_bytes:
-                out.append(Files(own))
-                own, total = [], 0
-            own.append((name, size))
-            total += size
+        for name, size, places in listed(system, path):
+            for first, end in zip(places, [*places[1:], size], strict=True):
+                if own and total + end - first > self.partition_bytes:
+                    out.append(Files(own))
+                    own, total = [], 0
+                if own and own[-1][0] == name:
+                    own[-1] = (name, own[-1][1], end)
+                else:
+                    own.append((name, first, end))
+                total += end - first
         return [*out, Files(own)] if own else out or [Files([])]
 
     def _wanted(self, found: dict) -> bool:
@@ -134,9 +163,9 @@ class WarcReader(DataSourceReader):
 
     def read(self, partition):
         system, path = fs.FileSystem.from_uri(self.path)
-        for name, size in partition.files:
+        for name, first, end in partition.files:
             with system.open_input_file(f"{path}/{name}") as file:
-                for found, block in records(file, size, self._wanted, self.payload):
+                for found, block in records(file, first, end, self._wanted, self.payload):
                     head, _, payload = block.partition(b"\r\n\r\n")
                     full = int(headers_of(head).get("content-length", 0)) if head.startswith(b"HTTP/") else len(payload)
                     kind, digest = found.get("warc-type"), plain("payload_digest", found.get("warc-payload-digest"))
@@ -151,45 +180,53 @@ def plain(column: str, value: str | None) -> str | None:
 
 
 class Written(WriterCommitMessage):
-    def __init__(self, files: list[tuple[str, int]]):
+    def __init__(self, files: list[tuple[str, int, list[int]]]):
         self.files = files
 
 
 class WarcWriter(DataSourceArrowWriter):
     """Takes the columns of ``SCHEMA`` by name; payload_digest is bare base32."""
 
-    def __init__(self, options: dict):
-        self.path, self.file_bytes = options["path"], int(options.get("filebytes", FILE_BYTES))
+    def __init__(self, options: dict, overwrite: bool = False):
+        self.path, self.file_bytes, self.overwrite = options["path"], int(options.get("filebytes", FILE_BYTES)), overwrite
 
     def write(self, iterator):
         system, path = fs.FileSystem.from_uri(self.path)
         system.create_dir(path, recursive=True)
-        files, out, size, name = [], None, 0, ""
+        files, out, size, name, places = [], None, 0, "", []
         for batch in iterator:
             for row in zip(*(batch.column(c).to_pylist() for c in (*COLUMNS, "payload_bytes", "payload")), strict=True):
                 if out is None:
-                    name, size = f"part-{uuid.uuid4().hex}.warc.gz", 0
+                    name, size, places = f"part-{uuid.uuid4().hex}.warc.gz", 0, [0]
                     out = system.open_output_stream(f"{path}/{name}", compression=None)
+                if size >= places[-1] + MARK_BYTES:
+                    places.append(size)
                 rid, kind, uri, refers, digest, full, payload = row
                 size += out.write(record(rid, kind, uri, digest, payload, full, refers))
                 if size >= self.file_bytes:
                     out.close()
-                    files.append((name, size))
+                    files.append((name, size, places))
                     out = None
         if out is not None:
             out.close()
-            files.append((name, size))
+            files.append((name, size, places))
         return Written(files)
 
     def commit(self, messages):
         system, path = fs.FileSystem.from_uri(self.path)
         system.create_dir(path, recursive=True)
-        with system.open_output_stream(f"{path}/manifest.json", compression=None) as file:
-            file.write(json.dumps([f for m in messages if m for f in m.files]).encode())
+        old, gone = (manifests(system, path), listed(system, path)) if self.overwrite else ([], [])
+        for name in old:
+            system.delete_file(name)
+        new = [f for m in messages if m for f in m.files]
+        with system.open_output_stream(f"{path}/manifest-{uuid.uuid4().hex}.json", compression=None) as file:
+            file.write(json.dumps(new).encode())
+        for name in {f[0] for f in gone} - {f[0] for f in new}:
+            system.delete_file(f"{path}/{name}")
 
     def abort(self, messages):
         system, path = fs.FileSystem.from_uri(self.path)
-        for name, _ in [f for m in messages if m for f in m.files]:
+        for name, *_ in [f for m in messages if m for f in m.files]:
             system.delete_file(f"{path}/{name}")
 
 
@@ -207,7 +244,7 @@ class WarcDataSource(DataSource):
         return WarcReader(dict(self.options))
 
     def writer(self, schema, overwrite):
-        return WarcWriter(dict(self.options))
+        return WarcWriter(dict(self.options), overwrite)
 
 
 def read_warc(spark: SparkSession, path: str, payload: bool = True, verify: bool = False) -> DataFrame:
@@ -216,20 +253,27 @@ def read_warc(spark: SparkSession, path: str, payload: bool = True, verify: bool
     return spark.read.format("warc").option("payload", str(payload).lower()).option("verify", str(verify).lower()).load(path)
 
 
-def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0) -> None:
+def write_pages(pages: DataFrame, path: str, id_col: str = "page_id", url_col: str = "url", html_col: str = "html", least_bytes: int = 0, few_owners: int = FEW_OWNERS) -> None:
     """Archive every row; of equal payloads of ``least_bytes`` or more, that of the smallest id is the response, the others revisit it.
 
     Null payloads count as empty, null URLs give no target URI. Rows that repeat the id of the
     response are responses too. Rows without id never own a payload but may revisit one.
     Only (digest, length, id) is grouped, with a partial aggregate, so a payload that a third of the
-    pages share costs a row a task; a digest's owner is then looked up by a join whose large side
-    Spark splits where it is skewed. Revisits leave their payload behind there.
+    pages share costs a row a task. The owners of up to ``few_owners`` repeated digests are
+    broadcast; of more, a Bloom filter of bounded size tells which rows can be repeated, and only
+    these are shuffled, by a join whose large side Spark splits where it is skewed.
     """
     spark = pages.sparkSession
     body = F.coalesce(F.col(html_col).cast("string"), F.lit("")).cast("binary")
     rows = pages.select(F.col(id_col).cast("long").alias("id"), F.col(url_col).cast("string").alias("target_uri"), body.alias("payload"), F.sha1(body).alias("sha"), F.octet_length(body).cast("long").alias("payload_bytes"))
     owners = rows.where(F.col("payload_bytes") >= least_bytes).groupBy("sha").agg(F.min("id").alias("owner"), F.count("*").alias("n")).where("n > 1 and owner is not null").select("sha", "owner")
-    full = rows.join(materialise(owners, "owners"), "sha", "left")
+    owners = materialise(owners, "owners")
+    if (count := owners.count()) <= few_owners:
+        full = rows.join(F.broadcast(owners), "sha", "left")
+    else:
+        seen = encode(owners.select(F.col("sha").alias("key")), min(FILTER_BITS, 16 * count), 8, 0)
+        alone = rows.where(~seen.passes(F.col("sha"))).withColumn("owner", F.lit(None).cast("long"))
+        full = rows.where(seen.passes(F.col("sha"))).join(owners, "sha", "left").unionByName(alone)
     revisit = F.col("owner").isNotNull() & ~F.col("id").eqNullSafe(F.col("owner"))
     name = lambda c: F.concat(F.lit("<urn:page:"), c.cast("string"), F.lit(">"))
     full.select(

@@ -232,12 +232,13 @@ def test_sharding_cuts_a_hot_text(spark):
 
 
 def test_url_filter(spark, sf):
-    urls = ["https://a.Example.com/en/x?y", "http://WWW.example.com/en/1", "x.net/es/", "ftp://k.net/es/#a", None, "", "://", "http://host", "a://b://c/d", "https://casino-win.example.net/de/", "http://net/fr/", "http://examplecom/en/"]
+    urls = ["https://a.Example.com/en/x?y", "http://WWW.example.com/en/1", "x.net/es/", "ftp://k.net/es/#a", None, "", "://", "http://host", "a://b://c/d", "https://casino-win.example.net/de/", "http://net/fr/", "http://examplecom/en/", "https://h.org/" + "long/" * 10**5, *[f"http://ads.h{i}.org/{i}" for i in range(40)]]
     pages = spark.createDataFrame([(i, u, "z") for i, u in enumerate(urls)] + [(0, urls[0], "z")], "page_id long, url string, host string")
     for df in (pages, spark.read.parquet(f"{sf}/pages.parquet"), pages.limit(0)):
-        listed = df.select(url_filter.host_of(F.col("url")).alias("key")).where(F.col("key").rlike(queries.LISTED_WORDS))
-        for bits in (1 << 25, 0):
-            got = url_filter.judge_urls(df, listed, queries.URL_RULES, max_bits=bits).collect()
+        host, path = url_filter.host_of(F.col("url")), url_filter.path_of(F.col("url"))
+        listed = df.where(host.rlike(queries.LISTED_WORDS)).select(F.concat(host, path).alias("key"))
+        for bits in (1 << 25, 100):
+            got = url_filter.judge_urls(df, listed, queries.URL_RULES, part_bits=bits).collect()
             want = collections.Counter()
             for i, u in [(r.page_id, r.url) for r in df.collect()]:
                 rest = u.split("://", 1)[1] if u and "://" in u else ""
@@ -252,10 +253,15 @@ def test_url_filter(spark, sf):
 
 def test_cascade_is_exact(spark):
     universe = spark.range(5000).select(F.concat(F.lit("host"), "id").alias("key"), "id")
-    cascade = url_filter.build_cascade(universe, universe.where("id % 7 = 0"))
-    assert len(cascade.levels) > 1
+    (cascade,) = url_filter.build_cascades(universe, universe.where("id % 7 = 0"))
+    assert len(cascade.levels) > 2
     assert universe.where(cascade.contains(F.col("key")) != (F.col("id") % 7 == 0)).count() == 0
-    empty = url_filter.build_cascade(universe, universe.limit(0))
+    parts = url_filter.build_cascades(universe, universe.where("id % 7 = 0"), part_bits=4000)
+    assert len(parts) > 1
+    for p, cascade in enumerate(parts):
+        own = universe.where(url_filter.part_of(F.col("key"), len(parts)) == p)
+        assert own.count() and own.where(cascade.contains(F.col("key")) != (F.col("id") % 7 == 0)).count() == 0
+    (empty,) = url_filter.build_cascades(universe, universe.limit(0))
     assert universe.where(empty.contains(F.col("key"))).count() == 0
 
 
@@ -318,6 +324,7 @@ def test_warc_pushdown_and_members(spark, tmp_path):
     assert warc.read_warc(spark, path, payload=False).where("target_uri in ('http://h/3', 'http://h/4')").count() == 2
     name = next((tmp_path / "w").glob("*.warc.gz"))
     raw, sizes = name.read_bytes(), []
+    assert len(list((tmp_path / "w").glob("manifest-*.json"))) == 1
     while raw:  # any gzip reader can take the members apart
         one = zlib.decompressobj(31)
         assert one.decompress(raw).startswith(b"WARC/1.1\r\n")
@@ -325,6 +332,42 @@ def test_warc_pushdown_and_members(spark, tmp_path):
         raw = one.unused_data
 
 
+def test_warc_jobs(spark, tmp_path):
+    page = lambda own: spark.createDataFrame([(i, f"http://h/{i}", f"body {i}") for i in own], "page_id long, url string, html string")
+    path, found = f"file://{tmp_path}/w", lambda: sorted(int(r.record_id[10:-1]) for r in warc.read_warc(spark, path).collect())
+    warc.write_pages(page(range(5)), path)
+    warc.write_pages(page(range(5, 9)), path)
+    assert found() == list(range(9))
+    spark.dataSource.register(warc.WarcDataSource)
+    warc.read_warc(spark, path).where("target_uri = 'http://h/3'").write.format("warc").mode("overwrite").save(f"{path}2")
+    warc.read_warc(spark, f"{path}2").write.format("warc").mode("overwrite").save(path)
+    assert found() == [3] and len(list((tmp_path / "w").glob("*.warc.gz"))) == 1
+    for name in (tmp_path / "w").glob("manifest-*.json"):
+        name.unlink()
+    assert found() == [3]
+
+
+def test_warc_files_are_cut_at_records(spark, tmp_path, monkeypatch):
+    path, rng = f"file://{tmp_path}/w", np.random.default_rng(1)
+    rows = [(i, f"http://h/{i}", rng.bytes(2 << 20).hex()) for i in range(12)]
+    warc.write_pages(spark.createDataFrame(rows, "page_id long, url string, html string").coalesce(1), path)
+    spark.dataSource.register(warc.WarcDataSource)
+    back = spark.read.format("warc").option("partitionBytes", str(8 << 20)).option("verify", "true").load(path)
+    assert back.rdd.getNumPartitions() > 2 and len(list((tmp_path / "w").glob("*.warc.gz"))) == 1
+    assert {r.target_uri: bytes(r.payload).decode() for r in back.collect()} == {u: h for _, u, h in rows}
+
+
+def test_warc_owners_by_filter(spark, tmp_path):
+    rows = [(i, None, f"body {i % 50 if i % 3 else i}") for i in range(600)]
+    pages = spark.createDataFrame(rows, "page_id long, url string, html string").repartition(4)
+    spark.dataSource.register(warc.WarcDataSource)
+    out = []
+    for few in (0, 10**6):
+        warc.write_pages(pages, f"file://{tmp_path}/{few}", few_owners=few)
+        out.append(sorted(tuple(r) for r in warc.read_warc(spark, f"file://{tmp_path}/{few}").drop("payload").fillna("").collect()))
+    assert out[0] == out[1] and len(out[0]) == 600
+
+
 def test_html_text():
     page = "<!DOCTYPE html><html><head><title>T</title><script>var t='</p>';</script></head><body><nav><ul><li><a>Menu item</a></li></ul></nav><div class='ad'>Buy this now, it is very long text that looks like an article indeed.</div><article><h1>Head &amp; more</h1><p><b>First   para\ngraph.<br><p>Second &lt;one&gt;.</p><section id='comments'><p>Nice!</p></section></article><aside>Side</aside><footer>&copy; us</footer></body></html>"
     assert html_text.main_text(page) == "Head & more\nFirst para graph.\nSecond <one>."
