@@ -39,7 +39,7 @@ def op2_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op3_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
-    dealt = histogram_shards(table(spark, sf_dir, "documents"), 8)
+    dealt = histogram_shards(table(spark, sf_dir, "documents"), 8, tolerance=0.0)
     text = F.coalesce(F.col("text"), F.lit("")).cast("binary")
     return dealt.select("doc_id", "size", F.crc32(text).alias("text_crc32"), F.lit("bytes").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 

@@ -70,3 +70,14 @@ def row_ranges(texts: pa.Array, most: int) -> Iterator[tuple[int, int]]:
         last = max(first + 1, int(np.searchsorted(end, (end[first - 1] if first else 0) + most, "right")))
         yield first, last
         first = last
+
+
+def fresh_names(taken: list[str], names: str) -> list[str]:
+    """Each of ``names``, with underscores before it until no column of ``taken`` has it."""
+    used, out = {c.lower() for c in taken}, []
+    for name in names.split():
+        while name.lower() in used:
+            name = f"_{name}"
+        used.add(name.lower())
+        out.append(name)
+    return out

@@ -231,6 +231,32 @@ def test_sharding_cuts_a_hot_text(spark):
     assert len(sums) == 8 and max(sums.values()) < 1.02 * min(sums.values())
 
 
+def test_sharding_at_no_tolerance_is_the_sort(spark, edges, docs):
+    for df in (edges, docs):
+        rows = sorted((zlib.crc32((r.text or "").encode()), r.doc_id is not None, r.doc_id or 0, len((r.text or "").encode()) + 1) for r in df.collect())
+        total, below, want, slots = sum(r[3] for r in rows), 0, collections.Counter(), collections.Counter()
+        for _, known, i, size in rows:
+            shard = min(int((below + size / 2) / (total / 8)), 7)
+            want[(i if known else None, size, shard, slots[shard])] += 1
+            slots[shard] += 1
+            below += size
+        got = histogram_shards(df, 8, tolerance=0.0).select("doc_id", F.col("size").cast("long"), "shard", "slot").collect()
+        assert collections.Counter(tuple(r) for r in got) == want
+
+
+def test_sharding_cuts_repeated_rows_and_keeps_columns(spark):
+    rows = [(None, "same", i, "a", "b", "c", 1) for i in range(20000)]
+    for parts in (1, 8):
+        df = spark.createDataFrame(rows, "doc_id long, text string, range long, first string, t string, leaf string, h int").repartition(parts)
+        for tolerance in (0.0, 0.001):
+            out = histogram_shards(df, 8, tolerance=tolerance)
+            assert out.columns == [*df.columns, "size", "shard", "slot"]
+            got = out.collect()
+            assert sorted(r.range for r in got) == list(range(20000)) and {r.t for r in got} == {"b"}
+            for s in range(8):
+                assert sorted(r.slot for r in got if r.shard == s) == list(range(2500))
+
+
 def test_url_filter(spark, sf):
     urls = ["https://a.Example.com/en/x?y", "http://WWW.example.com/en/1", "x.net/es/", "ftp://k.net/es/#a", None, "", "://", "http://host", "a://b://c/d", "https://casino-win.example.net/de/", "http://net/fr/", "http://examplecom/en/", "https://h.org/" + "long/" * 10**5, *[f"http://ads.h{i}.org/{i}" for i in range(40)]]
     pages = spark.createDataFrame([(i, u, "z") for i, u in enumerate(urls)] + [(0, urls[0], "z")], "page_id long, url string, host string")
