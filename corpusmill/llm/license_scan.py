@@ -1,10 +1,13 @@
 """Licence scans with a positional index of rare words, in DataFrame operations only.
 
-The templates' words are weighed by their rarity over the whole corpus. Each file's rare licence
-words are looked up in the index of (template, position); what two places have in common is the
-difference of file position and template position, so equal differences intersect the postings.
-Each aligned template is then verified: its key phrases have to stand, word for word, at their
-relative positions. No row leaves its partition; only the words' document counts are gathered.
+One pass over the texts keeps, of each file, the places of the templates' words. These words are
+weighed by their rarity over the whole corpus. The index has, for each word, its postings: the
+templates that it is mandatory in and its position there. A file's licence words are looked up in
+it, the rarest ones of each template first: a file place less a template position is the offset at
+which the template would stand, so a template can only stand where the postings of its two rarest
+words agree. What is left is intersected with the postings of the other words of its key phrases,
+until these are verified word for word. No row leaves its partition; only the words' document counts
+are gathered.
 """
 
 from __future__ import annotations
@@ -14,6 +17,7 @@ import math
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from .shared import materialise
 from .url_filter import LOWER, UPPER
 
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]+"
@@ -36,51 +40,72 @@ def _texts(items) -> str:
     return "array(" + ", ".join(f"'{x}'" for x in items) + ")"
 
 
-def license_scan(docs: DataFrame, phrases: dict[str, str], templates=None, id_col: str = "doc_id", text_col: str = "text", least_idf: float = 1.0) -> DataFrame:
+def _structs(items, kind: str) -> str:
+    return "cast(array(" + ", ".join("(" + ", ".join(map(str, x)) + ")" for x in items) + f") as array<struct<{kind}>>)"
+
+
+def license_scan(docs: DataFrame, phrases: dict[str, str], templates=None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """``(id_col, n_words, n_base, first_word, last_word, base_labels, labels, score, places)`` for each row.
 
     Words are runs of digits, letters and anything beyond ASCII; only A-Z are lower-cased.
     ``phrases`` maps each base phrase (words in lower case) to its label; ``n_base`` counts all its
-    places. ``labels`` adds the templates found by the index; both are distinct, sorted and
-    comma-joined. ``places`` has each found template's label and first word; ``score`` is the best
-    share, weighed by rarity, of a found template's words that stand at their places.
-
-    Licence words of an idf below ``least_idf`` don't open a search, but for the rarest one of each
-    notice and of each key phrase, so that every place of the key phrases is searched however
-    frequent their words are. Null and empty texts have no words or labels and score 0; repeated
-    rows are returned as often as they come; other columns are ignored.
+    places. ``labels`` adds the templates whose key phrases stand in the file, each at its position;
+    both are distinct, sorted and comma-joined. ``places`` has each found template's label and the
+    offset of its notice; ``score`` is the best share, weighed by rarity, of a found template's
+    words that stand at their places (rounded to nine digits).
+
+    However frequent its words are, no place of a key phrase is missed: rarity decides only the order
+    in which postings are intersected. Null and empty texts have no words or labels and score 0;
+    repeated rows are returned as often as they come; other columns are ignored.
     """
     templates = TEMPLATES if templates is None else templates
-    rows = docs.select(F.col(id_col).alias("__id"), F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER).alias("__low"))
-    split = rows.select("__id", F.regexp_extract_all("__low", F.lit(WORD), F.lit(0)).alias("words"))
-    tokens = [t[1].split() for t in templates]
-    vocabulary = sorted({w for t in tokens for w in t})
-    seen = split.select(F.explode(F.array_append(F.array_intersect("words", F.expr(_texts(vocabulary))), F.lit(""))).alias("w")).groupBy("w").count()
+    notices = [n.split() for _, n, _ in templates] + [p.split() for p in phrases]
+    keys = [[(p + j, w) for p, k in own for j, w in enumerate(k.split())] for _, _, own in templates] + [list(enumerate(p.split())) for p in phrases]
+    labels = [t[0] for t in templates] + list(phrases.values())
+    vocabulary = sorted({w for n in notices for w in n} | {w for k in keys for _, w in k})
+    number = {w: i for i, w in enumerate(vocabulary)}
+
+    low = F.translate(F.coalesce(F.col(text_col).cast("string"), F.lit("")), UPPER, LOWER)
+    split = docs.select(F.col(id_col).alias("id"), F.regexp_extract_all(low, F.lit(WORD), F.lit(0)).alias("words"))
+    own = F.array_compact(F.transform("words", lambda w, i: F.when(w.isin(vocabulary), i)))
+    split = split.select("id", "words", own.alias("own"))
+    hits = F.expr(f"transform(own, i -> struct(cast(array_position({_texts(vocabulary)}, words[i]) - 1 as int) as w, i as p))")
+    found = materialise(split.select("id", F.size("words").cast("long").alias("n_words"), hits.alias("hits")), "licence-words")
+    seen = found.select(F.explode(F.expr("array_append(array_distinct(transform(hits, x -> x.w)), -1)")).alias("w")).groupBy("w").count()
     counts = {r["w"]: r["count"] for r in seen.collect()}
-    n = counts.get("", 0)
-    idf = {w: math.log((n + 1) / (counts.get(w, 0) + 1)) for w in vocabulary}
-    rare = {w for w in vocabulary if idf[w] >= least_idf} | {max(t, key=lambda w: (idf[w], w)) for t in [*tokens, *(k.split() for t in templates for _, k in t[2])]}
-    ranked = sorted(rare, key=lambda w: (-idf[w], w))
-
-    postings = "map(" + ", ".join(f"'{w}', array({', '.join(f'struct({t} as t, {p} as p)' for t, own in enumerate(tokens) for p, x in enumerate(own) if x == w)})" for w in ranked) + ")"
-    keys = "array(" + ", ".join(f"array({', '.join(f'struct({p} as p, {_texts(k.split())} as k)' for p, k in t[2])})" for t in templates) + ")"
-    notices = "array(" + ", ".join(f"array({', '.join(f'''struct('{w}' as w, {max(idf[w], 1e-9)!r}D as i)''' for w in own)})" for own in tokens) + ")"
-    labels = _texts(t[0] for t in templates)
-    base = [(p.split(), label) for p, label in phrases.items()]
-    anchors = sorted(rare | {max(p, key=lambda w: (idf.get(w, 99), w)) for p, _ in base})
-
-    # Files without any rare word skip all that follows.
-    at = split.withColumn("n_words", F.size("words").cast("long")).withColumn("__open", F.arrays_overlap("words", F.expr(_texts(anchors))))
-    at = at.select("__id", "n_words", F.when(F.col("__open"), F.col("words")).otherwise(F.expr("cast(array() as array<string>)")).alias("words"))
-    places = ", ".join(f"transform(filter(transform(words, (w, i) -> i), i -> words[i] = '{p[0]}' and slice(words, i + 1, {len(p)}) = {_texts(p)}), i -> struct(cast(i as long) as at, '{label}' as label))" for p, label in base)
-    at = at.withColumn("__base", F.expr(f"case when size(words) > 0 then concat({places}) else array() end") if base else F.expr("cast(array() as array<struct<at:bigint,label:string>>)"))
-    at = at.withColumn("__aligned", F.expr(f"case when size(words) > 0 then array_distinct(flatten(transform(filter(transform(words, (w, i) -> struct(w, i)), x -> array_contains({_texts(ranked)}, x.w)), x -> transform(element_at({postings}, x.w), q -> struct(q.t as t, x.i - q.p as o))))) end"))
-    at = at.withColumn("__found", F.expr(f"filter(__aligned, c -> forall(({keys})[c.t], k -> c.o + k.p >= 0 and slice(words, greatest(c.o + k.p, 0) + 1, size(k.k)) = k.k))"))
-    at = at.withColumn("places", F.expr(f"coalesce(transform(__found, c -> struct(({labels})[c.t] as label, cast(c.o as long) as first_word, aggregate(transform(({notices})[c.t], (x, p) -> case when get(words, c.o + p) = x.w then x.i else 0D end), 0D, (a, b) -> a + b) / aggregate(({notices})[c.t], 0D, (a, b) -> a + b.i) as score)), array())"))
+    idf = [max(math.log((counts.get(-1, 0) + 1) / (counts.get(i, 0) + 1)), 1e-9) for i in range(len(vocabulary))]
+
+    # Each template's mandatory words from rare to common; the k-th is looked up in the k-th step.
+    ordered = [sorted(((number[w], p) for p, w in k), key=lambda x: (-idf[x[0]], x)) for k in keys]
+    ordered = [k if len(k) > 1 else k * 2 for k in ordered]
+    deepest = max(map(len, ordered))
+    index = [[(t, p, k) for t, own in enumerate(ordered) for k, (w, p) in enumerate(own) if w == x] for x in range(len(vocabulary))]
+    postings = "array(" + ", ".join(_structs(own, "t: int, p: int, k: int") for own in index) + ")"
+    at = found.where("size(hits) > 0").withColumn("look", F.expr(f"flatten(transform(hits, x -> transform(({postings})[x.w], q -> struct(q.t as t, x.p - q.p as o, q.k as k))))"))
+    step = lambda k: f"transform(filter(look, x -> x.k = {k}), x -> struct(x.t as t, x.o as o))"
+    at = at.select("id", "n_words", "hits", "look", F.expr(f"array_intersect({step(0)}, {step(1)})").alias("here"))
+    for k in range(2, deepest):
+        done = [t for t, own in enumerate(ordered) if len(own) <= k]
+        at = at.withColumn("here", F.expr(f"if(size(here) > 0, array_intersect(here, concat({step(k)}, filter(here, c -> c.t in ({', '.join(map(str, done)) or '-1'})))), here)"))
+    n = len(templates)
+    at = at.select("id", "n_words", "hits", F.expr(f"filter(here, c -> c.t >= {n})").alias("base"), F.expr(f"filter(here, c -> c.t < {n})").alias("places"))
+
+    # The notices' words at their places; a template's shares are summed along the sorted array.
+    words_at = "array(" + ", ".join(_structs([(j, number[w]) for j, w in enumerate(own)], "j: int, w: int") for own in notices[:n]) + ")"
+    shares = "array(" + ", ".join("array(" + ", ".join(f"{idf[number[w]] / sum(idf[number[x]] for x in own)!r}D" for w in own) + ")" for own in notices[:n]) + ")"
+    notice_index = [[(t, j) for t, own in enumerate(notices[:n]) for j, w in enumerate(own) if w == x] for x in vocabulary]
+    noticed = "array(" + ", ".join(_structs(own, "t: int, j: int") for own in notice_index) + ")"
+    at = at.withColumn("stand", F.expr(f"if(size(places) > 0, array_sort(array_intersect(flatten(transform(places, c -> transform(({words_at})[c.t], x -> struct(c.t as t, c.o as o, x.j as j)))), flatten(transform(hits, x -> transform(({noticed})[x.w], q -> struct(q.t as t, x.p - q.j as o, q.j as j)))))), null)"))
+    share = f"({shares})[x.t][x.j]"
+    score = f"aggregate(stand, struct(-1 as t, 0 as o, 0D as s, 0D as best), (a, x) -> struct(x.t as t, x.o as o, if(a.t = x.t and a.o = x.o, a.s, 0D) + {share} as s, greatest(a.best, if(a.t = x.t and a.o = x.o, a.s, 0D) + {share}) as best), a -> round(a.best, 9))"
+    name = _texts(labels)
     joined = lambda e: F.expr(f"array_join(array_sort(array_distinct({e})), ',')")
-    return at.select(
-        F.col("__id").alias(id_col), "n_words", F.size("__base").cast("long").alias("n_base"),
-        F.expr("array_min(transform(__base, x -> x.at))").alias("first_word"), F.expr("array_max(transform(__base, x -> x.at))").alias("last_word"),
-        joined("transform(__base, x -> x.label)").alias("base_labels"), joined("concat(transform(__base, x -> x.label), transform(places, x -> x.label))").alias("labels"),
-        F.expr("coalesce(array_max(transform(places, x -> x.score)), 0D)").alias("score"), "places",
+    scored = at.select(
+        F.col("id").alias(id_col), "n_words", F.size("base").cast("long").alias("n_base"),
+        F.expr("cast(array_min(transform(base, c -> c.o)) as long)").alias("first_word"), F.expr("cast(array_max(transform(base, c -> c.o)) as long)").alias("last_word"),
+        joined(f"transform(base, c -> ({name})[c.t])").alias("base_labels"), joined(f"transform(concat(base, places), c -> ({name})[c.t])").alias("labels"),
+        F.expr(f"coalesce({score}, 0D)").alias("score"), F.expr(f"transform(places, c -> struct(({name})[c.t] as label, cast(c.o as long) as first_word))").alias("places"),
     )
+    none = F.lit(None).cast("long")
+    bare = found.where("size(hits) = 0").select(F.col("id").alias(id_col), "n_words", F.lit(0).cast("long").alias("n_base"), none.alias("first_word"), none.alias("last_word"), F.lit("").alias("base_labels"), F.lit("").alias("labels"), F.lit(0.0).alias("score"), F.expr("cast(array() as array<struct<label:string,first_word:bigint>>)").alias("places"))
+    return scored.unionByName(bare)
