@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from . import oracle
 from .fingerprint import fingerprints
 from .html_text import extract_text
 from .license_scan import license_scan
@@ -90,5 +91,10 @@ _RULE = "case " + " ".join(f"when {_FITS(h, p)} then '{h}{p}'" for h, p, _ in so
 _VERDICT = "case " + " ".join(f"when {_FITS(h, p)} then '{v}'" for h, p, v in sorted(URL_RULES, key=lambda r: -len(r[0] + r[1]))) + f" when regexp_matches(host, '{LISTED_WORDS}') then 'block' else 'allow' end"
 
 ORACLE_SQL = {
+    "op1_warc": oracle.WARC,
     "op2_url_filter": f"with u as (select page_id, coalesce({_HOST}, '') as host, coalesce({_PATH}, '') as path from pages) select page_id, host, path, {_RULE} as rule, {_VERDICT} as verdict from u",
+    "op3_sharding": oracle.SHARDING,
+    "op6_licenses": oracle.licenses(LICENSE_PHRASES),
+    "op7_decontamination": oracle.DECONTAMINATION,
+    "op8_ngram_join": oracle.NGRAM_JOIN,
 }

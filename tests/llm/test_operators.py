@@ -551,3 +551,22 @@ def test_html_marks_only_change_lengths():
     assert text(f"<div class='related'><p>{other}</p></div><p>{post}</p>") == post.strip()
     assert text(f"<div class='share ad'><p>{post}</p></div><p>{other}</p>") == other.strip()
     assert text(f"<p>{post}<math><mi>x</mi></math> is <object>seen</object></p>") == f"{post}x is seen"
+
+
+def test_queries_match_sql(spark, sf):
+    import glob
+    import os
+
+    import duckdb
+
+    con = duckdb.connect()
+    for path in glob.glob(f"{sf}/*.parquet"):
+        con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
+    show = lambda x: "-" if x is None else f"{float(x):.9g}" if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
+    assert set(queries.ORACLE_SQL) == {"op1_warc", "op2_url_filter", "op3_sharding", "op6_licenses", "op7_decontamination", "op8_ngram_join"}
+    for name, sql in queries.ORACLE_SQL.items():
+        got, result = queries.QUERIES[name](spark, sf), con.execute(sql)
+        columns = [c[0] for c in result.description]
+        assert sorted(columns) == sorted(got.columns), name
+        want = collections.Counter(tuple(map(show, r)) for r in result.fetchall())
+        assert collections.Counter(tuple(show(r[c]) for c in columns) for r in got.collect()) == want, name
