@@ -6,9 +6,12 @@ some test window; the others cannot match one. Suffixes are ordered by word numb
 a time and only among ties. Every test window start is then searched in it by bisection, all at
 once, which gives all places of the window; from there the match is followed to its full length.
 
-The test set is the stated query set. It is numbered in blocks of bounded size, each of which is a
-broadcast; a shard is searched with one block after the other, so the test set may be any size.
-There is no shuffle, and what a lost executor held is one more map task.
+The test set is the stated query set. It is numbered in blocks of at most ``BLOCK_WORDS`` words
+(about 60 MB as a broadcast). The documents are searched for one block at a time, and a block is
+given up before the next is sent, so that the driver and every worker hold one. Between two blocks
+the rows are written to the shared folder with what was found so far; test sets of one block, some
+5 MB of text, take a single map. There is no shuffle, and what a lost executor held is one more map
+task. Words are told apart by 64-bit hashes.
 """
 
 from __future__ import annotations
@@ -21,13 +24,14 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .shared import lean
+from .shared import lean, materialise
 
 #: Words of the test set in one broadcast.
 BLOCK_WORDS = 1_000_000
 #: Words of the documents in one suffix array.
 SHARD_WORDS = 1 << 19
 HEAD = 4
+SO_FAR = "id long, text string, hits array<struct<first:long,end:long>>, items array<string>, matches array<struct<item:string,item_word:long,doc_word:long,length:long>>"
 FOUND = "id long, n_words long, n_hit long, items array<string>, matches array<struct<item:string,item_word:long,doc_word:long,length:long>>"
 
 
@@ -43,7 +47,7 @@ class TestBlock:
 
     __test__ = False
 
-    def __init__(self, ids: list[str], texts: list[str], window: int):
+    def __init__(self, ids: list[str], texts: list[str], window: int, skipped: list[int] | None = None):
         spans = list(words.spans(pa.array(texts, pa.string())))
         hashes = [s.hashes() for s in spans]
         every = np.concatenate([*hashes, np.zeros(0, np.uint64)])
@@ -51,6 +55,7 @@ class TestBlock:
         self.flags = np.zeros(1 << 20, bool)
         self.flags[self.vocabulary & np.uint64((1 << 20) - 1)] = True
         self.ids = ids
+        self.skipped = np.asarray(skipped or [0] * len(ids), np.int64)  # words of the item that stand before the text
         size = np.concatenate([*(np.diff(s.bounds) for s in spans), np.zeros(0, np.int64)]).astype(np.int64)
         start = np.cumsum(size + 1) - size - 1
         self.seq = np.zeros(int(size.sum() + len(size)) + 16, np.int64)
@@ -144,31 +149,44 @@ class TestBlock:
         return place, which, length
 
 
-def _shards(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[pa.Array, np.ndarray, np.ndarray]]:
-    """Ids, word hashes and words a document of shards of about ``SHARD_WORDS`` words, whatever a batch holds."""
+PLACES = pa.list_(pa.struct([("first", pa.int64()), ("end", pa.int64())]))
+MATCHES = pa.list_(pa.struct([("item", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("length", pa.int64())]))
+
+
+def _shards(texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+    """First and last row, word hashes and words a document of shards of about ``SHARD_WORDS`` words, whatever a batch holds."""
+    first, hashes, size = 0, [], []
+    for span in words.spans(texts):
+        hashes.append(span.hashes())
+        size.append(np.diff(span.bounds))
+        last = span.first + span.docs
+        if last == len(texts) or sum(map(len, hashes)) >= SHARD_WORDS:
+            yield first, last, np.concatenate(hashes), np.concatenate(size).astype(np.int64)
+            first, hashes, size = last, [], []
+
+
+def _scan(batches: Iterator[pa.RecordBatch], shared) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray, list, list, list]]:
+    """Per shard its rows, their words, hit words, and lists of hit places, items and matches.
+
+    Rows are ``id, text`` and, from the second block on, ``hits, items, matches`` so far, which are added to.
+    """
+    test = shared.value
     for batch in batches:
-        first, hashes, size = 0, [], []
-        for span in words.spans(batch.column(1)):
-            hashes.append(span.hashes())
-            size.append(np.diff(span.bounds))
-            last = span.first + span.docs
-            if last == batch.num_rows or sum(map(len, hashes)) >= SHARD_WORDS:
-                yield batch.column(0).slice(first, last - first), np.concatenate(hashes), np.concatenate(size).astype(np.int64)
-                first, hashes, size = last, [], []
-
-
-def _scan(batches: Iterator[pa.RecordBatch], blocks: list) -> Iterator[pa.RecordBatch]:
-    for ids, hashes, size in _shards(batches):
-        n = len(ids)
-        start = np.cumsum(size + 1) - size - 1
-        place = np.arange(len(hashes)) + np.repeat(np.arange(n), size)
-        edge = np.zeros(int(size.sum()) + n + 17, np.int32)
-        items: dict[int, set] = {}
-        found: dict[int, list] = {}
-        for block in blocks:
-            test = block.value
+        for first, last, hashes, size in _shards(batch.column(1)):
+            n, rows = last - first, batch.slice(first, last - first)
+            start = np.cumsum(size + 1) - size - 1
+            edge = np.zeros(int(size.sum()) + n + 17, np.int32)
+            items: dict[int, set] = {}
+            found: dict[int, list] = {}
+            if batch.num_columns > 2:
+                for d, (places, own, matched) in enumerate(zip(*(rows.column(i).to_pylist() for i in (2, 3, 4)), strict=True)):
+                    if places:
+                        items[d], found[d] = set(own), matched
+                        for x in places:
+                            edge[start[d] + x["first"]] += 1
+                            edge[start[d] + x["end"]] -= 1
             seq = np.zeros(len(edge) - 1, np.int64)
-            seq[place] = test.number(hashes)
+            seq[np.arange(len(hashes)) + np.repeat(np.arange(n), size)] = test.number(hashes)
             at, which, length = test.matches(seq)
             np.add.at(edge, at, 1)
             np.add.at(edge, at + test.length[which], -1)
@@ -178,31 +196,57 @@ def _scan(batches: Iterator[pa.RecordBatch], blocks: list) -> Iterator[pa.Record
                 items.setdefault(d, set()).add(test.ids[i])
             # a match that goes on from the word before is part of a longer one
             before = (seq[at - 1] == test.seq[test.at[which] - 1]) & (seq[at - 1] > 0) & (at > 0) & (test.at[which] > 0) if len(at) else np.zeros(0, bool)
-            for d, i, w, p, k in zip(*(x[~before].tolist() for x in (doc, item, test.at[which] - test.item_start[item], at - start[doc], length)), strict=True):
+            for d, i, w, p, k in zip(*(x[~before].tolist() for x in (doc, item, test.at[which] - test.item_start[item] + test.skipped[item], at - start[doc], length)), strict=True):
                 found.setdefault(d, []).append({"item": test.ids[i], "item_word": w, "doc_word": p, "length": k})
-        hit = np.concatenate([[0], np.cumsum(np.cumsum(edge) > 0)])
-        n_hit = hit[start + size] - hit[start]
-        yield pa.RecordBatch.from_arrays(
-            [ids, pa.array(size), pa.array(n_hit.astype(np.int64)), pa.array([sorted(items.get(d, ())) for d in range(n)], pa.list_(pa.string())),
-             pa.array([found.get(d, []) for d in range(n)], pa.list_(pa.struct([("item", pa.string()), ("item_word", pa.int64()), ("doc_word", pa.int64()), ("length", pa.int64())])))],
-            names=["id", "n_words", "n_hit", "items", "matches"],
-        )
-
-
-def test_blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int = BLOCK_WORDS) -> list:
-    """The test set as broadcasts of at most ``block_words`` words (or one item); the driver holds one at a time."""
-    sc, out, ids, texts, n = items.sparkSession.sparkContext, [], [], [], 0
-    rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
-    for i, text in rows.toLocalIterator():
-        if ids and n + len(text) // 2 > block_words:
-            out.append(sc.broadcast(TestBlock(ids, texts, window)))
-            ids, texts, n = [], [], 0
+            inside = np.cumsum(edge) > 0
+            hit = np.concatenate([[0], np.cumsum(inside)])
+            turns = np.flatnonzero(np.diff(np.concatenate([[False], inside, [False]]).astype(np.int8)))
+            hits: dict[int, list] = {}
+            for d, a, b in zip((np.searchsorted(start, turns[::2], "right") - 1).tolist(), turns[::2].tolist(), turns[1::2].tolist(), strict=True):
+                hits.setdefault(d, []).append({"first": a - int(start[d]), "end": b - int(start[d])})
+            yield rows, size, (hit[start + size] - hit[start]).astype(np.int64), [hits.get(d, []) for d in range(n)], [sorted(items.get(d, ())) for d in range(n)], [found.get(d, []) for d in range(n)]
+
+
+def _searched(batches: Iterator[pa.RecordBatch], shared, last: bool) -> Iterator[pa.RecordBatch]:
+    for rows, size, n_hit, hits, items, matches in _scan(batches, shared):
+        tail = [pa.array(items, pa.list_(pa.string())), pa.array(matches, MATCHES)]
+        if last:
+            yield pa.RecordBatch.from_arrays([rows.column(0), pa.array(size), pa.array(n_hit), *tail], names=["id", "n_words", "n_hit", "items", "matches"])
+        else:
+            yield pa.RecordBatch.from_arrays([rows.column(0), rows.column(1), pa.array(hits, PLACES), *tail], names=["id", "text", "hits", "items", "matches"])
+
+
+def test_blocks(items: DataFrame, id_col: str, text_col: str, window: int, block_words: int = BLOCK_WORDS) -> Iterator[tuple[TestBlock, bool]]:
+    """The test set in blocks of at most ``block_words`` words, one at a time, and whether it is the last; an empty one has one empty block.
+
+    A longer item is cut into parts that have ``window - 1`` words in common.
+    """
+    block_words = max(block_words, window)
+
+    def parts() -> Iterator[tuple[str, str, int]]:
+        rows = items.select(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(text_col).cast("string"), F.lit("")))
+        for i, text in rows.toLocalIterator():
+            if len(text) < 2 * block_words:
+                yield i, text, 0
+                continue
+            for span in words.spans(pa.array([text], pa.string())):
+                n, at, end = len(span.starts), 0, 0
+                while end < n:
+                    end = min(n, at + block_words)
+                    yield i, span.data[span.starts[at] : span.ends[end - 1]].tobytes().decode(), at
+                    at = end - window + 1
+
+    ids, texts, skipped, n = [], [], [], 0
+    for i, text, at in parts():
+        size = (len(text) + 1) // 2 if len(text) < 2 * block_words else block_words
+        if ids and n + size > block_words:
+            yield TestBlock(ids, texts, window, skipped), False
+            ids, texts, skipped, n = [], [], [], 0
         ids.append(i)
         texts.append(text)
-        n += len(text) // 2 + 1
-    if ids:
-        out.append(sc.broadcast(TestBlock(ids, texts, window)))
-    return out
+        skipped.append(at)
+        n += size
+    yield TestBlock(ids, texts, window, skipped), True
 
 
 test_blocks.__test__ = False
@@ -217,23 +261,36 @@ def suffix_matches(docs: DataFrame, items: DataFrame, window: int = 10, id_col:
     of items with an occurring window, ``matches`` each longest verbatim match with its places.
 
     Null or empty texts have no words and match nothing; repeated rows and ids are returned as they
-    come; a test item without id has the id ``""``; without test items nothing is hit. Other
-    columns are ignored.
+    come; a test item without id has the id ``""``; without test items nothing is hit. A match over
+    the edge of two parts of an item of over ``block_words`` words is listed in two. Other columns
+    are ignored.
     """
-    blocks = test_blocks(items, item_id, item_text, window, block_words)
-    found = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: lean(_scan(it, blocks)), FOUND)
-    return found.withColumnRenamed("id", id_col)
-
-
-def _clean(batches: Iterator[pa.RecordBatch], blocks: list, text: int) -> Iterator[pa.RecordBatch]:
+    sc = docs.sparkSession.sparkContext
+    state = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    for block, last in test_blocks(items, item_id, item_text, window, block_words):
+        shared = sc.broadcast(block)
+        state = state.mapInArrow(lambda it, b=shared, e=last: lean(_searched(it, b, e)), FOUND if last else SO_FAR)
+        if not last:
+            state = materialise(state, "searched")
+            shared.destroy()
+    return state.withColumnRenamed("id", id_col)
+
+
+def _clean(batches: Iterator[pa.RecordBatch], shared, text: int) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         ids = pa.array(np.zeros(batch.num_rows, np.int64))
-        parts = _scan(iter([pa.RecordBatch.from_arrays([ids, batch.column(text).cast(pa.string())], names=["id", "text"])]), blocks)
-        hit = np.concatenate([np.zeros(0, np.int64), *(np.asarray(part["n_hit"]) for part in parts)])
+        parts = _scan(iter([pa.RecordBatch.from_arrays([ids, batch.column(text).cast(pa.string())], names=["id", "text"])]), shared)
+        hit = np.concatenate([np.zeros(0, np.int64), *(part[2] for part in parts)])
         yield batch.filter(pa.array(hit == 0))
 
 
 def without_matches(docs: DataFrame, items: DataFrame, window: int = 10, text_col: str = "text", item_id: str = "item_id", item_text: str = "text", block_words: int = BLOCK_WORDS) -> DataFrame:
     """The rows of ``docs`` that ``suffix_matches`` finds no hit in, with all their columns and without a join."""
-    blocks, text = test_blocks(items, item_id, item_text, window, block_words), docs.columns.index(text_col)
-    return docs.mapInArrow(lambda it: lean(_clean(it, blocks, text)), docs.schema)
+    sc, text = docs.sparkSession.sparkContext, docs.columns.index(text_col)
+    for block, last in test_blocks(items, item_id, item_text, window, block_words):
+        shared = sc.broadcast(block)
+        docs = docs.mapInArrow(lambda it, b=shared: lean(_clean(it, b, text)), docs.schema)
+        if not last:
+            docs = materialise(docs, "clean")
+            shared.destroy()
+    return docs

@@ -81,7 +81,7 @@ def test_ngram_join(edges, docs):
 
 def test_suffix_matches(spark, edges, docs, sf):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
-    extra = spark.createDataFrame([(1, "a b C"), (2, "one"), (3, None), (4, " ".join(f"w{i}" for i in range(5, 40))), (5, "w7 w8")], "item_id long, text string")
+    extra = spark.createDataFrame([(1, "a b C"), (2, "one"), (3, None), (4, " ".join(f"w{i}" for i in range(5, 40))), (5, "w7 w8"), (6, " ".join("y" * 30 for _ in range(9))), (7, "-" * 99)], "item_id long, text string")
     for df, items, block in ((edges, extra, 10), (edges, extra, 10**6), (docs, bench.unionByName(extra), 2000), (edges.limit(0), extra, 10), (edges, extra.limit(0), 10)):
         windows = collections.defaultdict(set)
         for i, t in items.collect():
@@ -97,7 +97,9 @@ def test_suffix_matches(spark, edges, docs, sf):
                         hit.update(range(k, k + size))
                         found |= own
             want.append((i, len(w), len(hit), tuple(sorted(found))))
-        got = suffix_match.suffix_matches(df, items, block_words=block).collect()
+        found = suffix_match.suffix_matches(df, items, block_words=block)
+        got = found.collect()
+        assert len(suffix_match.without_matches(df, items, block_words=block).collect()) == sum(not n for _, _, n, _ in want)
         assert collections.Counter((r.doc_id, r.n_words, r.n_hit, tuple(r["items"])) for r in got) == collections.Counter(want)
         assert all(bool(r.matches) == bool(r.n_hit) for r in got)
 
@@ -109,10 +111,10 @@ def test_suffix_shards_of_one_batch(monkeypatch):
     texts = [" ".join(f"w{i}" for i in rng.integers(0, 3, n)) for n in rng.integers(0, 200, 60)] + [None, ""]
     block = type("Block", (), {"value": suffix_match.TestBlock(["a", "b"], texts[:2], 5)})
     batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts))), pa.array(texts)], names=["id", "text"])
-    (whole,) = suffix_match._scan(iter([batch]), [block])
+    (whole,) = suffix_match._searched(iter([batch]), block, True)
     monkeypatch.setattr(suffix_match, "SHARD_WORDS", 300)
     monkeypatch.setattr(suffix_match.words, "SPAN_BYTES", 256)
-    parts = list(suffix_match._scan(iter([batch]), [block]))
+    parts = list(suffix_match._searched(iter([batch]), block, True))
     assert len(parts) > 3 and pa.Table.from_batches(parts).to_pylist() == whole.to_pylist()
 
 
