@@ -1,18 +1,21 @@
 """Similarity self-join of documents on word n-grams by vertical partitioning.
 
 The global order of n-grams is the order of their 64-bit hashes; it is cut into fragments of equal
-width, so that each fragment has an equal share of all distinct n-grams. Every document's set is
-cut along with it.
-
-1. *Fragments.* A map over the texts emits, for each span of documents and each fragment, one blob
-   with the documents' n-grams there. The task of a fragment sees every holder of its n-grams and
-   keeps those with two holders or more, with the exact number of holders.
+width, so that each fragment has an equal share of all distinct n-grams, those of about
+``FRAGMENT_BYTES`` of text however large the table and whatever the session's settings. Every
+document's set is cut along with it.
+
+1. *Fragments.* A map over the texts emits, for every ``BUFFER_GRAMS`` n-grams and each fragment, one
+   blob with the documents' n-grams there (never more blobs than n-grams). The group of a fragment
+   sees every holder of its n-grams and keeps those with two holders or more, with the exact number
+   of holders. A passage that many different documents share adds 16 bytes for each of them to the
+   fragments of its n-grams.
 2. *Candidates.* A document can only link if 80 % of its set is held by others as well. For the
    survivors the n-grams are ordered from rare to common; two linked documents share one of the
    first ``n - ceil(0.8 n) + 1``, of which those without another holder come first. Passages that
    many documents share are last in that order and lead to no candidates.
-3. *Overlaps.* For each candidate pair the overlap is counted in each fragment on its own and
-   summed for the pair; the sum decides.
+3. *Overlaps.* The sets are cut into ``OVERLAP_PARTS`` fragments; for each candidate pair the overlap
+   is counted in each on its own and summed for the pair; the sum decides.
 
 A large group of near copies is first compared with one document per n-gram (the one with the
 fewest n-grams of its own). Only pairs that are then still in different components are compared one
@@ -35,29 +38,37 @@ from pyspark.sql import types as T
 
 from . import words
 from .components import connected
-from .shared import lean, lean_group, materialise, shuffle_partitions
+from .shared import lean, lean_group, materialise
 
 NO_ID = np.iinfo(np.int64).max
-LOW = np.uint64((1 << 48) - 1)
 BLOBS = "kind int, key int, part int, a binary, b binary, c binary, d binary"
 MEMBERS, CLASSES, GRAMS = 2, 0, 1
+#: Bytes of text whose n-grams make a fragment, and the least bits of a fragment's number.
+FRAGMENT_BYTES, FEWEST_BITS = 4 << 20, 8
+#: N-grams that a map task holds before it emits them.
+BUFFER_GRAMS = 1 << 21
 #: Fragments in which the overlaps of pairs are counted.
 OVERLAP_PARTS = 4
 
 
-def _pack(h: np.ndarray) -> bytes:
-    """The low 48 bits of each hash."""
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :6].tobytes()
+def _pack(h: np.ndarray, bits: int) -> bytes:
+    """Each hash without the ``bits`` that its fragment tells, in whole bytes."""
+    size = (71 - bits) // 8
+    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
 
 
-def _unpack(raw: bytes) -> np.ndarray:
-    out = np.zeros((len(raw) // 6, 8), np.uint8)
-    out[:, :6] = np.frombuffer(raw, np.uint8).reshape(-1, 6)
-    return out.reshape(-1).view("<u8").astype(np.uint64)
+def _unpack(raw: bytes, bits: int, part: int) -> np.ndarray:
+    size = (71 - bits) // 8
+    out = np.zeros((len(raw) // size, 8), np.uint8)
+    out[:, :size] = np.frombuffer(raw, np.uint8).reshape(-1, size)
+    low = out.reshape(-1).view("<u8").astype(np.uint64) & np.uint64((1 << 64 - bits) - 1)
+    return low | np.uint64(part << 64 - bits)
 
 
-def _fragment_of(h: np.ndarray, fragments: int) -> np.ndarray:
-    return (((h >> np.uint64(48)) * np.uint64(fragments)) >> np.uint64(16)).astype(np.int64)
+def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
+    """Where each run of equal values begins and ends."""
+    edge = np.flatnonzero(np.concatenate([[True], values[1:] != values[:-1]])) if len(values) else np.zeros(0, np.int64)
+    return zip(edge.tolist(), [*edge[1:].tolist(), len(values)], strict=False)
 
 
 def _row(kind: int, key: int, part: int, *blobs: bytes) -> tuple:
@@ -79,8 +90,28 @@ def set_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
     return np.where(full, words.mix(sums + size * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1), np.uint64(0))
 
 
-def _cut(batches: Iterator[pa.RecordBatch], k: int, fragments: int) -> Iterator[pa.RecordBatch]:
-    """Per span: each fragment's n-grams by class, each bucket's classes, and the members of the classes."""
+def _by_fragment(sets: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
+    """A blob for each fragment with the n-grams and class keys of ``sets``; a class comes once."""
+    grams, keys = (np.concatenate(x) for x in zip(*sets, strict=True))
+    part = (grams >> np.uint64(64 - bits)).astype(np.int64)
+    order = np.lexsort((grams, keys, part))
+    grams, keys, part = grams[order], keys[order], part[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1])
+    grams, keys, part = grams[new], keys[new], part[new]
+    head = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])]))
+    count = np.diff(np.concatenate([head, [len(grams)]])).astype(np.uint32)
+    rows = []
+    for lo, hi in _runs(part):
+        a, b = np.searchsorted(head, (lo, hi))
+        f = int(part[lo])
+        rows.append(_row(GRAMS, f, f, keys[head[a:b]].tobytes(), count[a:b].tobytes(), _pack(grams[lo:hi], bits)))
+    return _table(rows)
+
+
+def _cut(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
+    """Each fragment's n-grams by class, each bucket's classes, and the members of the classes."""
+    held: list[tuple[np.ndarray, np.ndarray]] = []
     for batch in batches:
         ids = batch.column(0).cast(pa.int64())
         known = np.asarray(ids.is_valid())
@@ -89,33 +120,30 @@ def _cut(batches: Iterator[pa.RecordBatch], k: int, fragments: int) -> Iterator[
             grams, bounds = words.distinct_sorted(*words.shingles(span.hashes(), span.bounds, k))
             keys, size = set_keys(grams, bounds), np.diff(bounds)
             own, valid = ids[span.first : span.first + span.docs], known[span.first : span.first + span.docs]
-            rows = [_row(MEMBERS, span.first % fragments, 0, own.tobytes(), keys.tobytes(), size.astype(np.int64).tobytes(), valid.tobytes())]
+            rows = [_row(MEMBERS, span.first % (1 << bits), 0, own.tobytes(), keys.tobytes(), size.astype(np.int64).tobytes(), valid.tobytes())]
             order = np.lexsort((own, keys))
             new = np.ones(len(order), bool)
             new[1:] = keys[order][1:] != keys[order][:-1]
             first = order[new & (keys[order] != 0)]
-            bucket = (keys[first] % np.uint64(fragments)).astype(np.int64)
-            for b in np.unique(bucket):
-                at = first[bucket == b]
-                rows.append(_row(CLASSES, int(b), 0, keys[at].tobytes(), own[at].tobytes(), size[at].astype(np.int64).tobytes()))
+            bucket = (keys[first] & np.uint64((1 << bits) - 1)).astype(np.int64)
+            by = np.argsort(bucket, kind="stable")
+            first, bucket = first[by], bucket[by]
+            for lo, hi in _runs(bucket):
+                at = first[lo:hi]
+                rows.append(_row(CLASSES, int(bucket[lo]), 0, keys[at].tobytes(), own[at].tobytes(), size[at].astype(np.int64).tobytes()))
+            yield _table(rows)
             take = np.zeros(span.docs, bool)
             take[first] = True
-            doc = np.repeat(np.arange(span.docs), size)
-            live = take[doc]
-            grams, doc = grams[live], doc[live]
-            part = _fragment_of(grams, fragments)
-            by = np.argsort(part, kind="stable")
-            grams, doc, part = grams[by], doc[by], part[by]
-            edge = np.searchsorted(part, np.arange(fragments + 1))
-            for f in range(fragments):
-                lo, hi = edge[f], edge[f + 1]
-                if hi > lo:
-                    holders, count = np.unique(doc[lo:hi], return_counts=True)
-                    rows.append(_row(GRAMS, f, f, keys[holders].tobytes(), count.astype(np.uint32).tobytes(), _pack(grams[lo:hi])))
-            yield _table(rows)
+            live = np.repeat(take, size)
+            held.append((grams[live], np.repeat(keys, size)[live]))
+            if sum(len(x) for x, _ in held) >= BUFFER_GRAMS:
+                yield _by_fragment(held, bits)
+                held = []
+    if sum(len(x) for x, _ in held):
+        yield _by_fragment(held, bits)
 
 
-def _shared(table: pa.Table, fragments: int) -> pa.Table:
+def _shared(table: pa.Table, bits: int) -> pa.Table:
     """Of one fragment, the n-grams with two classes or more, dealt by the class; other kinds of rows pass."""
     kind = np.asarray(table["kind"])
     out = [table.filter(pa.array(kind != GRAMS))]
@@ -124,7 +152,7 @@ def _shared(table: pa.Table, fragments: int) -> pa.Table:
         return out[0]
     f = table["key"][0].as_py()
     keys = np.concatenate([np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)) for a, b in zip(table["a"].to_pylist(), table["b"].to_pylist(), strict=True)])
-    grams = np.concatenate([_unpack(c) for c in table["c"].to_pylist()])
+    grams = np.concatenate([_unpack(c, bits, f) for c in table["c"].to_pylist()])
     order = np.argsort(grams, kind="stable")
     sorted_ = grams[order]
     same = np.zeros(len(order), bool)
@@ -141,17 +169,14 @@ def _shared(table: pa.Table, fragments: int) -> pa.Table:
         start = np.flatnonzero(np.concatenate([[True], grams[1:] != grams[:-1]]))
         held = np.repeat(np.diff(np.concatenate([start, [len(grams)]])), np.diff(np.concatenate([start, [len(grams)]])))
         live = held > 1
-        grams, keys, held = grams[live], keys[live], np.minimum(held[live], 65535)
-        bucket = (keys % np.uint64(fragments)).astype(np.int64)
+        grams, keys, held = grams[live], keys[live], np.minimum(held[live], 65535)  # only orders n-grams
+        bucket = (keys & np.uint64((1 << bits) - 1)).astype(np.int64)
         order = np.lexsort((keys, bucket))
         grams, keys, held, bucket = grams[order], keys[order], held[order], bucket[order]
-        edge = np.searchsorted(bucket, np.arange(fragments + 1))
         rows = []
-        for b in range(fragments):
-            lo, hi = edge[b], edge[b + 1]
-            if hi > lo:
-                holder, count = np.unique(keys[lo:hi], return_counts=True)
-                rows.append(_row(GRAMS, b, f, holder.tobytes(), count.astype(np.uint32).tobytes(), _pack(grams[lo:hi]), held[lo:hi].astype(np.uint16).tobytes()))
+        for lo, hi in _runs(bucket):
+            holder, count = np.unique(keys[lo:hi], return_counts=True)
+            rows.append(_row(GRAMS, int(bucket[lo]), f, holder.tobytes(), count.astype(np.uint32).tobytes(), _pack(grams[lo:hi], bits), held[lo:hi].astype(np.uint16).tobytes()))
         out.append(pa.Table.from_batches([_table(rows)]))
     return pa.concat_tables([x.cast(out[0].schema) for x in out])
 
@@ -159,7 +184,7 @@ def _shared(table: pa.Table, fragments: int) -> pa.Table:
 SETS = T.StructType([T.StructField("node", T.LongType()), T.StructField("least_id", T.LongType()), T.StructField("n", T.LongType()), T.StructField("grams", T.ArrayType(T.LongType())), T.StructField("probe", T.IntegerType())])
 
 
-def _survivors(table: pa.Table, least: int, whole: int) -> pa.Table:
+def _survivors(table: pa.Table, bits: int, least: int, whole: int) -> pa.Table:
     """Each class of a bucket once: its smallest id, its size and, if it may link, its shared n-grams from rare to common."""
     kind = np.asarray(table["kind"])
     base, rows = table.filter(pa.array(kind == CLASSES)), table.filter(pa.array(kind == GRAMS))
@@ -172,7 +197,7 @@ def _survivors(table: pa.Table, least: int, whole: int) -> pa.Table:
     holder, grams, held = [], [], []
     for part, a, b, c, d in zip(*(rows[x].to_pylist() for x in ("part", "a", "b", "c", "d")), strict=True):
         holder.append(np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)))
-        grams.append(_unpack(c) | (np.uint64(part) << np.uint64(48)))
+        grams.append(_unpack(c, bits, part))
         held.append(np.frombuffer(d, np.uint16))
     at = np.searchsorted(keys, np.concatenate(holder)) if holder else np.zeros(0, np.int64)
     shared = np.bincount(at, minlength=len(keys))
@@ -195,24 +220,21 @@ def _members(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([ids, pa.array(np.frombuffer(b, np.int64)), pa.array(np.frombuffer(c, np.int64))], names=["id", "node", "n"])
 
 
-def _overlaps(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """``pairs(a, b)`` with both sizes and the overlap, counted in each fragment and summed per pair."""
+def _overlaps(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> DataFrame:
+    """``pairs(a, b)`` with both sizes and the overlap, counted in each fragment and summed per pair.
+
+    ``differences`` adds what is shared of ``b``'s set, what ``a`` lacks of it, and what it has besides.
+    """
     parts = F.explode(F.transform(F.sequence(F.lit(0), F.lit(OVERLAP_PARTS - 1)), lambda p: F.struct(p.alias("part"), F.filter("grams", lambda g: F.pmod(g, F.lit(OVERLAP_PARTS)) == p).alias("own"))))
     cut = sets.select("node", "n", parts.alias("p")).select("node", "n", "p.part", "p.own")
     left = cut.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "part", F.col("own").alias("own_a"))
     right = cut.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "part", F.col("own").alias("own_b"))
-    each = pairs.join(left, "a").join(right, ["b", "part"]).select("a", "b", "n_a", "n_b", F.size(F.array_intersect("own_a", "own_b")).alias("both"))
-    return each.groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
-
-
-def _against_lead(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """The same, with what ``a`` lacks of ``b`` and what it has besides."""
-    own = sets.select(F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("grams").alias("g_a"))
-    lead = sets.select(F.col("node").alias("b"), F.col("n").alias("n_b"), F.col("grams").alias("g_b"))
-    in_part = lambda c, p: F.filter(c, lambda g: F.pmod(g, F.lit(OVERLAP_PARTS)) == p)
-    counts = F.transform(F.sequence(F.lit(0), F.lit(OVERLAP_PARTS - 1)), lambda p: F.size(F.array_intersect(in_part("g_a", p), in_part("g_b", p))))
-    both = F.aggregate(counts, F.lit(0), lambda x, y: x + y).cast("long")
-    return pairs.join(own, "a").join(lead, "b").select("a", "b", "n_a", "n_b", F.size("g_b").alias("s_b"), both.alias("both"), F.array_except("g_b", "g_a").alias("lost"), F.array_except("g_a", "g_b").alias("added"))
+    each = pairs.join(left, "a").join(right, ["b", "part"])
+    if not differences:
+        return each.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("own_a", "own_b")).alias("both")).groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))
+    each = each.select("a", "b", "n_a", "n_b", F.size("own_b").alias("s_b"), F.array_except("own_b", "own_a").alias("lost"), F.array_except("own_a", "own_b").alias("added"))
+    summed = each.groupBy("a", "b", "n_a", "n_b").agg(F.sum("s_b").alias("s_b"), F.sum(F.col("s_b") - F.size("lost")).alias("both"), F.flatten(F.collect_list("lost")).alias("lost"), F.flatten(F.collect_list("added")).alias("added"))
+    return summed.select("a", "b", "n_a", "n_b", "s_b", "both", "lost", "added")
 
 
 def _linked(scored: DataFrame, least: int, whole: int) -> DataFrame:
@@ -235,10 +257,12 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     lends none. Repeated rows are returned as often as they come; ids that occur with several texts
     keep one row for each. Other columns are ignored. An empty table gives an empty result.
     """
-    spark, fragments = docs.sparkSession, shuffle_partitions(docs.sparkSession)
-    cut = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).mapInArrow(lambda it: lean(_cut(it, k, fragments)), BLOBS)
-    blobs = materialise(cut.groupBy("key").applyInArrow(lambda t: lean_group(lambda x: _shared(x, fragments), t), BLOBS), "grams")
-    classes = materialise(blobs.where(F.col("kind") != MEMBERS).groupBy("key").applyInArrow(lambda t: lean_group(lambda x: _survivors(x, least, whole), t), SETS), "classes")
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    bits = max(FEWEST_BITS, (volume // FRAGMENT_BYTES).bit_length())
+    cut = texts.mapInArrow(lambda it: lean(_cut(it, k, bits)), BLOBS)
+    blobs = materialise(cut.groupBy("key").applyInArrow(lambda t: lean_group(lambda x: _shared(x, bits), t), BLOBS), "grams")
+    classes = materialise(blobs.where(F.col("kind") != MEMBERS).groupBy("key").applyInArrow(lambda t: lean_group(lambda x: _survivors(x, bits, least, whole), t), SETS), "classes")
     members = blobs.where(F.col("kind") == MEMBERS).select("a", "b", "c", "d").mapInArrow(_members, "id long, node long, n long")
 
     sets = classes.where("probe > 0")
@@ -248,7 +272,7 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     shared = F.least("s_a", "s_b")
     votes = near.where((F.col("a") != F.col("b")) & _allowed(shared, least, whole)).groupBy("a", "b").count()
     first = votes.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    scored = materialise(_against_lead(first, sets), "scored")
+    scored = materialise(_overlaps(first, sets, differences=True), "scored")
     links = _linked(scored, least, whole)
 
     # Two documents compared with the same one differ from it in little, and those differences give their overlap.
