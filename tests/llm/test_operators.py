@@ -492,6 +492,58 @@ def test_packing(edges, docs):
         assert sum(r["length"] for r in got) == want
 
 
+def naive_bins(rows, capacity):
+    """Best fit in plain steps: for each piece the tightest bin that has room and neither its source nor its cluster."""
+    bins, out = [], []
+    for i, rest, source, cluster in rows:
+        fit = [b for b in bins if b["room"] >= rest and source not in b["sources"] and cluster not in b["clusters"]]
+        at = min(fit, key=lambda b: b["room"], default=None)
+        if at is None:
+            at = {"room": capacity, "sources": set(), "clusters": set(), "ids": []}
+            bins.append(at)
+        at["room"] -= rest
+        at["sources"].add(source)
+        at["clusters"].add(cluster)
+        at["ids"].append(i)
+    return sorted(b["room"] for b in bins)
+
+
+def test_packing_is_best_fit(spark):
+    rng = np.random.default_rng(2)
+    rows = [(i, "é" * int(rng.integers(0, 90)) + "x" * int(rng.integers(0, 90)), f"s{rng.integers(0, 40)}" if i % 3 else "hot") for i in range(500)]
+    rows += [(500, rows[7][1], "s1"), (501, rows[7][1], "s2")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    got = packing.pack(docs, capacity=300).collect()
+    assert len({r["bin"].split("-")[0] for r in got}) == 1
+    turn = sorted(got, key=lambda r: (-r["length"], r["cluster"], r["doc_id"]))
+    used = {r["bin"]: r["used"] for r in got}
+    assert sorted(300 - u for u in used.values()) == naive_bins([(r["doc_id"], r["length"], r["source"], r["cluster"]) for r in turn], 300)
+
+
+def test_packing_cuts_between_code_points(spark):
+    texts = ["é" * 30, "a" + "é" * 30, "𝔘" * 9 + "x", "x" * 21, "x" * 6, "x" * 7, "", None, "語" * 4000 + "é" * 3000, "x" * 20000]
+    docs = spark.createDataFrame([(i, t, f"s{i}", 1, "c") for i, t in enumerate(texts)] + [(None, None, None, 1, "c")] * 3, "doc_id long, text string, source string, length int, cluster string")
+    for capacity in (4, 7, 8192):
+        pieces = collections.defaultdict(list)
+        got = packing.pack(docs, capacity=capacity).collect()
+        for r in got:
+            pieces[r["doc_id"]].append(r)
+            assert 0 < r["length"] <= capacity
+        assert sum(len(x) == 3 for x in pieces.values() if x[0]["doc_id"] is None) == 1
+        for i, t in enumerate(texts):
+            raw, own = (t or "").encode() + b"\0", sorted(pieces[i], key=lambda r: r["piece"])
+            parts = [raw[r["start"] : r["start"] + r["length"]] for r in own]
+            assert b"".join(parts) == raw and all(p.decode() for p in parts) and [r["piece"] for r in own] == list(range(len(own)))
+            assert all(len(a) + len(b.decode()[0].encode()) > capacity for a, b in zip(parts, parts[1:]))
+
+
+def test_packing_deals_repeated_rows(spark):
+    docs = spark.createDataFrame([(None, None, None)] * 3000, "doc_id long, text string, source string").repartition(4)
+    bins = collections.Counter(r["bin"] for r in packing.pack(docs, group_rows=100).collect())
+    groups = collections.Counter(b.split("-")[0] for b in bins.elements())
+    assert len(bins) == 3000 and max(groups.values()) < 160
+
+
 def test_packing_keeps_near_copies_apart(spark, edges, docs, tmp_path):
     for k, df in enumerate((edges, docs)):
         df.write.parquet(f"{tmp_path}/{k}/documents.parquet")
