@@ -44,11 +44,11 @@ NO_ID = np.iinfo(np.int64).max
 BLOBS = "kind int, key int, part int, a binary, b binary, c binary, d binary"
 MEMBERS, CLASSES, GRAMS = 2, 0, 1
 #: Bytes of text whose n-grams make a fragment, and the least bits of a fragment's number.
-FRAGMENT_BYTES, FEWEST_BITS = 4 << 20, 8
+FRAGMENT_BYTES, FEWEST_BITS = 16 << 20, 4
 #: N-grams that a map task holds before it emits them.
-BUFFER_GRAMS = 1 << 21
+BUFFER_GRAMS = 1 << 19
 #: Fragments in which the overlaps of pairs are counted.
-OVERLAP_PARTS = 4
+OVERLAP_PARTS = 2
 
 
 def _pack(h: np.ndarray, bits: int) -> bytes:
