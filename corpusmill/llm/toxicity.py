@@ -7,10 +7,12 @@ classifier g is ``prior * E_P[l(g)] + max(0, E_U[l(-g)] - prior * E_P[l(-g)])``
 
 A document's features are its distinct words and the heads of its words (so that inflected and
 compounded forms of a term count together), hashed. Features are kept when they are clearly more
-frequent in P than in U; the others only add noise that grows with the length of a text.
+frequent in P than in all training documents; the others only add noise that grows with the length
+of a text.
 
-Only the fit uses a sample, bounded by ``max_positive`` and ``max_unlabelled``; every document is
-scored from its whole text.
+These frequencies are counted over every training document, in the tasks, and summed. Only the
+gradient uses a sample, bounded by ``max_positive`` and ``max_unlabelled``, of which just the kept
+features reach the driver; every document is scored from its whole text.
 """
 
 from __future__ import annotations
@@ -24,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from . import words
-from .shared import lean
+from .shared import lean, materialise
 
 BINS = 1 << 20
 #: Bytes of a word's head; None is the whole word.
@@ -44,27 +46,53 @@ def features(span: words.Span) -> np.ndarray:
     return np.stack([(words.mix(span.hashes(h) + s) % np.uint64(BINS)).astype(np.int32) for h, s in zip(HEADS, salt, strict=True)]) if len(span.starts) else np.zeros((len(HEADS), 0), np.int32)
 
 
-def _distinct(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _distinct(span: words.Span) -> tuple[np.ndarray, np.ndarray]:
+    """(document of the span, feature) of its distinct features, by document."""
+    f = features(span)
+    pairs = np.unique((np.broadcast_to(span.doc_of_word(), f.shape).astype(np.int64) * BINS + f).reshape(-1))
+    return pairs // BINS, pairs % BINS
+
+
+def _counted(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
+    """``feature, n``: the documents of the task that have each feature (of ``wanted``), and all documents as feature -1."""
+    total, n = np.zeros(BINS, np.int64), 0
+    for batch in batches:
+        n += batch.num_rows
+        for span in words.spans(batch.column(0)):
+            total += np.bincount(_distinct(span)[1], minlength=BINS)
+    if n:
+        own = np.flatnonzero(total) if wanted is None else wanted[total[wanted] > 0]
+        yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], own]), pa.int32()), pa.array(np.concatenate([[n], total[own]]), pa.int64())], names=["feature", "n"])
+
+
+def _kept(batches: Iterator[pa.RecordBatch], keep: np.ndarray) -> Iterator[pa.RecordBatch]:
+    """``kind, features``: those that ``keep`` marks."""
     for batch in batches:
         lists = []
         for span in words.spans(batch.column(1)):
-            f = features(span)
-            lists += [np.unique(f[:, a:b]) for a, b in zip(span.bounds[:-1], span.bounds[1:], strict=True)]
-        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], names=["id", "features"])
+            doc, f = _distinct(span)
+            live = keep[f]
+            lists += np.split(f[live].astype(np.int32), np.searchsorted(doc[live], np.arange(1, span.docs)))
+        yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], names=["kind", "features"])
 
 
-def screened(pos: list[np.ndarray], unl: list[np.ndarray], least: int = 5, z: float = 5.0) -> np.ndarray:
-    """Features that are clearly more frequent in ``pos`` than in ``unl``."""
-    p, u = (np.bincount(np.concatenate([*x, np.zeros(0, np.int32)]).astype(np.int64), minlength=BINS) for x in (pos, unl))
-    n_p, n_u = max(len(pos), 1), max(len(unl), 1)
+def clearly(p: np.ndarray, u: np.ndarray, n_p: int, n_u: int, least: int = 5, z: float = 5.0) -> np.ndarray:
+    """Whether features of ``p`` of ``n_p`` positives and ``u`` of ``n_u`` documents are clearly more frequent among the positives."""
+    n_p, n_u = max(n_p, 1), max(n_u, 1)
     rate = (p + u) / (n_p + n_u)
     score = (p / n_p - u / n_u) / np.sqrt(np.maximum(rate * (1 - rate), 1e-12) * (1 / n_p + 1 / n_u))
     return (p >= least) & (score > z) & (p / n_p > 2 * u / n_u)
 
 
-def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> ToxicityModel:
-    """Full-batch Adam on the non-negative risk with the logistic loss."""
-    keep = screened(pos, unl)
+def screened(pos: list[np.ndarray], unl: list[np.ndarray]) -> np.ndarray:
+    """Features that are clearly more frequent in ``pos`` than in ``unl``."""
+    p, u = (np.bincount(np.concatenate([*x, np.zeros(0, np.int32)]).astype(np.int64), minlength=BINS) for x in (pos, unl))
+    return clearly(p, u, len(pos), len(unl))
+
+
+def fit(pos: list[np.ndarray], unl: list[np.ndarray], prior: float, keep: np.ndarray | None = None, steps: int = 300, rate: float = 0.1, decay: float = 1e-4) -> ToxicityModel:
+    """Full-batch Adam on the non-negative risk with the logistic loss, over the features that ``keep`` marks (default: screened here)."""
+    keep = screened(pos, unl) if keep is None else keep
     number = np.cumsum(keep) - 1
     w = np.zeros(int(keep.sum()) + 1)
     if not pos or not unl or len(w) == 1:
@@ -109,25 +137,37 @@ def _smallest(ids: DataFrame, count: int, wanted: int) -> DataFrame:
     return ids.orderBy(rank, "id").limit(wanted)
 
 
-def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", usable=None, max_positive: int = 6000, max_unlabelled: int = 12000) -> ToxicityModel:
-    """Fit on at most ``max_positive`` confirmed rows and ``max_unlabelled`` others, those of the smallest id hashes.
+def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic", usable=None, max_positive: int = 6000, max_unlabelled: int = 24000) -> ToxicityModel:
+    """Fit on at most ``max_positive`` confirmed rows and ``max_unlabelled`` rows taken as unlabelled, those of the smallest id hashes.
 
     ``usable`` (a function from an id column to a boolean column) restricts what may be learnt from.
+    Rows without id are never learnt from, null labels and labels without document are ignored, an id
+    that is confirmed once is confirmed; repeated rows count as often as they come. Without confirmed
+    rows, or without features that set them apart, every document has the score of the prior.
     """
     usable = usable or (lambda c: F.lit(True))
     labels = labels.select(F.col(id_col).cast("long").alias("id"), F.col(label_col).alias("y")).where(F.col("id").isNotNull() & F.col("y").isNotNull() & usable(F.col("id")))
     total, toxic, confirmed = labels.agg(F.count("*"), F.sum((F.col("y") == 1).cast("long")), F.countDistinct(F.when(F.col("y") == 1, F.col("id")))).first()
     prior = min(max((toxic or 0) / total if total else 0.01, 1e-3), 0.999)
-    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
+    texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text")).where(F.col("id").isNotNull() & usable(F.col("id")))
     chosen = _smallest(labels.where("y = 1").select("id").distinct(), confirmed, max_positive).withColumn("positive", F.lit(1))
-    open_ = texts.select("id").where(F.col("id").isNotNull() & usable(F.col("id")))
-    drawn = _smallest(open_, open_.count(), max_unlabelled).distinct().withColumn("positive", F.lit(0))
-    wanted = chosen.unionByName(drawn).groupBy("id").agg(F.max("positive").alias("p"), F.min("positive").alias("u"))
-    rows = texts.join(F.broadcast(wanted), "id").select(F.col("p") * 2 + F.col("u"), "text").toDF("id", "text").mapInArrow(lambda it: lean(_distinct(it)), "id int, features array<int>").toArrow()
-    kind = np.asarray(rows["id"])
-    lists = [np.asarray(x.values) for x in rows["features"]]
-    lists = [np.asarray(x, np.int32) for x in lists]
-    return fit([x for x, k in zip(lists, kind, strict=True) if k >= 2], [x for x, k in zip(lists, kind, strict=True) if k % 2 == 0], prior)
+    drawn = _smallest(texts.select("id"), texts.select("id").count(), max_unlabelled).distinct().withColumn("positive", F.lit(0))
+    wanted = materialise(chosen.unionByName(drawn).groupBy("id").agg(F.max("positive").alias("p"), F.min("positive").alias("u")), "sample")
+    sample = texts.join(F.broadcast(wanted), "id").select((F.col("p") * 2 + (1 - F.col("u"))).alias("kind"), "text")
+
+    def counts(of: DataFrame, features_of: np.ndarray | None = None) -> tuple[int, np.ndarray]:
+        found = of.select("text").mapInArrow(lambda it: lean(_counted(it, features_of)), "feature int, n long").groupBy("feature").agg(F.sum("n").alias("n"))
+        rows = (found if features_of is not None else found.where("n >= 5")).toArrow()
+        out, at, n = np.zeros(BINS, np.int64), np.asarray(rows["feature"]), np.asarray(rows["n"])
+        out[at[at >= 0]] = n[at >= 0]
+        return int(n[at < 0].sum()), out
+
+    n_p, p = counts(sample.where("kind >= 2"))
+    n_u, u = counts(texts, np.flatnonzero(p >= 5))
+    keep = clearly(p, u, n_p, n_u)
+    rows = sample.mapInArrow(lambda it: lean(_kept(it, keep)), "kind int, features array<int>").toArrow()
+    lists = [np.asarray(x.values, np.int32) for x in rows["features"]]
+    return fit([x for x, k in zip(lists, rows["kind"].to_pylist(), strict=True) if k >= 2], [x for x, k in zip(lists, rows["kind"].to_pylist(), strict=True) if k % 2], prior, keep)
 
 
 def _scored(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatch]:

@@ -624,3 +624,37 @@ def test_queries_match_sql(spark, sf):
         assert sorted(columns) == sorted(got.columns), name
         want = collections.Counter(tuple(map(show, r)) for r in result.fetchall())
         assert collections.Counter(tuple(show(r[c]) for c in columns) for r in got.collect()) == want, name
+
+
+def test_toxicity_query(spark, sf, tmp_path):
+    """Held-out labels, languages and sources don't matter to a score; ids only to who is learnt from."""
+    big = "/root/testdata/sf0.01"
+    docs, labels = spark.read.parquet(f"{big}/documents.parquet"), spark.read.parquet(f"{big}/labels.parquet")
+    other = docs.withColumns({"lang": F.lit("xx"), "source": F.lit(None).cast("string"), "n_chars": F.lit(0).cast("long")})
+    flipped = labels.withColumn("toxic", F.when(queries.held_out(F.col("doc_id")), 1 - F.col("toxic")).otherwise(F.col("toxic"))).withColumn("quality", 1 - F.col("quality"))
+    for k, (d, b) in enumerate(((docs, labels), (other, flipped))):
+        d.write.parquet(f"{tmp_path}/{k}/documents.parquet")
+        b.write.parquet(f"{tmp_path}/{k}/labels.parquet")
+    got = [{r.doc_id: r for r in queries.op5_toxicity(spark, f"{tmp_path}/{k}").collect()} for k in (0, 1)]
+    assert got[0] == got[1] and len(got[0]) == docs.count()
+    assert all(r.held_out == (zlib.crc32(str(i).encode()) % 5 == 0) and 0 <= r.score <= 1 and r.predicted == (r.score >= 0.5) for i, r in got[0].items())
+    y = [(got[0][r.doc_id].score, r.toxic) for r in labels.collect() if got[0][r.doc_id].held_out]
+    pos, neg = ([s for s, t in y if t == k] for k in (1, 0))
+    assert np.mean([(a > b) + (a == b) / 2 for a in pos for b in neg]) > 0.8
+
+
+def test_toxicity_counts_all_documents(spark):
+    rng = np.random.default_rng(4)
+    rows = [(i, " ".join(f"w{x}" for x in rng.integers(0, 50, 20)) + (" vile words" if i % 4 == 0 else "") + (" mild" if i % 2 else "")) for i in range(400)]
+    rows += [(3, None), (None, "vile words"), (7, "x " * 10**6), (8, rows[8][1]), (8, rows[8][1])]
+    docs = spark.createDataFrame([(*r, 1.0, "y") for r in rows], "doc_id long, text string, score double, id string").repartition(4)
+    labels = spark.createDataFrame([(i, 1 if i % 4 == 0 else 0) for i in range(400)] + [(None, 1), (5, None), (999, 1), (8, 1)], "doc_id long, toxic int")
+    model = toxicity.train(docs, labels)
+    got = {(r.doc_id, i): r.score for i, r in enumerate(toxicity.toxicity_scores(docs, model).collect())}
+    assert len(got) == len(rows)
+    assert all((s > 0.5) == (i is None or i % 4 == 0 and i is not None) for (i, _), s in got.items() if i not in (3, 7))
+    word = lambda w: toxicity.features(next(toxicity.words.spans(__import__("pyarrow").array([w]))))[0, 0]
+    assert model.weights[word("vile")] > 0 and model.weights[word("w7")] == 0 and model.weights[word("mild")] == 0
+    assert toxicity.toxicity_scores(docs.limit(0), model).collect() == []
+    for few in (toxicity.train(docs, labels.limit(0)), toxicity.train(docs.limit(0), labels)):
+        assert len({r.score for r in toxicity.toxicity_scores(docs, few).collect()}) == 1
