@@ -91,14 +91,11 @@ def set_keys(values: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _by_fragment(sets: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.RecordBatch:
-    """A blob for each fragment with the n-grams and class keys of ``sets``; a class comes once."""
+    """A blob for each fragment with the n-grams and class keys of ``sets``."""
     grams, keys = (np.concatenate(x) for x in zip(*sets, strict=True))
-    part = (grams >> np.uint64(64 - bits)).astype(np.int64)
-    order = np.lexsort((grams, keys, part))
+    part = (grams >> np.uint64(64 - bits)).astype(np.uint16 if bits <= 16 else np.int64)
+    order = np.argsort(part, kind="stable")  # small numbers are dealt by their digits
     grams, keys, part = grams[order], keys[order], part[order]
-    new = np.ones(len(order), bool)
-    new[1:] = (grams[1:] != grams[:-1]) | (keys[1:] != keys[:-1])
-    grams, keys, part = grams[new], keys[new], part[new]
     head = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])]))
     count = np.diff(np.concatenate([head, [len(grams)]])).astype(np.uint32)
     rows = []
@@ -112,6 +109,7 @@ def _by_fragment(sets: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.Rec
 def _cut(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.RecordBatch]:
     """Each fragment's n-grams by class, each bucket's classes, and the members of the classes."""
     held: list[tuple[np.ndarray, np.ndarray]] = []
+    known_keys: set[int] = set()  # the classes among ``held``
     for batch in batches:
         ids = batch.column(0).cast(pa.int64())
         known = np.asarray(ids.is_valid())
@@ -133,12 +131,13 @@ def _cut(batches: Iterator[pa.RecordBatch], k: int, bits: int) -> Iterator[pa.Re
                 rows.append(_row(CLASSES, int(bucket[lo]), 0, keys[at].tobytes(), own[at].tobytes(), size[at].astype(np.int64).tobytes()))
             yield _table(rows)
             take = np.zeros(span.docs, bool)
-            take[first] = True
+            take[[i for i in first.tolist() if keys[i].item() not in known_keys]] = True
+            known_keys.update(keys[take].tolist())
             live = np.repeat(take, size)
             held.append((grams[live], np.repeat(keys, size)[live]))
             if sum(len(x) for x, _ in held) >= BUFFER_GRAMS:
                 yield _by_fragment(held, bits)
-                held = []
+                held, known_keys = [], set()
     if sum(len(x) for x, _ in held):
         yield _by_fragment(held, bits)
 

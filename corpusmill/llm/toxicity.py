@@ -40,28 +40,42 @@ class ToxicityModel:
     prior: float
 
 
-def features(span: words.Span) -> np.ndarray:
-    """One row of feature numbers for each way to cut a word."""
+def features(span: words.Span) -> tuple[np.ndarray, np.ndarray]:
+    """One row of feature numbers for each way to cut a word, for the span's distinct words; and which of these each word is."""
+    if not len(span.starts):
+        return np.zeros((len(HEADS), 0), np.int32), np.zeros(0, np.int64)
+    _, first, which = np.unique(span.hashes(), return_index=True, return_inverse=True)
     salt = [np.uint64(0x51ED270B * (i + 1)) for i in range(len(HEADS))]
-    return np.stack([(words.mix(span.hashes(h) + s) % np.uint64(BINS)).astype(np.int32) for h, s in zip(HEADS, salt, strict=True)]) if len(span.starts) else np.zeros((len(HEADS), 0), np.int32)
+    return np.stack([(words.mix(span.hashes(h, first) + s) % np.uint64(BINS)).astype(np.int32) for h, s in zip(HEADS, salt, strict=True)]), which
 
 
-def _distinct(span: words.Span) -> tuple[np.ndarray, np.ndarray]:
-    """(document of the span, feature) of its distinct features, by document."""
-    f = features(span)
-    pairs = np.unique((np.broadcast_to(span.doc_of_word(), f.shape).astype(np.int64) * BINS + f).reshape(-1))
+def _sorted_distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.concatenate([np.ones(min(len(x), 1), bool), x[1:] != x[:-1]])]
+
+
+def _distinct(span: words.Span, wanted: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """(document of the span, feature) of its distinct features (of those that ``wanted`` marks), by document."""
+    f, which = features(span)
+    held = _sorted_distinct(span.doc_of_word() * max(1, f.shape[1]) + which)
+    doc, which = held // max(1, f.shape[1]), held % max(1, f.shape[1])
+    each = []
+    for own in f:
+        live = slice(None) if wanted is None else wanted[own][which]
+        each.append(doc[live] * BINS + own[which[live]])
+    pairs = _sorted_distinct(np.concatenate(each))
     return pairs // BINS, pairs % BINS
 
 
 def _counted(batches: Iterator[pa.RecordBatch], wanted: np.ndarray | None = None) -> Iterator[pa.RecordBatch]:
-    """``feature, n``: the documents of the task that have each feature (of ``wanted``), and all documents as feature -1."""
+    """``feature, n``: the documents of the task that have each feature (that ``wanted`` marks), and all documents as feature -1."""
     total, n = np.zeros(BINS, np.int64), 0
     for batch in batches:
         n += batch.num_rows
         for span in words.spans(batch.column(0)):
-            total += np.bincount(_distinct(span)[1], minlength=BINS)
+            total += np.bincount(_distinct(span, wanted)[1], minlength=BINS)
     if n:
-        own = np.flatnonzero(total) if wanted is None else wanted[total[wanted] > 0]
+        own = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(np.concatenate([[-1], own]), pa.int32()), pa.array(np.concatenate([[n], total[own]]), pa.int64())], names=["feature", "n"])
 
 
@@ -70,9 +84,8 @@ def _kept(batches: Iterator[pa.RecordBatch], keep: np.ndarray) -> Iterator[pa.Re
     for batch in batches:
         lists = []
         for span in words.spans(batch.column(1)):
-            doc, f = _distinct(span)
-            live = keep[f]
-            lists += np.split(f[live].astype(np.int32), np.searchsorted(doc[live], np.arange(1, span.docs)))
+            doc, f = _distinct(span, keep)
+            lists += np.split(f.astype(np.int32), np.searchsorted(doc, np.arange(1, span.docs)))
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([x.tolist() for x in lists], pa.list_(pa.int32()))], names=["kind", "features"])
 
 
@@ -163,7 +176,7 @@ def train(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
         return int(n[at < 0].sum()), out
 
     n_p, p = counts(sample.where("kind >= 2"))
-    n_u, u = counts(texts, np.flatnonzero(p >= 5))
+    n_u, u = counts(texts, p >= 5)
     keep = clearly(p, u, n_p, n_u)
     rows = sample.mapInArrow(lambda it: lean(_kept(it, keep)), "kind int, features array<int>").toArrow()
     lists = [np.asarray(x.values, np.int32) for x in rows["features"]]
@@ -176,11 +189,8 @@ def _scored(batches: Iterator[pa.RecordBatch], shared) -> Iterator[pa.RecordBatc
     for batch in batches:
         out = []
         for span in words.spans(batch.column(batch.num_columns - 1)):
-            f = features(span)
-            doc = np.broadcast_to(span.doc_of_word(), f.shape)
-            hit = live[f]
-            pairs = np.unique(doc[hit].astype(np.int64) * BINS + f[hit])
-            out.append(np.bincount(pairs // BINS, weights=model.weights[pairs % BINS], minlength=span.docs) + model.bias)
+            doc, f = _distinct(span, live)
+            out.append(np.bincount(doc, weights=model.weights[f], minlength=span.docs) + model.bias)
         z = np.concatenate([*out, np.zeros(0)])
         yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(1 / (1 + np.exp(-np.clip(z, -40, 40))))], names=["id", "score"])
 

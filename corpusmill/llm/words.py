@@ -76,11 +76,12 @@ class Span:
     def word(self, i: int) -> bytes:
         return LOWER[self.data[self.starts[i] : self.ends[i]]].tobytes()
 
-    def hashes(self, longest: int | None = None) -> np.ndarray:
-        """64-bit hash of each lower-cased word, or of its first ``longest`` bytes."""
-        out = np.empty(len(self.starts), np.uint64)
+    def hashes(self, longest: int | None = None, only: np.ndarray | None = None) -> np.ndarray:
+        """64-bit hash of each lower-cased word (or of those that ``only`` numbers), or of its first ``longest`` bytes."""
+        starts, ends = (self.starts, self.ends) if only is None else (self.starts[only], self.ends[only])
+        out = np.empty(len(starts), np.uint64)
         for at in range(0, len(out), WORD_BLOCK):
-            s, e = self.starts[at : at + WORD_BLOCK], self.ends[at : at + WORD_BLOCK]
+            s, e = starts[at : at + WORD_BLOCK], ends[at : at + WORD_BLOCK]
             size = e - s if longest is None else np.minimum(e - s, longest)
             edge = np.cumsum(size) - size
             within = np.arange(int(size.sum())) - np.repeat(edge, size)
@@ -138,9 +139,10 @@ def shingles(words: np.ndarray, bounds: np.ndarray, k: int = 5) -> tuple[np.ndar
 
 def distinct_sorted(values: np.ndarray, bounds: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Each document's distinct values in ascending order, and their bounds."""
-    doc = np.repeat(np.arange(len(bounds) - 1), np.diff(bounds))
-    order = np.lexsort((values, doc))
-    values, doc = values[order], doc[order]
+    values = values.copy()
+    for a, b in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True):
+        values[a:b].sort()  # numpy sorts plain numbers far faster than their order
     keep = np.ones(len(values), bool)
-    keep[1:] = (values[1:] != values[:-1]) | (doc[1:] != doc[:-1])
-    return values[keep], np.concatenate([[0], np.cumsum(np.bincount(doc[keep], minlength=len(bounds) - 1))]).astype(np.int64)
+    keep[1:] = values[1:] != values[:-1]
+    keep[bounds[:-1][np.diff(bounds) > 0]] = True
+    return values[keep], np.concatenate([[0], np.cumsum(keep)])[bounds].astype(np.int64)

@@ -653,7 +653,7 @@ def test_toxicity_counts_all_documents(spark):
     got = {(r.doc_id, i): r.score for i, r in enumerate(toxicity.toxicity_scores(docs, model).collect())}
     assert len(got) == len(rows)
     assert all((s > 0.5) == (i is None or i % 4 == 0 and i is not None) for (i, _), s in got.items() if i not in (3, 7))
-    word = lambda w: toxicity.features(next(toxicity.words.spans(__import__("pyarrow").array([w]))))[0, 0]
+    word = lambda w: toxicity.features(next(toxicity.words.spans(__import__("pyarrow").array([w]))))[0][0, 0]
     assert model.weights[word("vile")] > 0 and model.weights[word("w7")] == 0 and model.weights[word("mild")] == 0
     assert toxicity.toxicity_scores(docs.limit(0), model).collect() == []
     for few in (toxicity.train(docs, labels.limit(0)), toxicity.train(docs.limit(0), labels)):
