@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import functools
+import random
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -78,6 +81,38 @@ def language_score(text: Column, lang: str) -> Column:
     return bound(bound(tokens(collapsed(text)), hits), share)
 
 
+def slice_starts(length: Column, size: int = 500, number: int = 3) -> Column:
+    """Where ``number`` slices of ``size`` characters of a longer text begin: drawn by a generator that the length seeds. Only lengths go to Python."""
+
+    @F.pandas_udf("array<int>")
+    def places(lengths):
+        import pandas as pd
+
+        return pd.Series([drawn_starts(int(n), size, number) if n > size else [] for n in lengths])
+
+    return places(length)
+
+
+@functools.lru_cache(1 << 16)
+def drawn_starts(length: int, size: int = 500, number: int = 3) -> list[int]:
+    r = random.Random(length)
+    return [r.randint(0, length - size) for _ in range(number)]
+
+
+def slices(text: Column, starts: Column, size: int = 500) -> Column:
+    """The whole of a text of up to ``size`` characters, else its slices."""
+    return F.when(F.length(text) <= size, F.array(text)).otherwise(F.transform(starts, lambda s: F.substring(text, s + 1, F.lit(size))))
+
+
+def slice_scores(chunks: Column, score, number: int = 3) -> Column:
+    """``score`` (of a column, native or a Pandas UDF) of each slice; none counts as 0."""
+    return F.array_compact(F.array(*[F.when(F.size(chunks) > k, F.coalesce(score(F.get(chunks, F.lit(k))), F.lit(0.0))) for k in range(number)]))
+
+
+def mean(values: Column) -> Column:
+    return F.aggregate(values, F.lit(0.0), lambda a, x: a + x) / F.size(values)
+
+
 def stripped(text: Column) -> Column:
     """Without stacked preambles; empty if what is left is a refusal."""
     out = F.regexp_replace(text, PREAMBLE, "")

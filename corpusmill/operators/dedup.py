@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -36,25 +37,42 @@ def banding(threshold: float, n: int = 128) -> tuple[int, int]:
     return min(((b, r) for b in range(1, n + 1) for r in range(1, n // b + 1)), key=lambda x: errors(*x))
 
 
-def signatures(df: DataFrame, text_col: str = "text", n: int = 128) -> DataFrame:
-    """``df`` with ``sig``: the least of each permutation over the shingles' hashes; the prime where there are none."""
-    a, b = constants(n)
+def _minima(values: np.ndarray, bounds: np.ndarray, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each stretch of ``values`` the least of every permutation; the prime for an empty one."""
+    out = np.full((len(bounds) - 1, len(a)), PRIME, np.int64)
+    first = 0
+    while first < len(out):
+        last = max(first + 1, int(np.searchsorted(bounds, bounds[first] + 8192, "right")) - 1)
+        lo, hi = int(bounds[first]), int(bounds[last])
+        full = first + np.flatnonzero(np.diff(bounds[first : last + 1]))
+        for at in range(lo, hi, 1 << 16):  # a long text is taken in parts
+            end = min(hi, at + (1 << 16))
+            x = a[:, None] * values[at:end] + b[:, None]
+            # the remainder by a Mersenne prime: its digits to the base 2^31, summed
+            x = (x & PRIME) + (x >> 31)
+            x = (x & PRIME) + (x >> 31)
+            x[x == PRIME] = 0
+            heads = np.maximum(bounds[full], at) - at
+            out[full] = np.minimum(out[full], np.minimum.reduceat(x, heads, axis=1).T) if len(full) else out[full]
+        first = last
+    return out
+
+
+def signatures(df: DataFrame, keys: list[str], text_col: str = "text", n: int = 128) -> DataFrame:
+    """``(keys, sig)``: the least of each permutation over the shingles' hashes; the prime where there are none. Texts stay in the JVM."""
+    a, b = (np.array(x, np.int64) for x in constants(n))
 
     def least(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        ca, cb = np.array(a, np.int64)[:, None], np.array(b, np.int64)[:, None]
         for batch in batches:
-            out = []
-            for h in batch.column(batch.num_columns - 1):
-                values, best = h.values.to_numpy(), np.full(n, PRIME, np.int64)
-                for at in range(0, len(values), 8192):
-                    best = np.minimum(best, ((ca * values[at : at + 8192] + cb) % PRIME).min(axis=1))
-                out.append(best)
-            sig = pa.array(out, pa.list_(pa.int64()))
+            hashes = batch.column(batch.num_columns - 1)
+            offsets = np.asarray(hashes.offsets)
+            found = _minima(np.asarray(hashes.values), offsets, a, b)
+            sig = pa.ListArray.from_arrays(pa.array(np.arange(len(found) + 1) * n, pa.int32()), pa.array(found.reshape(-1)))
             yield pa.RecordBatch.from_arrays([*batch.columns[:-1], sig], names=[*batch.schema.names[:-1], "sig"])
 
     hashes = F.transform(shingles(tokens(F.coalesce(F.col(text_col), F.lit("")))), lambda s: F.conv(F.substring(F.md5(s.cast("binary")), 1, 8), 16, 10).cast("long") % PRIME)
-    schema = T.StructType([*df.schema.fields, T.StructField("sig", T.ArrayType(T.LongType()))])
-    return df.withColumn("__hashes", hashes).mapInArrow(least, schema)
+    own = df.select(*keys, hashes.alias("hashes"))
+    return own.mapInArrow(least, T.StructType([*own.schema.fields[:-1], T.StructField("sig", T.ArrayType(T.LongType()))]))
 
 
 def bands(df: DataFrame, keys: list[str], n_bands: int = BANDS, rows: int = ROWS) -> DataFrame:
@@ -64,41 +82,46 @@ def bands(df: DataFrame, keys: list[str], n_bands: int = BANDS, rows: int = ROWS
 
 
 def collisions(banded: DataFrame, scope: list[str], ord_col: str = "ord") -> DataFrame:
-    """Distinct ``(scope, early, late)``: documents that share a band."""
-    left = banded.select(*scope, "band", "band_key", F.col(ord_col).alias("early"))
-    right = banded.select(*scope, "band", "band_key", F.col(ord_col).alias("late"))
-    return left.join(right, [*scope, "band", "band_key"]).where("early < late").select(*scope, "early", "late").distinct()
+    """Distinct ``(scope, early, late)``: each document with the earliest of every band that it shares; as many rows as bands at most."""
+    keys = [*scope, "band", "band_key"]
+    head = banded.groupBy(*keys).agg(F.min(ord_col).alias("early"), F.count("*").alias("held")).where("held > 1").drop("held")
+    return banded.withColumnRenamed(ord_col, "late").join(head, keys).where("early < late").select(*scope, "early", "late").distinct()
 
 
-def first_kept(nodes: DataFrame, edges: DataFrame, scope: list[str], ord_col: str = "ord") -> DataFrame:
-    """``(scope, ord, kept)``: kept if no earlier neighbour is kept.
+def first_kept(banded: DataFrame, scope: list[str], ord_col: str = "ord") -> DataFrame:
+    """``(scope, ord, kept)`` for each document of ``banded(scope, ord, band, band_key)``: kept if it shares no band with an earlier kept one.
 
-    Each round settles what all earlier neighbours settle; the rounds are as many as the longest
-    chain of collisions, and every round is written.
+    In each round, a document that is the earliest in all its bands is kept, and those that share a
+    band with one kept are dropped; only undecided documents go on. No pairs are made, a band's
+    earliest document is found by a partial minimum, and every round is written.
     """
-    keys = [*scope, ord_col]
-    edges = stored(edges, "edges")
-    state = nodes.select(*keys).join(edges.select(*scope, F.col("late").alias(ord_col)).distinct().withColumn("open", F.lit(True)), keys, "left")
-    state = stored(state.select(*keys, F.when(F.col("open"), F.lit(None).cast("boolean")).otherwise(True).alias("kept")), "state")
-    while not state.where("kept is null").isEmpty():
-        told = edges.join(state.withColumnRenamed(ord_col, "early"), [*scope, "early"]).groupBy(*scope, F.col("late").alias(ord_col)).agg(F.max("kept").alias("any_kept"), F.count_if(F.col("kept").isNull()).alias("unknown"))
-        new = F.coalesce("kept", F.when(F.col("any_kept"), False).when(F.col("unknown") == 0, True))
-        state = stored(state.join(told, keys, "left").select(*keys, new.alias("kept")), "state")
-    return state
+    node, keys = [*scope, ord_col], [*scope, "band", "band_key"]
+    left, decided = banded.select(*node, "band", "band_key"), []
+    while True:
+        head = left.groupBy(*keys).agg(F.min(ord_col).alias("head"))
+        left = stored(left.join(head, keys), "bands")
+        kept = stored(left.groupBy(*node).agg(F.bool_and(F.col("head") == F.col(ord_col)).alias("first")).where("first").select(*node), "kept")
+        if kept.isEmpty():
+            break
+        hit = left.join(kept.select(*scope, F.col(ord_col).alias("head")), [*scope, "head"]).where(F.col("head") != F.col(ord_col)).select(*node).distinct()
+        gone = stored(hit, "dropped")
+        decided += [kept.withColumn("kept", F.lit(True)), gone.withColumn("kept", F.lit(False))]
+        left = left.join(kept, node, "left_anti").join(gone, node, "left_anti").drop("head")
+    return reduce(DataFrame.unionByName, decided, left.select(*node).withColumn("kept", F.lit(True)))
 
 
 def near_dedup(df: DataFrame, scope: list[str], ord_col: str = "ord", text_col: str = "text", known: DataFrame | None = None, n: int = 128, banded: tuple[int, int] = (BANDS, ROWS)) -> DataFrame:
     """``(scope, ord, kept)`` for each row; ``known`` has kept texts of earlier runs, which come first and stay.
 
-    Equal signatures are folded into their first document before the join, so copies make no pairs.
+    Documents with equal signatures are folded into their first one before the rounds.
     """
-    signed = signatures(df.select(*scope, ord_col, text_col), text_col, n)
+    node = [*scope, ord_col]
+    signed = stored(signatures(df, node, text_col, n), "signed")
+    fresh = signed
     if known is not None:
-        old = signatures(known.select(*scope, text_col), text_col, n).select(*scope, "sig").distinct()
-        hit = bands(signed, [*scope, ord_col], *banded).join(bands(old, scope, *banded).distinct(), [*scope, "band", "band_key"], "left_semi").select(*scope, ord_col).distinct()
-        signed = stored(signed.select(*scope, ord_col, "sig").join(hit.withColumn("old", F.lit(True)), [*scope, ord_col], "left"), "signed")
-    else:
-        signed = stored(signed.select(*scope, ord_col, "sig").withColumn("old", F.lit(None).cast("boolean")), "signed")
-    firsts = signed.where("old is null").groupBy(*scope, "sig").agg(F.min(ord_col).alias(ord_col))
-    state = first_kept(firsts, collisions(bands(firsts, [*scope, ord_col], *banded), scope, ord_col), scope, ord_col)
-    return signed.select(*scope, ord_col).join(state, [*scope, ord_col], "left").withColumn("kept", F.coalesce("kept", F.lit(False)))
+        old = bands(signatures(known, scope, text_col, n).distinct(), scope, *banded).distinct()
+        hit = bands(signed, node, *banded).join(old, [*scope, "band", "band_key"], "left_semi").select(*node).distinct()
+        fresh = signed.join(stored(hit, "known"), node, "left_anti")
+    firsts = fresh.groupBy(*scope, "sig").agg(F.min(ord_col).alias(ord_col))
+    state = first_kept(bands(firsts, node, *banded), scope, ord_col)
+    return signed.select(*node).join(state, node, "left").withColumn("kept", F.coalesce("kept", F.lit(False)))

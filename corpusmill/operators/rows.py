@@ -24,11 +24,18 @@ def unseen(pairs: DataFrame, seen: DataFrame) -> DataFrame:
     return pairs.join(seen.select("prompt", "source_id").distinct(), ["prompt", "source_id"], "left_anti")
 
 
-def first_per_source(pairs: DataFrame, ord_col: str = "ord") -> DataFrame:
-    """The first row of each (prompt, source_id), by a partial aggregate; null ids are one id."""
-    others = [c for c in pairs.columns if c not in ("prompt", "source_id")]
-    best = pairs.groupBy("prompt", "source_id").agg(F.min_by(F.struct(*others), ord_col).alias("first"))
-    return best.select("prompt", "source_id", "first.*")
+def first_per_source(df: DataFrame, ord_col: str = "ord", keys: tuple[str, ...] = ("prompt", "source_id")) -> DataFrame:
+    """The first row for each of ``keys``, by a partial aggregate; null ids are one id. Documents are best resolved before their fan-out."""
+    others = [c for c in df.columns if c not in keys]
+    best = df.groupBy(*keys).agg(F.min_by(F.struct(*others), ord_col).alias("first"))
+    return best.select(*keys, "first.*")
+
+
+def skips(docs: DataFrame, seen: DataFrame, prompts: tuple[str, ...] = PROMPTS) -> DataFrame:
+    """``(prompt, skipped)``: for each task how many of ``docs(source_id)`` it has already, all tasks."""
+    found = fanout(docs.select("source_id"), prompts).join(seen.select("prompt", "source_id").distinct(), ["prompt", "source_id"], "left_semi").groupBy("prompt").count()
+    every = docs.sparkSession.createDataFrame([(p,) for p in prompts], "prompt string")
+    return every.join(found, "prompt", "left").select("prompt", F.coalesce("count", F.lit(0)).alias("skipped"))
 
 
 def limited(pairs: DataFrame, n: int, ord_col: str = "ord") -> DataFrame:
@@ -46,11 +53,17 @@ def verdict_profile(df: DataFrame, amount: str) -> DataFrame:
     return full.select("verdict", "docs", "tokens", (F.col("docs") * 100.0 / F.greatest(F.sum("docs").over(total), F.lit(1))).alias("docs_pct"), (F.col("tokens") * 100.0 / F.greatest(F.sum("tokens").over(total), F.lit(1))).alias("tokens_pct"))
 
 
-def sampled(df: DataFrame, share: int = 4, seed: str = "0", key: str = "source_id") -> DataFrame:
-    """Of each prompt a ``share``-th of the rows, one at least: those of the smallest hashes."""
-    ranked = df.withColumn("__r", F.row_number().over(Window.partitionBy("prompt").orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary")), key)))
-    counts = df.groupBy("prompt").agg(F.greatest(F.floor(F.count("*") / share), F.lit(1)).alias("__k"))
-    return ranked.join(F.broadcast(counts), "prompt").where("__r <= __k").drop("__r", "__k")
+def sampled(df: DataFrame, n: int = 50, seed: str = "0", key: str = "source_id") -> DataFrame:
+    """Of each prompt an equal part of ``n`` rows, one at least: those of the smallest hashes. Tasks rank their rows first, so few are shuffled."""
+    each = max(1, n // len(PROMPTS))
+    rank = F.row_number().over(Window.partitionBy("prompt").orderBy(F.md5(F.concat(F.lit(seed), F.col(key).cast("string")).cast("binary")), key))
+    return df.withColumn("__r", rank).where(F.col("__r") <= each).drop("__r")
+
+
+def confidence_stats(df: DataFrame, by: tuple[str, ...] = (), column: str = "language_confidence") -> DataFrame:
+    """Least, mean and greatest confidence of the rows that have one."""
+    c = F.col(column)
+    return df.where(c.isNotNull()).groupBy(*by).agg(F.min(c).alias("lo"), F.avg(c).alias("mean"), F.max(c).alias("hi"))
 
 
 def filter_stats(df: DataFrame) -> DataFrame:

@@ -24,7 +24,8 @@ class ChatRephraser:
 
     @classmethod
     def of(cls, config: Config) -> ChatRephraser:
-        return cls(config.vllm_model_id, config.vllm_api_key, config.temperature, config.top_p, config.max_tokens, config.repetition_penalty)
+        own = config.generator
+        return cls(own.model, own.key, own.temperature, own.top_p, own.most_tokens, own.repetition_penalty)
 
     def body(self, request: str) -> dict:
         return {

@@ -2,19 +2,44 @@
 
 from __future__ import annotations
 
+import atexit
+import contextlib
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+_made: list[tuple[SparkSession, str]] = []
+
 
 def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path below spark.checkpoint.dir."""
+    """A new path below spark.checkpoint.dir, which goes when the driver ends.
+
+    A cluster has to name that folder; a local master gets a temporary one.
+    """
     root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if not root:
+        if not spark.sparkContext.master.startswith("local") or spark.sparkContext.master.startswith("local-cluster"):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
         spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusmill-"))
         root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    if not _made:
+        atexit.register(_remove)
+    path = f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+    _made.append((spark, path))
+    return path
+
+
+def dropped(spark: SparkSession, path: str) -> None:
+    """Remove what is below ``path``."""
+    where = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _remove() -> None:
+    for spark, path in _made:
+        with contextlib.suppress(Exception):  # the session may have ended
+            dropped(spark, path)
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:

@@ -4,9 +4,11 @@ import glob
 import http.server
 import json
 import os
+import random
 import threading
 
 import duckdb
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -14,7 +16,7 @@ from corpusmill import cli, queries
 from corpusmill.config import PROMPTS, Config, chosen_prompts
 from corpusmill.functions import text as tx
 from corpusmill.operators import dedup, rows
-from corpusmill.plans import curate
+from corpusmill.plans import curate, progress
 from corpusmill.sources import scan, sink
 from corpusmill.sources.chat import ChatRephraser
 
@@ -59,13 +61,36 @@ def test_small_functions(spark):
     assert [r.s for r in spark.createDataFrame([(5,), (2048,), (3 << 20,)], "n long").select(tx.size_text(F.col("n")).alias("s")).collect()] == ["5.0B", "2.0KB", "3.0MB"]
     with pytest.raises(ValueError):
         chosen_prompts("faq,none")
-    assert chosen_prompts("") == PROMPTS and Config.from_env({"VLLM_PORTS": "1, 2", "x": "y"}).concurrency == 184
+    assert chosen_prompts("") == PROMPTS and Config.from_env({"VLLM_PORTS": "1, 2", "x": "y", "Retry_Failed": "no"}).generator.calls == 184
+    assert Config().having(lid_threshold="0.5", rows_per_flush=7, progress_every="3") == Config().having(lid_threshold=0.5).having(rows_per_flush="7", progress_every=3)
 
 
 def test_first_kept_chain(spark):
-    nodes = spark.createDataFrame([(1,), (2,), (3,), (4,)], "ord long")
-    edges = spark.createDataFrame([(1, 2), (2, 3), (3, 4)], "early long, late long")
-    assert {r.ord: r.kept for r in dedup.first_kept(nodes, edges, []).collect()} == {1: True, 2: False, 3: True, 4: False}
+    banded = spark.createDataFrame([(1, 0, "x"), (2, 0, "x"), (2, 1, "y"), (3, 1, "y"), (3, 2, "z"), (4, 2, "z"), (5, 0, "u")], "ord long, band int, band_key string")
+    assert {r.ord: r.kept for r in dedup.first_kept(banded, []).collect()} == {1: True, 2: False, 3: True, 4: False, 5: True}
+    assert dedup.first_kept(banded.limit(0), []).collect() == []
+
+
+def test_first_kept_is_the_sequential_rule(spark):
+    rng = random.Random(5)
+    for _ in range(3):
+        rows = [(ord_, band, str(rng.randrange(25))) for ord_ in range(120) for band in range(3)]
+        kept, held = {}, set()
+        for ord_ in range(120):
+            own = {r[1:] for r in rows if r[0] == ord_}
+            kept[ord_] = not own & held
+            held |= own if kept[ord_] else set()
+        assert {r.ord: r.kept for r in dedup.first_kept(spark.createDataFrame(rows, "ord long, band int, band_key string"), []).collect()} == kept
+
+
+def test_minima_by_hand():
+    a, b = (np.array(x, np.int64) for x in dedup.constants(8))
+    rng = np.random.default_rng(0)
+    sizes = [0, 3, 0, 5000, 70000, 9000, 1, 0]
+    bounds = np.concatenate([[0], np.cumsum(sizes)])
+    values = rng.integers(0, dedup.PRIME, bounds[-1])
+    want = [[min(((int(x) * values[lo:hi] + int(y)) % dedup.PRIME).tolist(), default=dedup.PRIME) for x, y in zip(a, b)] for lo, hi in zip(bounds, bounds[1:])]
+    assert dedup._minima(values, bounds, a, b).tolist() == want
 
 
 def test_dedup_scopes(spark):
@@ -79,18 +104,73 @@ def test_dedup_scopes(spark):
 def test_runs_resume(spark, tmp_path):
     body = lambda k: f"{k}. λύση " + " ".join(f"λέξη{(i * (k + 3)) % 97}α{i}" for i in range(60)) + "\n1. και το η να\n- α\n- β\n- γ ???\n\n|α|\n|β|\n|γ|\n και το η να του"
     spark.createDataFrame([(f"u{k % 5}", body(k)) for k in range(6)] + [(None, body(9))], "url string, text string").coalesce(1).write.parquet(f"{tmp_path}/in/part")
-    config = Config(source_name=f"{tmp_path}/in", source_config="part", local_shard_dir=f"{tmp_path}/out", lid_threshold=0.5)
+    config = Config().having(source_name=f"{tmp_path}/in", source_config="part", local_shard_dir=f"{tmp_path}/out", lid_threshold=0.0, rows_per_flush=2)
+    root = config.shards.root
+    part = curate.run(spark, config, max_docs=2, prompts=("faq",)).first()
+    assert part.seen == 2
     first = curate.run(spark, config).first()
-    assert first.seen == 20 and first.kept == 20
-    again = curate.run(spark, config, rehydration=True).first()
+    assert first.seen == 18 and first.kept == 18 and first.failed_calls == 0
+    again = curate.run(spark, config).first()
     assert again.seen == 0
-    plan = sink.publish_plan(spark, config.local_shard_dir)
-    assert {r.remote.split("/")[0] for r in plan.collect()} == set(PROMPTS)
-    sink.publish(spark, config.local_shard_dir, sink.FolderPublisher(f"{tmp_path}/hub"), dry_run=False)
+    assert {(r.prompt, r.shard): r["count"] for r in spark.read.parquet(f"{root}/kept").groupBy("prompt", "shard").count().collect()} == {(p, k): 1 if k == 2 else 2 for p in PROMPTS for k in range(3)}
+    assert {r.prompt: (r.shards, r.rows) for r in scan.totals(spark, root).collect()} == {p: (3, 5) for p in PROMPTS}
+    plan = sink.publish_plan(spark, root)
+    assert [r.remote for r in plan.collect()] == [f"{p}/part-{k:05d}.parquet" for p in PROMPTS for k in range(3)]
+    hub = sink.FolderPublisher(f"{tmp_path}/hub")
+    for _ in range(2):
+        sink.publish(spark, root, hub, config, dry_run=False)
     assert len(glob.glob(f"{tmp_path}/hub/*/*.parquet")) == plan.count()
-    sink.merge_shards(scan.shards(spark, config.local_shard_dir), f"{tmp_path}/one")
+    assert "config_name: faq" in hub.root.joinpath("README.md").read_text()
+    sink.merge_shards(scan.shards(spark, root), f"{tmp_path}/one")
     assert spark.read.parquet(f"{tmp_path}/one").count() == 20
-    assert scan.seen_ids(spark, config.local_shard_dir, "other").count() == 0
+    assert scan.seen_ids(spark, root, "other").count() == 0
+    with pytest.raises(ValueError):
+        curate.run(spark, config, prompts=("none",))
+
+
+def test_language_gate_judges_slices(spark):
+    greek, latin = "και το η να του " * 60, "of the and to in " * 12
+    texts = [greek, greek[:500], latin, greek[:400] + latin + greek[:400], "x" * 501]
+    records = spark.createDataFrame([(i, "faq", t) for i, t in enumerate(texts)], "ord long, prompt string, text string")
+    got = {r.ord: (r.status == "dropped for lang", round(r.confidence, 6)) for r in curate.judged(records, Config()).collect()}
+    for i, t in enumerate(texts):
+        r = random.Random(len(t))
+        cut = [t] if len(t) <= 500 else [t[k : k + 500] for k in [r.randint(0, len(t) - 500) for _ in range(3)]]
+        scores = values(spark, cut, lambda c: tx.language_score(c, "el"))
+        assert got[i] == (min(scores) < 0.9, round(sum(scores) / len(scores), 6))
+
+
+def test_failed_calls_are_counted(spark, tmp_path, caplog):
+    config = Config().having(local_shard_dir=f"{tmp_path}/out", min_output_chars=1, lid_threshold=0.0)
+    docs = spark.createDataFrame([(i, f"u{i}", f"λέξη{i} " * 60) for i in range(5)], "ord long, source_id string, text string")
+    with caplog.at_level("INFO"):
+        stats = curate.run(spark, config, docs=docs, prompts=("faq",), rephraser=refuse_three).first()
+    assert stats.seen == 4 and stats.failed_calls == 1 and "ValueError: no" in caplog.text
+
+
+def refuse_three(endpoint, prompt, request):
+    if "λέξη3 " in request:
+        raise ValueError("no")
+    return request
+
+
+def test_streams(spark, tmp_path):
+    spark.createDataFrame([(f"u{i}", f"t{i}") for i in range(4)], "url string, text string").coalesce(1).write.parquet(f"{tmp_path}/in/part")
+    config = Config().having(source_name=f"{tmp_path}/in", source_config="part")
+    whole = scan.configured(spark, config, lambda: iter([{"url": 1, "text": None}, {"text": "b"}])).collect()
+    assert [(r.ord.row, r.source_id, r.text) for r in whole] == [(0, "1", ""), (1, None, "b")]
+
+    def broken():
+        yield {"url": "x", "text": "lost"}
+        raise OSError("gone")
+
+    assert [(r.ord.row, r.source_id) for r in scan.configured(spark, config, broken).collect()] == [(i, f"u{i}") for i in range(4)]
+    with pytest.raises(ValueError):
+        scan.configured(spark, Config())
+
+
+def test_beats():
+    assert progress.beats(0, 1999, 2000) == [] and progress.beats(1999, 6000, 2000) == [2000, 4000, 6000] and progress.beats(6000, 6001, 2000) == []
 
 
 def test_banding_and_commands(spark, tmp_path, capsys):
@@ -120,11 +200,11 @@ def test_chat_endpoint(spark):
 
     server = http.server.ThreadingHTTPServer(("127.0.0.1", 0), Handler)
     threading.Thread(target=server.serve_forever, daemon=True).start()
-    config = Config(vllm_base_url="http://127.0.0.1", vllm_ports=(server.server_port,), vllm_model_id="m")
+    config = Config().having(vllm_base_url="http://127.0.0.1", vllm_ports=(server.server_port,), vllm_model_id="m")
     pairs = spark.createDataFrame([(i, f"u{i}", "faq", t) for i, t in enumerate(["one", "fail", "two"])], "ord long, source_id string, prompt string, text string")
     got = curate.rephrased(pairs, config, ChatRephraser.of(config), in_flight=4).collect()
     server.shutdown()
-    assert {r.ord: r.text for r in got} == {0: "m:one:2", 2: "m:two:2"}
+    assert {r.ord: r.text for r in got} == {0: "m:one:2", 1: None, 2: "m:two:2"} and {r.ord for r in got if r.error} == {1}
 
 
 def test_streaming(spark, tmp_path):
@@ -132,9 +212,9 @@ def test_streaming(spark, tmp_path):
 
     text = "1. λύση και το η να " + " ".join(f"λέξη{i}" for i in range(80)) + "\n???\n\n\n|α|\n|β|\n|γ|\n"
     spark.createDataFrame([("u1", text)], "url string, text string").write.parquet(f"{tmp_path}/in")
-    config = Config(local_shard_dir=f"{tmp_path}/out", lid_threshold=0.5, min_output_chars=10, retry_failed=False)
-    for _ in range(2):
-        incremental.start(spark, f"{tmp_path}/in", "url string, text string", config, f"{tmp_path}/state").awaitTermination()
+    config = Config().having(local_shard_dir=f"{tmp_path}/out", lid_threshold=0.5, min_output_chars=10)
+    for k in range(2):  # with another state, all files are new again
+        incremental.start(spark, f"{tmp_path}/in", "url string, text string", config, f"{tmp_path}/state{k}").awaitTermination()
     assert sum(scan.shards(spark, f"{tmp_path}/out", kind).count() for kind in ("kept", "failed")) == 4
 
 
@@ -161,6 +241,6 @@ def test_merge_shards_reads_what_was_merged(spark, sf, monkeypatch):
     merge = sink.merge_shards
     count = lambda: sum(r.n_rows for r in queries.merge_shards(spark, sf).collect())
     whole = count()
-    assert whole == spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant'").count()
+    assert whole == spark.read.parquet(f"{sf}/conversations.parquet").where("role = 'assistant' and (conv_id * 1000 + turn) % 5 <> 0").count()
     monkeypatch.setattr(sink, "merge_shards", lambda kept, out, *rest: merge(kept.limit(whole - 1), out, *rest))
     assert count() == whole - 1
