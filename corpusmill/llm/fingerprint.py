@@ -115,7 +115,7 @@ def _below(value, cuts: list[int]):
     return F.when(row == len(rows), len(cuts)).otherwise(row * step + F.size(F.filter(F.get(within, row), lambda c: c < value)))
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE) -> DataFrame:
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", share: float = SHARE, range_rows: int = 2048) -> DataFrame:
     """Fingerprints of each row's text and of its edited text, and how near they and the next row's are.
 
     Rows are taken by descending id (null ids last, within an id by a descending hash of the text),
@@ -123,17 +123,20 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     replaced by the first as many of the next text. Null texts count as empty; repeated rows are
     returned as often as they come; other columns are ignored; an empty table gives an empty result.
 
-    Rows are dealt once, by ranges of (id, hash of the text, input partition): an id with many rows,
-    as null may be, is cut by the hash, and rows that are equal by where they come from. Each range
-    also borrows the first row of the range that follows, so that no task needs another one's rows.
+    Rows are dealt once, by ranges of (id, hash of the text, input partition), some ``range_rows``
+    rows each, or more where that would make more ranges than twice the shuffle partitions. An id
+    with many rows, as null may be, is cut by the hash, and rows that are equal by where they come
+    from. Each range also borrows the first row of the range that follows, so that no task needs
+    another one's rows.
     """
-    spark, n = docs.sparkSession, 2 * shuffle_partitions(docs.sparkSession)
+    spark = docs.sparkSession
     text = F.coalesce(F.col(text_col).cast("string"), F.lit(""))
     rows = docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(-(2**63))).alias("id"), text.alias("text"))
     rows = rows.withColumn("mark", F.shiftleft(F.shiftrightunsigned(F.xxhash64("text"), 21), 20))
     rows = rows.withColumn("place", F.col("mark") + F.pmod(F.spark_partition_id(), F.lit(1 << 20)))
+    n = max(1, min(2 * shuffle_partitions(spark), rows.count() // range_rows))
     quantiles = lambda c: F.percentile_approx(c, [i / n for i in range(1, n)], 10 * n)
-    every = rows.agg(quantiles("id")).first()[0] or []
+    every = (rows.agg(quantiles("id")).first()[0] or []) if n > 1 else []
     cuts = sorted(set(every))
     below = _below(F.col("id"), cuts)
     number, task, tasks = below * n, below, len(cuts) + 1
