@@ -6,7 +6,7 @@ width, so that each fragment has an equal share of all distinct n-grams, those o
 document's set is cut along with it.
 
 1. *Fragments.* A map over the texts emits, for every ``BUFFER_GRAMS`` n-grams and each fragment, one
-   blob with the documents' n-grams there (never more blobs than n-grams). A fragment is a task, which
+   blob with the documents' n-grams there (never more blobs than n-grams). The group of a fragment
    sees every holder of its n-grams and keeps those with two holders or more, with the exact number
    of holders. A passage that many different documents share adds 16 bytes for each of them to the
    fragments of its n-grams.
@@ -45,6 +45,8 @@ BLOBS = "kind int, key int, part int, a binary, b binary, c binary, d binary"
 MEMBERS, CLASSES, GRAMS = 2, 0, 1
 #: Bytes of text whose n-grams make a fragment, and the least bits of a fragment's number.
 FRAGMENT_BYTES, FEWEST_BITS = 16 << 20, 4
+#: Fragments that a task takes, one after the other.
+TASK_FRAGMENTS = 4
 #: N-grams that a map task holds before it emits them.
 BUFFER_GRAMS = 1 << 19
 #: Fragments in which the overlaps of pairs are counted.
@@ -260,9 +262,9 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     bits = max(FEWEST_BITS, (volume // FRAGMENT_BYTES).bit_length())
     cut = texts.mapInArrow(lambda it: lean(_cut(it, k, bits)), BLOBS)
-    by_key = lambda df: df.repartitionById(1 << bits, F.col("key")).groupBy("key")
-    blobs = materialise(by_key(cut).applyInArrow(lambda t: lean_group(lambda x: _shared(x, bits), t), BLOBS), "grams")
-    classes = materialise(by_key(blobs.where(F.col("kind") != MEMBERS)).applyInArrow(lambda t: lean_group(lambda x: _survivors(x, bits, least, whole), t), SETS), "classes")
+    by_key = lambda df, f, kind: df.repartitionById(1 << bits, F.col("key")).groupBy("key").applyInArrow(lambda t: lean_group(f, t), kind).coalesce(max(1, (1 << bits) // TASK_FRAGMENTS))
+    blobs = materialise(by_key(cut, lambda x: _shared(x, bits), BLOBS), "grams")
+    classes = materialise(by_key(blobs.where(F.col("kind") != MEMBERS), lambda x: _survivors(x, bits, least, whole), SETS), "classes")
     members = blobs.where(F.col("kind") == MEMBERS).select("a", "b", "c", "d").mapInArrow(_members, "id long, node long, n long")
 
     sets = classes.where("probe > 0")

@@ -4,8 +4,6 @@ from __future__ import annotations
 
 import contextlib
 import ctypes
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -13,25 +11,12 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-
-def scratch(spark: SparkSession, tag: str) -> str:
-    """A new path below the session's shared checkpoint folder.
-
-    ``spark.checkpoint.dir`` names it on a cluster. Where it is unset (tests in local mode) a
-    temporary folder is made once and kept for the session.
-    """
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if not root:
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="corpusmill-"))
-        root = spark.sparkContext.getCheckpointDir()
-    return f"{root.rstrip('/')}/{tag}-{uuid.uuid4().hex}"
+from ..storage import scratch, stored  # noqa: F401
 
 
 def materialise(df: DataFrame, tag: str) -> DataFrame:
     """Write ``df`` as Parquet in the shared folder and read it again: lineage ends, executors may be lost."""
-    path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return stored(df, tag)
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

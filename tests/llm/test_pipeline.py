@@ -1,5 +1,11 @@
 """The pipeline's stages, each against what its operator says about the stage's own input."""
 
+import collections
+import re
+
+import numpy as np
+import pyarrow as pa
+
 import corpus_pipeline
 from corpusmill.llm import queries, suffix_match
 from corpusmill.llm.ngram_join import jaccard_components
@@ -36,6 +42,37 @@ def test_stages_tell_rows_apart_without_ids(spark, sf):
     assert sorted(((r.doc_id or 0, r.text or "") for r in out)) == sorted([(0, clean), (5, other), (5, other), (6, "")])
 
 
+def test_toxicity_stage_by_hand(spark, sf):
+    from corpusmill.llm import toxicity
+
+    docs = table(spark, sf, "documents").where("doc_id % 2 = 0")
+    odd = spark.createDataFrame([(None, None, None, None, None), (None, "", "en", "s", 0), (4, "x " * 10**5, "en", "s", 1)], docs.schema)
+    docs = docs.unionByName(odd).unionByName(odd)
+    model = toxicity.train(docs, table(spark, sf, "labels"), usable=lambda c: ~queries.held_out(c))
+
+    def score(text):
+        words = {w for w in re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", "".join(c.lower() if "A" <= c <= "Z" else c for c in text or ""))}
+        spans = list(toxicity.words.spans(pa.array(sorted(words), pa.string())))
+        own = {int(f) for s in spans for f in np.unique(toxicity.features(s)[0])}
+        return sum(float(model.weights[f]) for f in own) + model.bias
+
+    want = collections.Counter((r.doc_id, r.text) for r in docs.collect() if score(r.text) < 0)
+    got = collections.Counter((r.doc_id, r.text) for r in corpus_pipeline.toxicity(spark, docs, sf).collect())
+    assert got == want and sum(want.values()) < docs.count()
+
+
+def test_stages_on_odd_tables(spark, sf):
+    kinds = "doc_id long, text string, source string, component_id string, row int, id string, bin int"
+    rows = [(None, None, None, "a", 1, "i", 2), (1, "", "s", None, None, None, None), (1, "", "s", None, None, None, None), (2, "word " * 50000, None, "b", 3, "j", 4), (None, "one two", "t", "c", 5, "k", 6)]
+    for df in (spark.createDataFrame(rows, kinds), spark.createDataFrame([], kinds)):
+        for name, stage in corpus_pipeline.STAGES:
+            out = stage(spark, df, sf)
+            if name == "best-fit packing":
+                assert out.groupBy().agg({"length": "sum"}).first()[0] == (sum(len((r[1] or "").encode()) + 1 for r in rows) if df.count() else None)
+            else:
+                assert out.columns == df.columns and sorted(map(str, out.collect())) == sorted(map(str, df.collect()))
+
+
 def test_registered():
     import __spark_entry__
 
