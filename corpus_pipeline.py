@@ -1,4 +1,9 @@
-"""The training-data pipeline: each stage works on all that the stage before it kept."""
+"""The training-data pipeline: each stage works on all that the stage before it kept.
+
+Every stage takes a table with doc_id, text and source and any other columns, whatever their names,
+and gives back the same columns (packing: its pieces). Ids may be null or repeated and texts null or
+empty in all of them; an empty table gives an empty one.
+"""
 
 from __future__ import annotations
 
@@ -10,13 +15,13 @@ from pyspark.sql import functions as F
 from corpusmill.llm.ngram_join import jaccard_components
 from corpusmill.llm.packing import pack
 from corpusmill.llm.queries import held_out
-from corpusmill.llm.shared import materialise, table
+from corpusmill.llm.shared import fresh_names, materialise, table
 from corpusmill.llm.suffix_match import without_matches
 from corpusmill.llm.toxicity import train, without_toxic
 
 
 def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the documents that the classifier calls toxic."""
+    """Without the rows that the classifier calls toxic, by their whole texts; labels of ids that aren't there, and rows without label or id, don't matter."""
     return without_toxic(docs, train(docs, table(spark, sf_dir, "labels"), usable=lambda c: ~held_out(c)))
 
 
@@ -26,21 +31,22 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     Rows are told apart by a key of their own, so ids may be null (they come last), repeated or
     carry several texts. Wordless texts are in no group and all stay.
     """
-    keyed = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "keyed")
-    found = jaccard_components(keyed, id_col="__row").select("__row", "component_id")
-    placed = materialise(found.join(keyed.select("__row", "doc_id"), "__row"), "placed")
-    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", "__row")).alias("m")).select("m.__row")
-    gone = materialise(placed.select("__row").join(first, "__row", "left_anti"), "gone")
-    return keyed.join(gone, "__row", "left_anti").select(docs.columns)
+    (row,) = fresh_names([*docs.columns, "component_id", "n_shingles"], "row")
+    keyed = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    found = jaccard_components(keyed, id_col=row).select(row, "component_id")
+    placed = materialise(found.join(keyed.select(row, "doc_id"), row), "placed")
+    first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)).alias("m")).select(f"m.{row}")
+    gone = materialise(placed.select(row).join(first, row, "left_anti"), "gone")
+    return keyed.join(gone, row, "left_anti").select(docs.columns)
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Without the rows that hold a window of a benchmark item."""
+    """Without the rows that hold a window of a benchmark item; each row is judged by its own text, so ids don't matter."""
     return without_matches(docs, table(spark, sf_dir, "benchmark"))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Every piece of every document and its bin."""
+    """Every piece of every row and its bin; null texts are empty ones, a null source is a source like others."""
     return pack(docs)
 
 

@@ -25,15 +25,20 @@ def count(text: Column, pattern: str) -> Column:
     return F.regexp_count(text, F.lit(pattern))
 
 
+def characters(text: Column, kind: str) -> Column:
+    """How many characters are of ``kind`` (one regex atom): those that go when its runs are removed."""
+    return F.length(text) - F.length(F.regexp_replace(text, f"{kind}+", ""))
+
+
 def verdict(text: Column, script: str = "Greek") -> Column:
     """The first reason to drop a source text, else ``kept``; cheap tests come first."""
     t = F.coalesce(text, F.lit(""))
-    n, letters = F.length(t), count(t, r"\p{L}")
+    n, letters = F.length(t), characters(t, r"\p{L}")
     urls = F.aggregate(F.regexp_extract_all(t, F.lit(r"(?iU)https?://\S+"), F.lit(0)), F.lit(0), lambda a, x: a + F.length(x))
     return (
         F.when(n < 200, "too_short").when(n > 20000, "too_long").when(letters == 0, "no_letters")
-        .when(count(t, rf"\p{{Is{script}}}") / letters < F.lit(0.6), "not_greek").when(urls / n > F.lit(0.05), "too_many_urls")
-        .when(count(t, r"\p{Lu}") / letters > F.lit(0.4), "too_much_upper").when(count(t, r"\p{P}") / n > F.lit(0.25), "too_much_punct").otherwise("kept")
+        .when(characters(t, rf"\p{{Is{script}}}") / letters < F.lit(0.6), "not_greek").when(urls / n > F.lit(0.05), "too_many_urls")
+        .when(characters(t, r"\p{Lu}") / letters > F.lit(0.4), "too_much_upper").when(characters(t, r"\p{P}") / n > F.lit(0.25), "too_much_punct").otherwise("kept")
     )
 
 

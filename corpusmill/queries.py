@@ -200,6 +200,14 @@ def filter_chain(spark, sf):
     return curate.outcomes(turns, config).select("ord", "prompt", "status")
 
 
+def kept_outcomes(spark, sf):
+    """Documents as outputs of one task, behind an opener that is stripped: the kept side of the chain, with its duplicates."""
+    config = CONFIG.having(lid_threshold=0.0)
+    text = F.concat(F.lit("Φυσικά! 1. "), "text")
+    docs = _docs(spark, sf).select(F.col("doc_id").alias("ord"), F.lit("tutorial").alias("prompt"), text.alias("text"))
+    return curate.outcomes(docs, config).select("ord", "status", F.md5(F.col("text").cast("binary")).alias("text_md5"))
+
+
 def failed_records(spark, sf):
     turns, config = _judged(spark, sf)
     return curate.outcomes(turns, config).where("status <> ''").select("ord", "prompt", F.md5(F.col("text").cast("binary")).alias("text_md5"), "language_confidence", F.col("status").alias("failure_reason"))
@@ -388,7 +396,7 @@ def endpoints(spark, sf):
 
 QUERIES = {f.__name__: f for f in (
     verdict_profile, scan_documents, profile_limited, truncate_docs, prompt_render, normalize_ws, lid_slices, lang_score, lang_gate, strip_preamble, refusal_flag, tokens, shingles,
-    minhash_sig, lsh_bands, near_dup_pairs, near_dedup, near_dedup_incremental, dup_audit, size_str, text_head, length_gate, format_gate, filter_chain, failed_records, filter_stats,
+    minhash_sig, lsh_bands, near_dup_pairs, near_dedup, near_dedup_incremental, dup_audit, size_str, text_head, length_gate, format_gate, filter_chain, kept_outcomes, failed_records, filter_stats,
     confidence_stats, prompt_fanout, resume_ids, resume_anti_join, first_per_source, max_docs, seen_counts, skip_counts, by_source, spot_check, rephrase_stub, route_buckets, shard_assign, merge_shards, publish_plan,
     source_order, stream_scan, source_fallback, shard_sizes, next_shards, shard_totals, seen_on_disk, kept_records, failed_shards, known_texts, shard_confidence, published, dataset_card, rephrase_errors, endpoints,
 )} | {f"format_{n}": _format(n) for n in PROMPTS}
@@ -533,6 +541,9 @@ ORACLE_SQL = {
     "endpoints": f"with e as (select doc_id, prompt, {_WORD("doc_id || '|' || prompt")} / 4294967296.0::double as x from documents cross join (select unnest({_words(PROMPTS)}) as prompt)) select doc_id, prompt, {_bucket(3)[:-4]}endpoint from e",
 } | {f"format_{p}": f"with {_DOCS} select doc_id, {_FORMAT[p].format(t='t')} as ok from d" for p in PROMPTS}
 _CHAIN = f"with {_TURNS}, {_JUDGED}, k as (select ord, prompt, st as t from l where local = ''), {_signature('k')}, {_BANDS}, edges as (select distinct a.ord as early, b.ord as late from bands a join bands b using (band, band_key) join k ka on ka.ord = a.ord join k kb on kb.ord = b.ord where a.ord < b.ord and ka.prompt = kb.prompt), {_kept()}, o as (select l.*, case when local <> '' then local when kept then '' else '{STATUSES[3]}' end as status from l left join final using (ord))"
+ORACLE_SQL["kept_outcomes"] = f"""with d as (select doc_id as ord, 'tutorial' as prompt, 'Φυσικά! 1. ' || coalesce(text, '') as t from documents),
+ l as (select ord, prompt, t, {_STRIPPED} as st, case when not (length(st) between 150 and 8000) then '{STATUSES[1]}' when not ({_GATE('st')}) then '{STATUSES[2]}' else '' end as local from d),
+ {_CHAIN[_CHAIN.index("k as (select ord, prompt, st"):]} select ord, status, md5(case when status = '' then st else t end) as text_md5 from o"""
 ORACLE_SQL["filter_chain"] = f"{_CHAIN} select ord, prompt, status from o"
 ORACLE_SQL["failed_records"] = f"{_CHAIN} select ord, prompt, md5(t) as text_md5, null::float as language_confidence, status as failure_reason from o where status <> ''"
 _NAMES = ("dropped_lang", "dropped_length", "dropped_format", "dropped_dup")

@@ -4,11 +4,13 @@ from __future__ import annotations
 
 import atexit
 import contextlib
+import shutil
 import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+ROW_GROUP = 16 << 20
 _made: list[tuple[SparkSession, str]] = []
 
 
@@ -39,11 +41,14 @@ def dropped(spark: SparkSession, path: str) -> None:
 def _remove() -> None:
     for spark, path in _made:
         with contextlib.suppress(Exception):  # the session may have ended
-            dropped(spark, path)
+            if path.startswith(("/", "file:")):
+                shutil.rmtree(path.removeprefix("file://").removeprefix("file:"), ignore_errors=True)
+            else:
+                dropped(spark, path)
 
 
 def stored(df: DataFrame, tag: str) -> DataFrame:
-    """``df`` written below spark.checkpoint.dir and read again."""
+    """``df`` written below spark.checkpoint.dir and read again. Small row groups keep little of it in an executor's heap."""
     path = scratch(df.sparkSession, tag)
-    df.write.parquet(path)
+    df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
