@@ -23,7 +23,9 @@ by one, if their sizes and shared parts allow a link; where both were compared w
 document, what they lack of it and have besides gives their exact overlap, without their sets.
 Components, and not the pairs, are the result, so this loses no link.
 
-Sets are told apart by 64-bit hashes. Documents with equal sets form one class from the start.
+Sets are told apart by 64-bit hashes, n-grams by the first 60 to 64 bits of theirs: 56 beside the
+fragment's number of 4 bits or more, 48 beside one of 16 or more. Documents with equal sets form one
+class from the start.
 """
 
 from __future__ import annotations
@@ -54,17 +56,30 @@ OVERLAP_PARTS = 2
 
 
 def _pack(h: np.ndarray, bits: int) -> bytes:
-    """Each hash without the ``bits`` that its fragment tells, in whole bytes."""
-    size = (71 - bits) // 8
-    return h.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :size].tobytes()
+    """Each hash without the ``bits`` that its fragment tells, in 7 bytes, or 6 beyond 65536 fragments."""
+    low = (h << np.uint64(bits)) >> np.uint64(64 - 8 * _width(bits))
+    return low.astype("<u8").view(np.uint8).reshape(-1, 8)[:, : _width(bits)].tobytes()
+
+
+def _width(bits: int) -> int:
+    return 7 if bits < 16 else 6
 
 
 def _unpack(raw: bytes, bits: int, part: int) -> np.ndarray:
-    size = (71 - bits) // 8
+    size = _width(bits)
     out = np.zeros((len(raw) // size, 8), np.uint8)
     out[:, :size] = np.frombuffer(raw, np.uint8).reshape(-1, size)
-    low = out.reshape(-1).view("<u8").astype(np.uint64) & np.uint64((1 << 64 - bits) - 1)
-    return low | np.uint64(part << 64 - bits)
+    low = out.reshape(-1).view("<u8").astype(np.uint64)
+    return (low << np.uint64(64 - 8 * size)) >> np.uint64(bits) | np.uint64(part << 64 - bits)
+
+
+def _holders(keys: np.ndarray, count: np.ndarray) -> tuple[bytes, bytes]:
+    """Class keys and how many n-grams follow for each, in two bytes; a class with more comes again."""
+    times = -(-count // 65535)
+    last = np.cumsum(times) - 1
+    rest = np.full(int(times.sum()), 65535, np.int64)
+    rest[last] = count - 65535 * (times - 1)
+    return np.repeat(keys, times).tobytes(), rest.astype("<u2").tobytes()
 
 
 def _runs(values: np.ndarray) -> Iterator[tuple[int, int]]:
@@ -99,12 +114,12 @@ def _by_fragment(sets: list[tuple[np.ndarray, np.ndarray]], bits: int) -> pa.Rec
     order = np.argsort(part, kind="stable")  # small numbers are dealt by their digits
     grams, keys, part = grams[order], keys[order], part[order]
     head = np.flatnonzero(np.concatenate([[True], (keys[1:] != keys[:-1]) | (part[1:] != part[:-1])]))
-    count = np.diff(np.concatenate([head, [len(grams)]])).astype(np.uint32)
+    count = np.diff(np.concatenate([head, [len(grams)]])).astype(np.int64)
     rows = []
     for lo, hi in _runs(part):
         a, b = np.searchsorted(head, (lo, hi))
         f = int(part[lo])
-        rows.append(_row(GRAMS, f, f, keys[head[a:b]].tobytes(), count[a:b].tobytes(), _pack(grams[lo:hi], bits)))
+        rows.append(_row(GRAMS, f, f, *_holders(keys[head[a:b]], count[a:b]), _pack(grams[lo:hi], bits)))
     return _table(rows)
 
 
@@ -152,7 +167,7 @@ def _shared(table: pa.Table, bits: int) -> pa.Table:
     if not table.num_rows:
         return out[0]
     f = table["key"][0].as_py()
-    keys = np.concatenate([np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)) for a, b in zip(table["a"].to_pylist(), table["b"].to_pylist(), strict=True)])
+    keys = np.concatenate([np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, "<u2")) for a, b in zip(table["a"].to_pylist(), table["b"].to_pylist(), strict=True)])
     grams = np.concatenate([_unpack(c, bits, f) for c in table["c"].to_pylist()])
     order = np.argsort(grams, kind="stable")
     sorted_ = grams[order]
@@ -177,7 +192,7 @@ def _shared(table: pa.Table, bits: int) -> pa.Table:
         rows = []
         for lo, hi in _runs(bucket):
             holder, count = np.unique(keys[lo:hi], return_counts=True)
-            rows.append(_row(GRAMS, int(bucket[lo]), f, holder.tobytes(), count.astype(np.uint32).tobytes(), _pack(grams[lo:hi], bits), held[lo:hi].astype(np.uint16).tobytes()))
+            rows.append(_row(GRAMS, int(bucket[lo]), f, *_holders(holder, count), _pack(grams[lo:hi], bits), held[lo:hi].astype(np.uint16).tobytes()))
         out.append(pa.Table.from_batches([_table(rows)]))
     return pa.concat_tables([x.cast(out[0].schema) for x in out])
 
@@ -197,7 +212,7 @@ def _survivors(table: pa.Table, bits: int, least: int, whole: int) -> pa.Table:
     keys, ids, size = keys[new], ids[new], size[new]
     holder, grams, held = [], [], []
     for part, a, b, c, d in zip(*(rows[x].to_pylist() for x in ("part", "a", "b", "c", "d")), strict=True):
-        holder.append(np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, np.uint32)))
+        holder.append(np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, "<u2")))
         grams.append(_unpack(c, bits, part))
         held.append(np.frombuffer(d, np.uint16))
     at = np.searchsorted(keys, np.concatenate(holder)) if holder else np.zeros(0, np.int64)
@@ -226,10 +241,11 @@ def _overlaps(pairs: DataFrame, sets: DataFrame, differences: bool = False) -> D
 
     ``differences`` adds what is shared of ``b``'s set, what ``a`` lacks of it, and what it has besides.
     """
-    parts = F.explode(F.transform(F.sequence(F.lit(0), F.lit(OVERLAP_PARTS - 1)), lambda p: F.struct(p.alias("part"), F.filter("grams", lambda g: F.pmod(g, F.lit(OVERLAP_PARTS)) == p).alias("own"))))
+    parts = F.explode(F.transform(F.sequence(F.lit(0), F.lit(OVERLAP_PARTS - 1)), lambda p: F.struct(p.alias("part"), F.filter("grams", lambda g: F.pmod(F.shiftrightunsigned(g, 48), F.lit(OVERLAP_PARTS)) == p).alias("own"))))
     cut = sets.select("node", "n", parts.alias("p")).select("node", "n", "p.part", "p.own")
     left = cut.select(F.col("node").alias("a"), F.col("n").alias("n_a"), "part", F.col("own").alias("own_a"))
-    right = cut.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "part", F.col("own").alias("own_b"))
+    leads = cut.join(pairs.select(F.col("b").alias("node")).distinct(), "node", "left_semi")
+    right = leads.select(F.col("node").alias("b"), F.col("n").alias("n_b"), "part", F.col("own").alias("own_b"))
     each = pairs.join(left, "a").join(right, ["b", "part"])
     if not differences:
         return each.select("a", "b", "n_a", "n_b", F.size(F.array_intersect("own_a", "own_b")).alias("both")).groupBy("a", "b", "n_a", "n_b").agg(F.sum("both").alias("both"))

@@ -659,3 +659,17 @@ def test_toxicity_counts_all_documents(spark):
     assert toxicity.toxicity_scores(docs.limit(0), model).collect() == []
     for few in (toxicity.train(docs, labels.limit(0)), toxicity.train(docs.limit(0), labels)):
         assert len({r.score for r in toxicity.toxicity_scores(docs, few).collect()}) == 1
+
+
+def test_ngram_blobs_round_trip():
+    from corpusmill.llm import ngram_join as join
+
+    rng = np.random.default_rng(6)
+    for bits, exact in ((4, 60), (6, 62), (8, 64), (13, 64), (16, 64), (20, 64)):
+        part = int(rng.integers(0, 1 << bits))
+        h = (rng.integers(0, 2**64, 1000, np.uint64) >> np.uint64(bits)) | np.uint64(part << 64 - bits)
+        got, drop = join._unpack(join._pack(h, bits), bits, part), np.uint64(64 - exact)
+        assert ((got >> drop) == (h >> drop)).all() and (got >> np.uint64(64 - bits) == part).all()
+    keys, count = np.arange(5, dtype=np.uint64), np.array([1, 65535, 65536, 200000, 3])
+    a, b = join._holders(keys, count)
+    assert (np.repeat(np.frombuffer(a, np.uint64), np.frombuffer(b, "<u2")) == np.repeat(keys, count)).all()
