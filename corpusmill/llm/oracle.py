@@ -81,3 +81,10 @@ NGRAM_JOIN = f"""with recursive d as ({_words('documents', 'doc_id', SPACED)}),
  m as (select x, min(y) as component_id from w group by 1),
  k as (select doc_id, len(own)::bigint as n_shingles, md5(array_to_string(list_sort(own), chr(10))) as own_key from s)
  select doc_id, n_shingles, case when n_shingles = 0 then doc_id else component_id end as component_id from k left join c using (own_key) left join m on m.x = c.head"""
+
+
+#: The article of a page as the tables' pages are marked up: one article element, with paragraphs, headings, breaks and these character references.
+_BLOCK = "trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_replace(x, '<[^>]*>', '', 'g'), '&quot;', '\"'), '&lt;', '<'), '&gt;', '>'), '&amp;?', '&', 'g'), '\\s+', ' ', 'g'))"
+HTML_TEXT = f"""with a as (select page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<br>', ' ', 'g') as html from pages),
+ b as (select page_id, url, array_to_string(list_filter(list_transform(string_split_regex(html, '</?(?:p|h1)>'), lambda x: {_BLOCK}), lambda x: x <> ''), chr(10)) as text from a)
+ select page_id, url, text, length(text) as n_chars from b"""

@@ -97,4 +97,5 @@ ORACLE_SQL = {
     "op6_licenses": oracle.licenses(LICENSE_PHRASES),
     "op7_decontamination": oracle.DECONTAMINATION,
     "op8_ngram_join": oracle.NGRAM_JOIN,
+    "op9_html_text": oracle.HTML_TEXT,
 }

@@ -618,7 +618,7 @@ def test_queries_match_sql(spark, sf):
     for path in glob.glob(f"{sf}/*.parquet"):
         con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
     show = lambda x: "-" if x is None else f"{float(x):.9g}" if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
-    assert set(queries.ORACLE_SQL) == {"op1_warc", "op2_url_filter", "op3_sharding", "op6_licenses", "op7_decontamination", "op8_ngram_join"}
+    assert set(queries.ORACLE_SQL) == {"op1_warc", "op2_url_filter", "op3_sharding", "op6_licenses", "op7_decontamination", "op8_ngram_join", "op9_html_text"}
     for name, sql in queries.ORACLE_SQL.items():
         got, result = queries.QUERIES[name](spark, sf), con.execute(sql)
         columns = [c[0] for c in result.description]
