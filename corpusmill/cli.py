@@ -52,6 +52,7 @@ def parser() -> argparse.ArgumentParser:
     p.add_argument("--dry-run", action=argparse.BooleanOptionalAction, default=True)
     p = sub.add_parser("refresh-readme")
     p.add_argument("--to", default="./data/published")
+    p.add_argument("--message", "-m", default="refresh the card")
     return top
 
 
@@ -59,7 +60,7 @@ def main(argv: list[str] | None = None, spark: SparkSession | None = None) -> No
     args, config = parser().parse_args(argv), Config.from_env()
     logging.basicConfig(level=logging.DEBUG if getattr(args, "verbose", False) else logging.INFO)
     if args.command == "refresh-readme":
-        sink.FolderPublisher(args.to).write_card(sink.card(config), force=True)
+        sink.FolderPublisher(args.to).write_card(sink.card(config), force=True, message=args.message)
         return
     spark = spark or SparkSession.builder.appName("corpusmill").getOrCreate()
     root = getattr(args, "root", None) or getattr(args, "input", None) or config.shards.root

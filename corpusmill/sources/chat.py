@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import contextlib
+import http.client
 import json
-import urllib.request
+import urllib.parse
 from dataclasses import dataclass
 
 from ..config import SYSTEM_PROMPT, Config
@@ -19,7 +21,10 @@ class ChatRephraser:
     top_p: float
     max_tokens: int
     repetition_penalty: float
-    timeout: float = 600.0
+    #: Seconds to connect, to send a request and to wait for its answer.
+    connect: float = 60.0
+    send: float = 300.0
+    read: float = 600.0
     system: str = SYSTEM_PROMPT
 
     @classmethod
@@ -36,9 +41,16 @@ class ChatRephraser:
         }
 
     def __call__(self, endpoint: str, prompt: str, request: str) -> str:
-        head = {"Content-Type": "application/json", "Authorization": f"Bearer {self.api_key}"}
-        post = urllib.request.Request(f"{endpoint}/chat/completions", json.dumps(self.body(request)).encode(), head, method="POST")
-        with urllib.request.urlopen(post, timeout=self.timeout) as answer:
+        at = urllib.parse.urlsplit(f"{endpoint}/chat/completions")
+        kind = http.client.HTTPSConnection if at.scheme == "https" else http.client.HTTPConnection
+        with contextlib.closing(kind(at.netloc, timeout=self.connect)) as link:
+            link.connect()
+            link.sock.settimeout(self.send)
+            link.request("POST", at.path, json.dumps(self.body(request)).encode(), {"Content-Type": "application/json", "Authorization": f"Bearer {self.api_key}"})
+            link.sock.settimeout(self.read)
+            answer = link.getresponse()
+            if answer.status != 200:
+                raise OSError(f"{answer.status} {answer.reason}")
             text = json.load(answer)["choices"][0]["message"]["content"]
         if not isinstance(text, str):
             raise ValueError("the answer has no text")

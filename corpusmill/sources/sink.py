@@ -6,6 +6,7 @@ to run; every shard of a run but its last has exactly the configured rows.
 
 from __future__ import annotations
 
+import logging
 import shutil
 from pathlib import Path
 from typing import Protocol
@@ -17,6 +18,8 @@ from ..config import FAILED, PROMPTS, RECORD, Config
 from ..operators.rows import shard_numbers
 from . import scan
 
+log = logging.getLogger(__name__)
+
 
 def write_shards(df: DataFrame, root: str, rows: int = 8000) -> None:
     """Appends records to ``root/kept`` and ``root/failed``, numbered within their prompt in the order of a hash of their id, zstd.
@@ -59,7 +62,7 @@ class Publisher(Protocol):
 
     def upload(self, local: str, remote: str) -> None: ...
 
-    def write_card(self, text: str, force: bool = False) -> bool: ...
+    def write_card(self, text: str, force: bool = False, message: str = "") -> bool: ...
 
 
 class FolderPublisher:
@@ -76,12 +79,13 @@ class FolderPublisher:
         to.parent.mkdir(parents=True, exist_ok=True)
         shutil.copyfile(local.removeprefix("file://").removeprefix("file:"), to)
 
-    def write_card(self, text: str, force: bool = False) -> bool:
+    def write_card(self, text: str, force: bool = False, message: str = "") -> bool:
         to = self.root / "README.md"
         if to.exists() and not force:
             return False
         self.root.mkdir(parents=True, exist_ok=True)
         to.write_text(text)
+        log.info("%s: %s", message or "a card is written", to)
         return True
 
 

@@ -173,7 +173,8 @@ def test_beats():
     assert progress.beats(0, 1999, 2000) == [] and progress.beats(1999, 6000, 2000) == [2000, 4000, 6000] and progress.beats(6000, 6001, 2000) == []
 
 
-def test_banding_and_commands(spark, tmp_path, capsys):
+def test_banding_and_commands(spark, tmp_path, capsys, monkeypatch):
+    monkeypatch.chdir(tmp_path)
     assert dedup.banding(0.8) == (dedup.BANDS, dedup.ROWS)
     text = "λύση " + " ".join(f"w{i}" for i in range(60))
     done = spark.createDataFrame([(text, f"u{i}", "d", "math", "m", 0.9, "") for i in range(3)], "text string, source_id string, source_data string, prompt string, model string, language_confidence double, status string")
@@ -182,6 +183,15 @@ def test_banding_and_commands(spark, tmp_path, capsys):
     assert "|  math|    3|  2|     1|" in capsys.readouterr().out
     cli.main(["read-shards", "faq", "--root", f"{tmp_path}/out", "--out", f"{tmp_path}/faq"], spark)
     cli.main(["read-shards", "--root", f"{tmp_path}/out", "--out", f"{tmp_path}/all"], spark)
+    assert "|    math|     1|   3|" in capsys.readouterr().out
+    cli.main(["spot-check", "--n", "8"], spark)  # nothing there yet
+    monkeypatch.setenv("LOCAL_SHARD_DIR", f"{tmp_path}/out")
+    cli.main(["spot-check", "--n", "8"], spark)
+    cli.main(["publish", "--input", f"{tmp_path}/out", "--to", f"{tmp_path}/hub", "--prompts", "math", "--dest-prefix", "x"], spark)
+    assert "math/x/part-00000.parquet" in capsys.readouterr().out and not (tmp_path / "hub").exists()
+    cli.main(["publish", "--input", f"{tmp_path}/out", "--to", f"{tmp_path}/hub", "--no-dry-run"], spark)
+    assert sorted(p.name for p in (tmp_path / "hub").rglob("*.*")) == ["README.md", "part-00000.parquet"]
+    cli.main(["refresh-readme", "--to", f"{tmp_path}/hub", "-m", "again"])
     assert spark.read.parquet(f"{tmp_path}/faq").count() == 0 and spark.read.parquet(f"{tmp_path}/all").count() == 3
 
 
