@@ -40,15 +40,15 @@ from pyspark.sql import types as T
 
 from . import words
 from .components import connected
-from .shared import lean, lean_group, materialise
+from .shared import gathered, lean, lean_group, materialise
 
 NO_ID = np.iinfo(np.int64).max
 BLOBS = "kind int, key int, part int, a binary, b binary, c binary, d binary"
 MEMBERS, CLASSES, GRAMS = 2, 0, 1
 #: Bytes of text whose n-grams make a fragment, and the least bits of a fragment's number.
 FRAGMENT_BYTES, FEWEST_BITS = 16 << 20, 4
-#: Fragments that a task takes, one after the other.
-TASK_FRAGMENTS = 4
+#: Bytes of text whose fragments a task takes, one after the other.
+TASK_BYTES = 48 << 20
 #: N-grams that a map task holds before it emits them.
 BUFFER_GRAMS = 1 << 19
 #: Fragments in which the overlaps of pairs are counted.
@@ -275,30 +275,31 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     keep one row for each. Other columns are ignored. An empty table gives an empty result.
     """
     texts = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
-    volume = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    bits = max(FEWEST_BITS, (volume // FRAGMENT_BYTES).bit_length())
+    volume, n_docs = texts.agg(F.sum(F.octet_length("text")), F.count("*")).first()
+    bits = max(FEWEST_BITS, ((volume or 0) // FRAGMENT_BYTES).bit_length())
     cut = texts.mapInArrow(lambda it: lean(_cut(it, k, bits)), BLOBS)
-    by_key = lambda df, f, kind: df.repartitionById(1 << bits, F.col("key")).groupBy("key").applyInArrow(lambda t: lean_group(f, t), kind).coalesce(max(1, (1 << bits) // TASK_FRAGMENTS))
+    by_key = lambda df, f, kind: df.repartitionById(1 << bits, F.col("key")).groupBy("key").applyInArrow(lambda t: lean_group(f, t), kind).coalesce(max(1, -(-(volume or 0) // TASK_BYTES)))
     blobs = materialise(by_key(cut, lambda x: _shared(x, bits), BLOBS), "grams")
     classes = materialise(by_key(blobs.where(F.col("kind") != MEMBERS), lambda x: _survivors(x, bits, least, whole), SETS), "classes")
     members = blobs.where(F.col("kind") == MEMBERS).select("a", "b", "c", "d").mapInArrow(_members, "id long, node long, n long")
 
     sets = classes.where("probe > 0")
     tokens = materialise(sets.select("node", "n", F.size("grams").alias("s"), F.explode(F.slice("grams", 1, F.col("probe"))).alias("gram")), "tokens")
+    n_sets, n_tokens = sets.count(), tokens.count()
     lead = tokens.groupBy("gram").agg(F.min(F.struct((F.col("n") - F.col("s")).alias("own"), "node", "n", "s")).alias("lead"), F.count("*").alias("held")).where("held > 1")
     near = tokens.select("gram", F.col("node").alias("a"), F.col("n").alias("n_a"), F.col("s").alias("s_a")).join(lead.select("gram", F.col("lead.node").alias("b"), F.col("lead.n").alias("n_b"), F.col("lead.s").alias("s_b")), "gram")
     shared = F.least("s_a", "s_b")
     votes = near.where((F.col("a") != F.col("b")) & _allowed(shared, least, whole)).groupBy("a", "b").count()
     first = votes.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
-    scored = materialise(_overlaps(first, sets, differences=True), "scored")
-    links = _linked(scored, least, whole)
+    scored = materialise(_overlaps(first, sets, differences=True), "scored", n_sets, 20_000)
+    links = materialise(_linked(scored, least, whole), "linked", n_sets)
 
     # Two documents compared with the same one differ from it in little, and those differences give their overlap.
     known = connected(links)
     against = scored.select(F.col("a").alias("node"), F.col("b").alias("lead"), F.col("s_b").alias("s_lead"), "lost", "added")
     mine = tokens.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = mine.groupBy("gram").agg(F.min(F.struct(F.col("n") - F.col("s"), "node", "component")).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gram", F.col("head.component").alias("main"))
-    open_ = materialise(mine.join(heads, "gram").join(against, "node", "left"), "open")
+    open_ = materialise(mine.join(heads, "gram").join(against, "node", "left"), "open", n_tokens)
     side = lambda x: open_.select("gram", "main", *[F.col(c).alias(f"{k}_{x}") for c, k in (("node", "id"), ("n", "n"), ("s", "s"), ("component", "c"), ("lead", "lead"), ("s_lead", "t"), ("lost", "lost"), ("added", "added"))])
     left, right = side("a").where("c_a <> main"), side("b").drop("main", "t_b")
     fresh = ~F.col("lead_a").eqNullSafe(F.col("id_b")) & ~F.col("lead_b").eqNullSafe(F.col("id_a"))
@@ -307,13 +308,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     exact = F.col("t_a") - F.size(F.array_union("lost_a", "lost_b")) + F.size(F.array_intersect("added_a", "added_b"))
     may = (F.col("c_a") != F.col("c_b")) & once & fresh & _allowed(shared, least, whole)
     rest = left.join(right, "gram").where(F.when(may, F.when(same, _allowed(exact, least, whole)).otherwise(True)).otherwise(False))
-    rest = materialise(rest.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), same.alias("sure")).distinct(), "rest")
-    links = materialise(links.unionByName(rest.where("sure").select("a", "b")).unionByName(_linked(_overlaps(rest.where("not sure").select("a", "b"), sets), least, whole)), "links")
+    rest = materialise(rest.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), same.alias("sure")).distinct(), "rest", n_tokens)
+    links = materialise(links.unionByName(rest.where("sure").select("a", "b")).unionByName(_linked(_overlaps(rest.where("not sure").select("a", "b"), sets), least, whole)), "links", n_sets + rest.count())
 
     found = connected(links)
     named = found.join(classes.select("node", "least_id"), "node")
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
-    labelled = materialise(classes.select("node", "least_id").join(found.join(ids, "component").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id")), "named")
+    labelled = materialise(classes.select("node", "least_id").join(found.join(ids, "component").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id")), "named", n_docs)
     full = members.where("node <> 0").join(labelled, "node").select("id", "n", "component_id")
-    every = full.unionByName(members.where("node = 0").select("id", "n", F.col("id").alias("component_id")))
+    every = gathered(full, n_docs, 20_000).unionByName(members.where("node = 0").select("id", "n", F.col("id").alias("component_id")))
     return every.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))

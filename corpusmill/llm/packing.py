@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .ngram_join import jaccard_components
-from .shared import lean_group, materialise
+from .shared import gathered, lean_group, materialise
 
 GROUP_ROWS = 4096
 BINS = "id long, piece int, start long, length long, source string, cluster long, bin string, used long"
@@ -123,7 +123,8 @@ def pack(docs: DataFrame, capacity: int = 8192, length: Column | None = None, cl
     rows = docs.select(F.col(id_col).cast("long").alias("id"), length.cast("long").alias("length"), F.coalesce(F.col(source_col).cast("string"), F.lit("")).alias("source"), cluster.cast("long").alias("cluster"), cuts.alias("cuts"), F.monotonically_increasing_id().alias("row"))
     groups = max(1, -(-docs.select(F.col(id_col)).count() // group_rows))
     dealt = rows.withColumn("group", F.pmod(F.xxhash64("id", "length", "row"), F.lit(groups)).cast("int")).drop("row")
-    return dealt.groupBy("group").applyInArrow(lambda t: lean_group(lambda x: _pack(x, capacity), t), BINS).withColumnRenamed("id", id_col)
+    packed = dealt.groupBy("group").applyInArrow(lambda t: lean_group(lambda x: _pack(x, capacity), t), BINS)
+    return gathered(packed, groups, 1).withColumnRenamed("id", id_col)
 
 
 def pack_apart(docs: DataFrame, capacity: int = 8192, id_col: str = "doc_id", source_col: str = "source", text_col: str = "text", group_rows: int = GROUP_ROWS) -> DataFrame:
@@ -136,5 +137,5 @@ def pack_apart(docs: DataFrame, capacity: int = 8192, id_col: str = "doc_id", so
     keyed = docs.select(id_col, source_col, text.alias("text"), F.xxhash64(F.col(id_col), text).alias("key"))
     found = jaccard_components(keyed, id_col="key", text_col="text").where("n_shingles > 0").groupBy("key").agg(F.min("component_id").alias("component"))
     rows = keyed.select(id_col, source_col, "key", (F.octet_length("text") + 1).alias("length"), F.xxhash64("text").alias("equal"), byte_cuts(F.col("text"), capacity).alias("cuts")).join(found, "key", "left")
-    rows = materialise(rows.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), "length", "cuts", F.coalesce("component", "equal").alias("component")), "clusters")
+    rows = materialise(rows.select(F.col(id_col).alias("id"), F.col(source_col).alias("source"), "length", "cuts", F.coalesce("component", "equal").alias("component")), "clusters", docs.count(), 20_000)
     return pack(rows, capacity, F.col("length"), F.col("component"), "id", "source", group_rows=group_rows, cuts=F.col("cuts"), text_col="source").withColumnRenamed("id", id_col)

@@ -14,9 +14,17 @@ from pyspark.sql import DataFrame, SparkSession
 from ..storage import scratch, stored  # noqa: F401
 
 
-def materialise(df: DataFrame, tag: str) -> DataFrame:
-    """Write ``df`` as Parquet in the shared folder and read it again: lineage ends, executors may be lost."""
-    return stored(df, tag)
+def materialise(df: DataFrame, tag: str, rows: int | None = None, task_rows: int = 100_000) -> DataFrame:
+    """Write ``df`` as Parquet in the shared folder and read it again: lineage ends, executors may be lost.
+
+    Where at most ``rows`` rows are known to come, some ``task_rows`` of them make a task and a file.
+    """
+    return stored(df if rows is None else gathered(df, rows, task_rows), tag)
+
+
+def gathered(df: DataFrame, rows: int, task_rows: int = 100_000) -> DataFrame:
+    """The same rows in as few tasks as have some ``task_rows`` each, without a shuffle."""
+    return df.coalesce(max(1, -(-rows // task_rows)))
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
