@@ -33,10 +33,11 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     """
     (row,) = fresh_names([*docs.columns, "component_id", "n_shingles"], "row")
     keyed = materialise(docs.withColumn(row, F.monotonically_increasing_id()), "keyed")
+    rows = keyed.count()
     found = jaccard_components(keyed, id_col=row).select(row, "component_id")
-    placed = materialise(found.join(keyed.select(row, "doc_id"), row), "placed")
+    placed = materialise(found.join(keyed.select(row, "doc_id"), row), "placed", rows)
     first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)).alias("m")).select(f"m.{row}")
-    gone = materialise(placed.select(row).join(first, row, "left_anti"), "gone")
+    gone = materialise(placed.select(row).join(first, row, "left_anti"), "gone", rows)
     return keyed.join(gone, row, "left_anti").select(docs.columns)
 
 
