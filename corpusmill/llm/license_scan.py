@@ -32,6 +32,13 @@ TEMPLATES: list[tuple[str, str, list[tuple[int, str]]]] = [
     ("cc-by-sa", "licensed under cc by sa 4 0", [(2, "cc by sa")]),
     ("bsd", "redistribution and use in source and binary forms with or without modification are permitted", [(0, "redistribution and use in source and binary forms")]),
     ("mpl-2", "subject to the terms of the mozilla public license v 2 0", [(6, "mozilla public license")]),
+    ("gpl-2", "you can redistribute it and or modify it under the terms of the gnu general public license version 2", [(13, "gnu general public license version 2")]),
+    ("agpl-3", "licensed under the gnu affero general public license version 3", [(3, "gnu affero general public license")]),
+    ("isc", "permission to use copy modify and or distribute this software for any purpose", [(0, "permission to use copy modify and or distribute this software")]),
+    ("boost", "distributed under the boost software license version 1 0", [(3, "boost software license")]),
+    ("epl-2", "made available under the terms of the eclipse public license 2 0", [(7, "eclipse public license")]),
+    ("unlicense", "this is free and unencumbered software released into the public domain", [(2, "free and unencumbered software")]),
+    ("cc0", "dedicated to the public domain under cc0 1 0 universal", [(6, "cc0 1 0 universal")]),
     ("all-rights-reserved", "all rights reserved", [(0, "all rights reserved")]),
 ]
 
@@ -58,7 +65,7 @@ def license_scan(docs: DataFrame, phrases: dict[str, str], templates=None, id_co
     in which postings are intersected. Null and empty texts have no words or labels and score 0;
     repeated rows are returned as often as they come; other columns are ignored.
     """
-    templates = TEMPLATES if templates is None else templates
+    templates = TEMPLATES if templates is None else templates or [("", "-", [(0, "-")])]  # no word is a hyphen
     notices = [n.split() for _, n, _ in templates] + [p.split() for p in phrases]
     keys = [[(p + j, w) for p, k in own for j, w in enumerate(k.split())] for _, _, own in templates] + [list(enumerate(p.split())) for p in phrases]
     labels = [t[0] for t in templates] + list(phrases.values())

@@ -88,3 +88,46 @@ _BLOCK = "trim(regexp_replace(regexp_replace(replace(replace(replace(regexp_repl
 HTML_TEXT = f"""with a as (select page_id, url, regexp_replace(regexp_extract(html, '(?s)<article>(.*)</article>', 1), '<br>', ' ', 'g') as html from pages),
  b as (select page_id, url, array_to_string(list_filter(list_transform(string_split_regex(html, '</?(?:p|h1)>'), lambda x: {_BLOCK}), lambda x: x <> ''), chr(10)) as text from a)
  select page_id, url, text, length(text) as n_chars from b"""
+
+
+_M64 = "18446744073709551616::uhugeint"
+
+
+def _times(a: str, b: str) -> str:
+    return f"(({a})::uhugeint * ({b})::uhugeint % {_M64})::ubigint"
+
+
+def _mixed(source: str, value: str, name: str, columns: str) -> str:
+    """``name(columns, v)``: the finaliser of splitmix64 of ``value`` of ``source``, in three steps."""
+    return f"""{name}1 as (select {columns}, {_times("xor(x, x >> 30)", "13787848793156543929")} as x from (select {columns}, {value} as x from {source})),
+ {name}2 as (select {columns}, {_times("xor(x, x >> 27)", "10723151780598845931")} as x from {name}1),
+ {name} as (select {columns}, xor(x, x >> 31) as v from {name}2)"""
+
+
+_BASE = 0x9E3779B97F4A7C15
+_SHINGLE = " + ".join(f"coalesce({_times(f'h{j}', f's[{j + 1}]')}, 0)::uhugeint" for j in range(5))
+FINGERPRINTS = f"""with {_mixed("(select unnest(range(1, 6)) as j)", "j::ubigint", "mx", "j")},
+ slots as (select list(v | 1 order by j) as s from mx),
+ d as (select doc_id, coalesce(text, '') as t from documents),
+ n as (select doc_id, t, coalesce(lead(doc_id) over w, max(doc_id) over ()) as after from d window w as (order by doc_id desc)),
+ e as (select n.doc_id, n.t, after, substr(n.t, 1, length(n.t) - length(n.t) // 3) || substr(d.t, 1, length(n.t) // 3) as ed from n join d on d.doc_id = after),
+ x as (select doc_id, 0 as kind, t as text from e union all select doc_id, 1, ed from e),
+ k as ({_words("x", "doc_id, kind", SPACED)}),
+ p as (select doc_id, kind, len(k) as n, unnest(k) as w, unnest(range(len(k))) as i from k),
+ u as (select w, strlen(w) as size, list_reduce(list_transform(list_reverse(regexp_extract_all(hex(encode(w)), '..')), lambda y: ('0x' || y)::uhugeint), lambda a, y: (a * {_BASE}::uhugeint + y + 1) % {_M64}, 0::uhugeint) as x from (select distinct w from p)),
+ {_mixed("u", f"((x + size::uhugeint) % {_M64})::ubigint", "hw", "w")},
+ g as (select doc_id, kind, n, i, v as h0, lead(v) over o as h1, lead(v, 2) over o as h2, lead(v, 3) over o as h3, lead(v, 4) over o as h4 from p join hw using (w) window o as (partition by doc_id, kind order by i)),
+ {_mixed("(select * from g cross join slots where i = 0 or i + 5 <= n)", f"(({_times('least(n, 5)', str(_BASE))}::uhugeint + {_SHINGLE}) % {_M64})::ubigint", "hs", "doc_id, kind")},
+ f as materialized (select distinct doc_id, kind, v from hs),
+ low as (select doc_id, kind, min(v) as least, count(*) as n, count(*) filter (v < 2305843009213693952) as few from f group by 1, 2),
+ r as materialized (select distinct doc_id, kind, v >> 16 as v from f join low using (doc_id, kind) where v < 2305843009213693952 or few = 0 and v = least),
+ z as (select doc_id, kind, count(*) as m, string_agg(printf('%012x', v::bigint), '' order by v) as print from r group by 1, 2),
+ pairs as (select doc_id, 'e' as what, doc_id as b, 1 as kb from e union all select doc_id, 'n', after, 0 from e),
+ bf as (select pairs.doc_id, what, count(*) as c from pairs join f x on x.doc_id = pairs.doc_id and x.kind = 0 join f y on y.doc_id = b and y.kind = kb and y.v = x.v group by 1, 2),
+ br as (select pairs.doc_id, what, count(*) as c from pairs join r x on x.doc_id = pairs.doc_id and x.kind = 0 join r y on y.doc_id = b and y.kind = kb and y.v = x.v group by 1, 2),
+ near as (select pairs.doc_id, pairs.what, case when coalesce(la.n, 0) = 0 or coalesce(lb.n, 0) = 0 then (coalesce(la.n, 0) = coalesce(lb.n, 0))::int::double
+  when least(za.m, zb.m) >= 64 then coalesce(br.c, 0)::double / least(za.m, zb.m) else coalesce(bf.c, 0)::double / least(la.n, lb.n) end as near
+  from pairs left join low la on la.doc_id = pairs.doc_id and la.kind = 0 left join low lb on lb.doc_id = b and lb.kind = kb left join z za on za.doc_id = pairs.doc_id and za.kind = 0 left join z zb on zb.doc_id = b and zb.kind = kb
+  left join bf on bf.doc_id = pairs.doc_id and bf.what = pairs.what left join br on br.doc_id = pairs.doc_id and br.what = pairs.what)
+ select e.doc_id, length(t) as n_chars, sha256(ed) as edited_sha256, coalesce(z0.print, '') as fingerprint, coalesce(z1.print, '') as edited_fingerprint, ne.near as near_edited, nn.near as near_next
+ from e left join z z0 on z0.doc_id = e.doc_id and z0.kind = 0 left join z z1 on z1.doc_id = e.doc_id and z1.kind = 1 join near ne on ne.doc_id = e.doc_id and ne.what = 'e' join near nn on nn.doc_id = e.doc_id and nn.what = 'n'"""

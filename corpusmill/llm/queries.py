@@ -94,6 +94,7 @@ ORACLE_SQL = {
     "op1_warc": oracle.WARC,
     "op2_url_filter": f"with u as (select page_id, coalesce({_HOST}, '') as host, coalesce({_PATH}, '') as path from pages) select page_id, host, path, {_RULE} as rule, {_VERDICT} as verdict from u",
     "op3_sharding": oracle.SHARDING,
+    "op4_fingerprints": oracle.FINGERPRINTS,
     "op6_licenses": oracle.licenses(LICENSE_PHRASES),
     "op7_decontamination": oracle.DECONTAMINATION,
     "op8_ngram_join": oracle.NGRAM_JOIN,

@@ -82,7 +82,7 @@ def test_ngram_join(edges, docs):
 def test_suffix_matches(spark, edges, docs, sf):
     bench = spark.read.parquet(f"{sf}/benchmark.parquet").select("item_id", "text")
     extra = spark.createDataFrame([(1, "a b C"), (2, "one"), (3, None), (4, " ".join(f"w{i}" for i in range(5, 40))), (5, "w7 w8"), (6, " ".join("y" * 30 for _ in range(9))), (7, "-" * 99)], "item_id long, text string")
-    for df, items, block in ((edges, extra, 10), (edges, extra, 10**6), (docs, bench.unionByName(extra), 2000), (edges.limit(0), extra, 10), (edges, extra.limit(0), 10)):
+    for df, items, block in ((edges, extra, 24), (docs, bench.unionByName(extra), 4000), (edges.limit(0), extra, 10**6), (edges, extra.limit(0), 10)):
         windows = collections.defaultdict(set)
         for i, t in items.collect():
             w = ALNUM.findall((t or "").translate(ASCII))
@@ -323,6 +323,22 @@ def test_license_scan_finds_frequent_key_phrases(spark):
             assert got[i].labels == ",".join(want) and len(got[i].places) == len(want) and (got[i].score > 0) == bool(want)
 
 
+def test_license_scan_templates(spark):
+    from corpusmill.llm.license_scan import TEMPLATES
+
+    texts = [n for _, n, _ in TEMPLATES] + [" ".join(w for _, w in k[2]) + " only" for k in TEMPLATES] + ["mit", "licensed under the gnu", None, "", "x " * 10**6 + TEMPLATES[3][1]]
+    docs = spark.createDataFrame([(i, t, "w") for i, t in enumerate(texts)], "doc_id long, text string, words string")
+    got = {r.doc_id: r for r in license_scan(docs, {}).collect()}
+    n = len(TEMPLATES)
+    for i, (label, notice, keys) in enumerate(TEMPLATES):
+        assert label in got[i].labels.split(",") and got[i].score == 1.0 and (label, 0) in [tuple(p) for p in got[i].places]
+        assert label in got[n + i].labels.split(",") and (label, -keys[0][0]) in [tuple(p) for p in got[n + i].places]
+    assert all(got[2 * n + k].labels == "" and got[2 * n + k].score == 0 for k in range(4))
+    assert got[2 * n + 4].labels == "gpl-3" and [p.first_word for p in got[2 * n + 4].places] == [10**6]
+    bare = {r.doc_id: r for r in license_scan(docs, {"mit license": "mit"}, templates=[]).collect()}
+    assert bare[0].labels == "mit" and bare[0].n_base == 1 and bare[0].score == 0 and {r.labels for r in license_scan(docs, {}, templates=[]).collect()} == {""}
+
+
 def test_license_scan_folds_only_ascii(spark):
     texts = ["\u212aopie libre \u00e9t\u00e9", "Kopie libre \u00c9T\u00c9", "x Kopie LIBRE \u00e9t\u00e9", "M\u0130T License, under the MIT License"]
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
@@ -522,9 +538,10 @@ def test_packing_is_best_fit(spark):
 
 
 def test_packing_cuts_between_code_points(spark):
-    texts = ["é" * 30, "a" + "é" * 30, "𝔘" * 9 + "x", "x" * 21, "x" * 6, "x" * 7, "", None, "語" * 4000 + "é" * 3000, "x" * 20000]
-    docs = spark.createDataFrame([(i, t, f"s{i}", 1, "c") for i, t in enumerate(texts)] + [(None, None, None, 1, "c")] * 3, "doc_id long, text string, source string, length int, cluster string")
+    texts = ["é" * 30, "a" + "é" * 30, "𝔘" * 9 + "x", "x" * 21, "x" * 6, "x" * 7, "", None, "語" * 400 + "é" * 300, "x" * 2000]
     for capacity in (4, 7, 8192):
+        texts[-2:] = ["語" * capacity + "é" * 300, "x" * 10 * capacity]
+        docs = spark.createDataFrame([(i, t, f"s{i}", 1, "c") for i, t in enumerate(texts)] + [(None, None, None, 1, "c")] * 3, "doc_id long, text string, source string, length int, cluster string")
         pieces = collections.defaultdict(list)
         got = packing.pack(docs, capacity=capacity).collect()
         for r in got:
@@ -618,7 +635,7 @@ def test_queries_match_sql(spark, sf):
     for path in glob.glob(f"{sf}/*.parquet"):
         con.execute(f"create view {os.path.basename(path)[:-8]} as select * from '{path}'")
     show = lambda x: "-" if x is None else f"{float(x):.9g}" if isinstance(x, (int, float)) and not isinstance(x, bool) else str(x)
-    assert set(queries.ORACLE_SQL) == {"op1_warc", "op2_url_filter", "op3_sharding", "op6_licenses", "op7_decontamination", "op8_ngram_join", "op9_html_text"}
+    assert set(queries.ORACLE_SQL) == {"op1_warc", "op2_url_filter", "op3_sharding", "op4_fingerprints", "op6_licenses", "op7_decontamination", "op8_ngram_join", "op9_html_text"}
     for name, sql in queries.ORACLE_SQL.items():
         got, result = queries.QUERIES[name](spark, sf), con.execute(sql)
         columns = [c[0] for c in result.description]
