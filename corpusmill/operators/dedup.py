@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..functions.text import shingles, tokens
-from ..storage import stored
+from ..storage import discard, stored
 
 PRIME = 2**31 - 1
 #: Bands and rows for 128 values at 0.8.
@@ -96,10 +96,13 @@ def first_kept(banded: DataFrame, scope: list[str], ord_col: str = "ord") -> Dat
     earliest document is found by a partial minimum, and every round is written.
     """
     node, keys = [*scope, ord_col], [*scope, "band", "band_key"]
-    left, decided = banded.select(*node, "band", "band_key"), []
+    left, decided, past = banded.select(*node, "band", "band_key"), [], None
     while True:
         head = left.groupBy(*keys).agg(F.min(ord_col).alias("head"))
         left = stored(left.join(head, keys), "bands")
+        if past is not None:
+            discard(past)
+        past = left
         kept = stored(left.groupBy(*node).agg(F.bool_and(F.col("head") == F.col(ord_col)).alias("first")).where("first").select(*node), "kept")
         if kept.isEmpty():
             break

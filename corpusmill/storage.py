@@ -51,4 +51,12 @@ def stored(df: DataFrame, tag: str) -> DataFrame:
     """``df`` written below spark.checkpoint.dir and read again. Small row groups keep little of it in an executor's heap."""
     path = scratch(df.sparkSession, tag)
     df.write.option("parquet.block.size", ROW_GROUP).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    out = df.sparkSession.read.schema(df.schema).parquet(path)
+    out.scratch_path = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Remove what ``stored`` wrote for ``tables``; nothing may be read from them any more."""
+    for table in tables:
+        dropped(table.sparkSession, table.scratch_path)
