@@ -40,7 +40,7 @@ from pyspark.sql import types as T
 
 from . import words
 from .components import connected
-from .shared import gathered, lean, lean_group, materialise
+from .shared import discard, gathered, lean, lean_group, materialise
 
 NO_ID = np.iinfo(np.int64).max
 BLOBS = "kind int, key int, part int, a binary, b binary, c binary, d binary"
@@ -292,10 +292,10 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     votes = near.where((F.col("a") != F.col("b")) & _allowed(shared, least, whole)).groupBy("a", "b").count()
     first = votes.groupBy("a").agg(F.max(F.struct("count", "b")).alias("m")).select("a", F.col("m.b").alias("b"))
     scored = materialise(_overlaps(first, sets, differences=True), "scored", n_sets, 20_000)
-    links = materialise(_linked(scored, least, whole), "linked", n_sets)
+    linked = materialise(_linked(scored, least, whole), "linked", n_sets)
 
     # Two documents compared with the same one differ from it in little, and those differences give their overlap.
-    known = connected(links)
+    known = connected(linked)
     against = scored.select(F.col("a").alias("node"), F.col("b").alias("lead"), F.col("s_b").alias("s_lead"), "lost", "added")
     mine = tokens.join(known, "node", "left").withColumn("component", F.coalesce("component", "node"))
     heads = mine.groupBy("gram").agg(F.min(F.struct(F.col("n") - F.col("s"), "node", "component")).alias("head"), F.min("component").alias("lo"), F.max("component").alias("hi")).where("lo < hi").select("gram", F.col("head.component").alias("main"))
@@ -309,12 +309,13 @@ def jaccard_components(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     may = (F.col("c_a") != F.col("c_b")) & once & fresh & _allowed(shared, least, whole)
     rest = left.join(right, "gram").where(F.when(may, F.when(same, _allowed(exact, least, whole)).otherwise(True)).otherwise(False))
     rest = materialise(rest.select(F.least("id_a", "id_b").alias("a"), F.greatest("id_a", "id_b").alias("b"), same.alias("sure")).distinct(), "rest", n_tokens)
-    links = materialise(links.unionByName(rest.where("sure").select("a", "b")).unionByName(_linked(_overlaps(rest.where("not sure").select("a", "b"), sets), least, whole)), "links", n_sets + rest.count())
+    links = materialise(linked.unionByName(rest.where("sure").select("a", "b")).unionByName(_linked(_overlaps(rest.where("not sure").select("a", "b"), sets), least, whole)), "links", n_sets + rest.count())
 
     found = connected(links)
     named = found.join(classes.select("node", "least_id"), "node")
     ids = named.groupBy("component").agg(F.min("least_id").alias("component_id"))
     labelled = materialise(classes.select("node", "least_id").join(found.join(ids, "component").select("node", "component_id"), "node", "left").select("node", F.coalesce("component_id", "least_id").alias("component_id")), "named", n_docs)
+    discard(classes, tokens, scored, linked, open_, rest, links)
     full = members.where("node <> 0").join(labelled, "node").select("id", "n", "component_id")
     every = gathered(full, n_docs, 20_000).unionByName(members.where("node = 0").select("id", "n", F.col("id").alias("component_id")))
     return every.select(F.col("id").alias(id_col), F.col("n").alias("n_shingles"), F.when(F.col("id").isNotNull(), F.col("component_id")).alias("component_id"))

@@ -11,7 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 
-from ..storage import scratch, stored  # noqa: F401
+from ..storage import discard, scratch, stored  # noqa: F401
 
 
 def materialise(df: DataFrame, tag: str, rows: int | None = None, task_rows: int = 100_000) -> DataFrame:

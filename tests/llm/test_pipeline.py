@@ -42,7 +42,8 @@ def test_stages_tell_rows_apart_without_ids(spark, sf):
     assert sorted(((r.doc_id or 0, r.text or "") for r in out)) == sorted([(0, clean), (5, other), (5, other), (6, "")])
 
 
-def test_toxicity_stage_by_hand(spark, sf):
+def test_toxicity_stage_by_hand(spark):
+    sf = "/root/testdata/sf0.01"
     from corpusmill.llm import toxicity
 
     docs = table(spark, sf, "documents").where("doc_id % 2 = 0")
