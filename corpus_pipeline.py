@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from corpusmill.llm.ngram_join import jaccard_components
 from corpusmill.llm.packing import pack
 from corpusmill.llm.queries import held_out
-from corpusmill.llm.shared import fresh_names, materialise, table
+from corpusmill.llm.shared import discard, fresh_names, materialise, table
 from corpusmill.llm.suffix_match import without_matches
 from corpusmill.llm.toxicity import train, without_toxic
 
@@ -38,6 +38,7 @@ def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
     placed = materialise(found.join(keyed.select(row, "doc_id"), row), "placed", rows)
     first = placed.groupBy("component_id").agg(F.min(F.struct(F.col("doc_id").isNull().alias("last"), "doc_id", row)).alias("m")).select(f"m.{row}")
     gone = materialise(placed.select(row).join(first, row, "left_anti"), "gone", rows)
+    discard(placed)
     return keyed.join(gone, row, "left_anti").select(docs.columns)
 
 
@@ -63,7 +64,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, before = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES:
         docs = materialise(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        if before is not None:
+            discard(before)
+        before = docs
     return docs
