@@ -155,10 +155,17 @@ def format_ok(text: Column, prompt: Column) -> Column:
 
 
 def size_text(n: Column) -> Column:
-    """Bytes in the largest fitting unit of 1024, one decimal."""
-    out = F.format_string("%.1fTB", n / 1024.0**4)
+    """Whole bytes in the largest fitting unit of 1024, one decimal as C's printf has it: the double's exact value, ties to even. Null stays null."""
+
+    def shown(k: int, unit: str) -> Column:
+        # dividing by a power of two, taking off the whole part and ten times the rest (at most 40 bits) are exact
+        x = n / F.lit(1024.0**k)
+        tenths = F.rint((x - F.floor(x)) * 10.0).cast("int")
+        return F.concat(F.floor(x) + F.floor(tenths / 10), F.lit("."), tenths % 10, F.lit(unit))
+
+    out = shown(4, "TB")
     for k, unit in reversed(list(enumerate(("B", "KB", "MB", "GB")))):
-        out = F.when(n < 1024 ** (k + 1), F.format_string(f"%.1f{unit}", n / float(1024**k))).otherwise(out)
+        out = F.when(n < 1024 ** (k + 1), shown(k, unit)).otherwise(out)
     return out
 
 

@@ -65,6 +65,16 @@ def test_small_functions(spark):
     assert Config().having(lid_threshold="0.5", rows_per_flush=7, progress_every="3") == Config().having(lid_threshold=0.5).having(rows_per_flush="7", progress_every=3)
 
 
+def test_sizes_round_as_c_does(spark):
+    """Halves go to the even digit and 0.45 is below a half; Java's format takes both up."""
+    sizes = [0, 256, 1280, 1792, 3840, 2**20 - 1, 2**20 + 2**18, 398720204, 2**40 + 2**38, 2**40 * 8192 + 494780232499, 2**53 + 1, 2**63 - 1, 1023, 1024, -(2**40)]
+    df = spark.createDataFrame(list(enumerate([*sizes, None])), "i long, n long")
+    sql, listed = queries.ORACLE_SQL["size_str"].split("select doc_id, ")[2], ", ".join(map(str, [*sizes, "null"]))
+    want = [w for (w,) in duckdb.sql(f"with x as (select unnest([{listed}]::bigint[]) as n) select {sql}").fetchall()]
+    assert [r.s for r in df.orderBy("i").select(tx.size_text(F.col("n")).alias("s")).collect()] == want
+    assert want[2:5] == ["1.2KB", "1.8KB", "3.8KB"] and want[-1] is None
+
+
 def test_first_kept_chain(spark):
     banded = spark.createDataFrame([(1, 0, "x"), (2, 0, "x"), (2, 1, "y"), (3, 1, "y"), (3, 2, "z"), (4, 2, "z"), (5, 0, "u")], "ord long, band int, band_key string")
     assert {r.ord: r.kept for r in dedup.first_kept(banded, []).collect()} == {1: True, 2: False, 3: True, 4: False, 5: True}
