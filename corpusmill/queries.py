@@ -56,8 +56,8 @@ def _scanned(spark, sf):
 
 
 def scan_documents(spark, sf):
-    docs = _spread(_scanned(spark, sf).select("ord", "source_id", "text"))
-    return docs.select("source_id", F.col("ord.row").alias("row"), F.length("text").alias("n"), tx.verdict(F.col("text"), "Latin").alias("verdict"))
+    whole = _scanned(spark, sf).select("ord", "source_id", "text")
+    return scan.numbered(_spread(whole), whole).select("source_id", "row", F.length("text").alias("n"), tx.verdict(F.col("text"), "Latin").alias("verdict"))
 
 
 def source_order(spark, sf):
@@ -83,7 +83,7 @@ def stream_scan(spark, sf):
 
 def source_fallback(spark, sf):
     config = CONFIG.having(source_name=sf, source_config="documents.parquet", id_column="doc_id")
-    return scan.configured(spark, config, broken_stream).select("source_id", F.col("ord.row").alias("row"), F.length("text").alias("n"))
+    return scan.numbered(scan.configured(spark, config, broken_stream)).select("source_id", "row", F.length("text").alias("n"))
 
 
 def profile_limited(spark, sf):

@@ -5,7 +5,7 @@ from __future__ import annotations
 import logging
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.datasource import DataSource, DataSourceReader
@@ -20,9 +20,21 @@ Stream = Callable[[], Iterator[dict]]
 
 
 def documents(spark: SparkSession, path: str, id_column: str = "url", text_column: str = "text") -> DataFrame:
-    """``ord (file, row), source_id, text`` and the file's other columns; order is by file name, then row."""
+    """``ord (file, row), source_id, text`` and the file's other columns; order is by the file's whole path, then row in the file."""
     df = spark.read.parquet(path)
-    return df.select(F.struct(F.col("_metadata.file_name").alias("file"), F.col("_metadata.row_index").alias("row")).alias("ord"), F.col(id_column).cast("string").alias("source_id"), *[c for c in df.columns if c not in ("ord", "source_id")]).withColumn("text", F.coalesce(F.col(text_column), F.lit("")))
+    # the path comes URL-encoded, which sorts differently, and has its plus signs as they are
+    file = F.url_decode(F.replace(F.col("_metadata.file_path"), F.lit("+"), F.lit("%2B")))
+    return df.select(F.struct(file.alias("file"), F.col("_metadata.row_index").alias("row")).alias("ord"), F.col(id_column).cast("string").alias("source_id"), *[c for c in df.columns if c not in ("ord", "source_id")]).withColumn("text", F.coalesce(F.col(text_column), F.lit("")))
+
+
+def numbered(docs: DataFrame, whole: DataFrame | None = None) -> DataFrame:
+    """Adds ``row``: the place in ``whole`` (default ``docs``), all that was read, over all its files and from 0 on.
+
+    Files' rows are counted and summed up in their order, a row a file; the documents stay where they are.
+    """
+    files = (docs if whole is None else whole).groupBy(F.col("ord.file").alias("__file")).agg(F.count("*").alias("__n"))
+    before = files.select("__file", (F.sum("__n").over(Window.orderBy("__file")) - F.col("__n")).alias("__before"))
+    return docs.join(F.broadcast(before), F.col("ord.file") == F.col("__file")).withColumn("row", F.col("ord.row") + F.col("__before")).drop("__file", "__before")
 
 
 class _StreamReader(DataSourceReader):

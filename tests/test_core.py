@@ -179,6 +179,33 @@ def test_streams(spark, tmp_path):
         scan.configured(spark, Config())
 
 
+def test_rows_are_numbered_over_files(spark, tmp_path):
+    """Several files, of one name in two folders, an empty one and names that sort otherwise when URL-encoded."""
+    texts = lambda k, n: spark.createDataFrame([(f"{k}{i}", f"{k} {i}") for i in range(n)], "url string, text string").coalesce(1)
+    names = ["a b/x.parquet", "a!/x.parquet", "a+%2B/x.parquet", "a0/y.parquet", "a1/x.parquet"]
+    for k, (name, n) in enumerate(zip(names, (3, 2, 4, 0, 2))):
+        texts(k, n).write.parquet(f"{tmp_path}/raw{k}")
+        (tmp_path / "in" / name).parent.mkdir(parents=True)
+        os.link(glob.glob(f"{tmp_path}/raw{k}/*.parquet")[0], tmp_path / "in" / name)
+    want = duckdb.sql(f"select url, row_number() over () - 1 from read_parquet('{tmp_path}/in/*/*.parquet')").fetchall()
+    docs = scan.documents(spark, f"{tmp_path}/in/*")
+    assert len(want) == 11 and sorted((r.source_id, r.row) for r in scan.numbered(docs).collect()) == sorted(want)
+    assert sorted((r.source_id, r.row) for r in scan.numbered(docs.where("source_id like '%1'").repartition(3), docs).collect()) == sorted(w for w in want if w[0].endswith("1"))
+    assert docs.select("ord").distinct().count() == 11
+    streamed = scan.streamed(spark, queries.numbers_stream, "doc_id")
+    assert all(r.row == r.ord.row for r in scan.numbered(streamed).collect()) and scan.numbered(docs.limit(0)).collect() == []
+
+
+def test_queries_number_rows_over_files(spark, sf, tmp_path):
+    parts = spark.read.parquet(f"{sf}/documents.parquet").repartitionByRange(3, "doc_id")
+    parts.write.parquet(f"{tmp_path}/documents.parquet")
+    duck = duckdb.connect()
+    duck.execute(f"create view documents as select * from '{tmp_path}/documents.parquet/*.parquet'")
+    for name in ("source_fallback", "scan_documents"):
+        got = queries.QUERIES[name](spark, str(tmp_path))
+        assert sorted(map(tuple, got.collect())) == sorted(duck.execute(f"select {', '.join(got.columns)} from ({queries.ORACLE_SQL[name]})").fetchall()), name
+
+
 def test_beats():
     assert progress.beats(0, 1999, 2000) == [] and progress.beats(1999, 6000, 2000) == [2000, 4000, 6000] and progress.beats(6000, 6001, 2000) == []
 
