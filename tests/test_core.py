@@ -291,6 +291,24 @@ def test_chat_endpoint(spark):
     assert {r.ord: r.text for r in got} == {0: "m:one:2", 1: None, 2: "m:two:2"} and {r.ord for r in got if r.error} == {1}
 
 
+def test_few_requests_are_held(spark):
+    """Of an Arrow batch of 4000 long rows few are Python texts at a time; all are answered in order, failed and null ones too."""
+
+    def held(endpoint, prompt, request):
+        if request is None or request.endswith("7"):
+            raise ValueError("no")
+        with open("/proc/self/statm") as f:
+            return f"{int(f.read().split()[1]) * 4096} {request}"
+
+    text = F.concat(F.repeat(F.lit("x"), 11000), F.lit(" "), F.col("id").cast("string"))
+    pairs = spark.range(0, 4000, 1, 1).select(F.struct(F.lit("f").alias("file"), F.col("id").alias("row")).alias("ord"), F.col("id").cast("string").alias("source_id"), F.lit("faq").alias("prompt"), F.when(F.col("id") != 11, text).alias("text"))
+    for in_flight in (1, 5):
+        got = curate.rephrased(pairs, Config(), held, in_flight=in_flight).select("ord", "error", F.length("text").alias("n"), F.split("text", " ")[0].cast("long").alias("used"), F.substring_index("text", " ", -1).alias("last")).collect()
+        assert [r.ord.row for r in got] == list(range(4000)) and {r.ord.row for r in got if r.error} == {11, *range(7, 4000, 10)}
+        assert all((r.n is None) == (r.error is not None) and (r.error or r["last"] == str(r.ord.row)) for r in got)
+        assert got[3999].used - got[0].used < 50e6
+
+
 def test_streaming(spark, tmp_path):
     from corpusmill.streaming import incremental
 
